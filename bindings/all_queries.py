@@ -1,4 +1,4 @@
 """Imports every binding module, so that each registers its queries."""
 
-from . import logs, objects, stats, types  # noqa: F401
+from . import catalogs, logs, objects, stats, types  # noqa: F401
 from .registry import CHECK_SQL, QUERIES  # noqa: F401

@@ -10,7 +10,7 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
 
-from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, wall_clock
+from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, typed_docs, wall_clock
 
 # --- BI --------------------------------------------------------------------------------------
 
@@ -247,15 +247,14 @@ def _experiment_docs(spark, sf_dir):
 
 
 def _trial_docs(spark, sf_dir):
-    lines = doc_lines(
+    return typed_docs(
         table(spark, sf_dir, "orders"),
+        "trial",
         TrialArn=text("arn:aws:sm:eu:1:experiment-trial/", F.col("o_orderkey")),
         TrialName=text("trial-", F.col("o_orderkey")),
         ExperimentName=text("exp-", F.col("o_custkey")),
-        CreationTime=F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"),
+        CreationTime=F.col("o_orderdate"),
     )
-    docs, _ = dumps.parse_docs(lines, "trial")
-    return docs
 
 
 def _component_arn():
@@ -264,20 +263,19 @@ def _component_arn():
 
 def _component_docs(spark, sf_dir):
     quantity = F.col("l_quantity")
-    lines = doc_lines(
+    return typed_docs(
         table(spark, sf_dir, "lineitem"),
+        "trial_component",
         TrialComponentArn=_component_arn(),
         TrialComponentName=text("abc-", F.col("l_orderkey"), "-step-", F.col("l_linenumber"), "-2022-aws-training-job"),
         TrialName=text("trial-", F.col("l_orderkey")),
-        CreationTime=F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"),
-        LastModifiedTime=F.lit("2023-01-01T00:00:00"),
+        CreationTime=F.col("l_shipdate"),
+        LastModifiedTime=F.lit("2023-01-01 00:00:00"),
         Parameters=F.create_map(
             F.lit("quantity"), F.struct(quantity.alias("NumberValue"), F.lit("unused").alias("StringValue")),
             F.lit("flag"), F.struct(F.lit(None).cast("double").alias("NumberValue"), F.col("l_returnflag").alias("StringValue")),
         ),
     )
-    docs, _ = dumps.parse_docs(lines, "trial_component")
-    return docs
 
 
 def _tree(spark, sf_dir):
@@ -367,8 +365,8 @@ def _links(spark, sf_dir):
 
     def link(source, source_type, target, target_type):
         return F.struct(
-            source.alias("SourceArn"), F.lit(source_type).alias("SourceType"),
-            target.alias("DestinationArn"), F.lit(target_type).alias("DestinationType"),
+            source.alias("source_arn"), F.lit(source_type).alias("source_type"),
+            target.alias("destination_arn"), F.lit(target_type).alias("destination_type"),
         )
 
     component = _component_arn()
@@ -379,14 +377,7 @@ def _links(spark, sf_dir):
         link(text("arn:aws:sm:eu:1:context/", part), "Model", component, "TrainingJob"),
         link(text(arn, "log-", part), "Log", component, "TrainingJob"),
     )
-    lines = item.select(F.explode(links).alias("a")).select(F.to_json("a").alias("value"))
-    docs, _ = dumps.parse_docs(lines, "association")
-    associations = docs.select(
-        F.col("d.SourceArn").alias("source_arn"),
-        F.col("d.SourceType").alias("source_type"),
-        F.col("d.DestinationArn").alias("destination_arn"),
-        F.col("d.DestinationType").alias("destination_type"),
-    )
+    associations = item.select(F.inline(links))
 
     def artifact_lines(rows, name, uri):
         return doc_lines(rows, ArtifactArn=text(arn, name), Source=F.struct(uri.alias("SourceUri")))

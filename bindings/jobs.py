@@ -14,7 +14,7 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
 
-from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, wall_clock
+from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, typed_docs, wall_clock
 
 # --- jobs and runs ----------------------------------------------------------------------
 
@@ -37,9 +37,10 @@ def _job_docs(spark, sf_dir):
 def _run_docs(spark, sf_dir):
     status = F.col("o_orderstatus")
     state = F.when(status == "F", F.lit("SUCCEEDED")).when(status == "P", F.lit("TIMEOUT")).otherwise(F.lit("RUNNING"))
-    start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
-    lines = doc_lines(
+    start = F.col("o_orderdate")
+    return typed_docs(
         table(spark, sf_dir, "orders"),
+        "glue_run",
         JobName=F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")),
         Id=text("run-", F.col("o_orderkey")),
         JobRunState=state,
@@ -47,8 +48,6 @@ def _run_docs(spark, sf_dir):
         CompletedOn=F.when(state != "RUNNING", start),
         ErrorMessage=F.col("o_orderpriority"),
     )
-    docs, _ = dumps.parse_docs(lines, "glue_run")
-    return docs
 
 
 def _runs(spark, sf_dir):

@@ -41,9 +41,14 @@ def parent_path(path: Column) -> Column:
 
 def prefixes(path: Column) -> Column:
     """Array of the path's proper ancestors, shortest first (``a/b/c`` -> ``[a, a/b]``)."""
-    parts = F.split(path, "/")
-    depths = F.when(F.size(parts) > 1, F.sequence(F.lit(1), F.size(parts) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(depths, lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    n_slashes = F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+    counts = F.when(n_slashes > 0, F.sequence(F.lit(1), n_slashes)).otherwise(F.array().cast("array<int>"))
+    return F.transform(counts, lambda i: leading_segments(path, i))
+
+
+def leading_segments(path: Column, count: Column) -> Column:
+    """The first ``count`` slash-separated segments."""
+    return F.call_function("substring_index", path, F.lit("/"), count)
 
 
 def object_name(path: Column) -> Column:

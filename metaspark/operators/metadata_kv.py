@@ -81,14 +81,15 @@ def flatten_metadata(
     are kept whole, as JSON text under their path.
     """
     keep = [c for c in docs.columns if c != doc]
-    rows = docs.select(*keys_of(keep), F.lit("").alias("_raw"), F.lit("").alias("_path"), F.col(doc).alias("_v"))
-    for level in range(max_depth):
-        # only objects (and, when asked, lists) are opened: a list answers to position 0
-        if lists:
-            inner = F.col("_v")
-        else:
-            inner = F.when(F.try_variant_get("_v", "$[0]", "variant").isNull(), F.col("_v"))
-        spark = docs.sparkSession
+    rows = docs.select(*keys_of(keep), F.lit("").alias("_raw"), F.lit("").alias("_path"), F.col(doc).alias("_v"), F.lit(False).alias("_done"))
+    spark = docs.sparkSession
+    for _ in range(max_depth):
+        # values found to be leaves are not looked at again; without ``lists`` a list is a
+        # leaf, recognised by answering to position 0
+        can_open = ~F.col("_done")
+        if not lists:
+            can_open = can_open & F.try_variant_get("_v", "$[0]", "variant").isNull()
+        inner = F.when(can_open, F.col("_v"))
         opened = rows.withColumn("_c", inner).lateralJoin(spark.tvf.variant_explode_outer(F.col("_c").outer()))
         key = F.coalesce("key", F.col("pos").cast("string"))
         is_leaf = F.col("pos").isNull()
@@ -102,15 +103,14 @@ def flatten_metadata(
             F.when(is_leaf, F.col("_raw")).otherwise(raw).alias("_raw"),
             F.when(is_leaf, F.col("_path")).otherwise(path).alias("_path"),
             F.when(is_leaf, F.col("_v")).otherwise(F.col("value")).alias("_v"),
-            (~is_leaf).alias("_opened"),
+            is_leaf.alias("_done"),
         )
         if excluded:
-            rows = rows.filter(~(F.col("_opened") & F.col("_raw").isin(excluded)))
+            rows = rows.filter(F.col("_done") | ~F.col("_raw").isin(excluded))
         if json_text_path:
             decoded = F.try_parse_json(F.col("_v").cast("string"))
-            is_text = F.col("_opened") & (F.col("_raw") == json_text_path)
+            is_text = ~F.col("_done") & (F.col("_raw") == json_text_path)
             rows = rows.withColumn("_v", F.when(is_text, F.coalesce(decoded, F.col("_v"))).otherwise(F.col("_v")))
-        rows = rows.drop("_opened")
     return rows.filter(F.col("_path") != "").select(
         *keys_of(keep), F.col("_path").alias("key_path"), F.col("_v").cast("string").alias("value")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BAD = "_corrupt_record"
 _COLUMNS = "array<struct<Name:string,Type:string,Comment:string>>"
 
 # The fields the entity mappers read, per kind of document.
@@ -115,12 +116,15 @@ def open_pages(lines: DataFrame, kind: str) -> DataFrame:
 def parse_docs(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """(documents, rejects) of ``value`` lines.
 
-    Documents have the typed struct ``d`` and the whole document as VARIANT ``doc``; a
-    line that is not JSON goes to the rejects.
+    Documents have the typed struct ``d`` and, computed only where it is used, the whole
+    document as VARIANT ``doc``.  A line that is not JSON, or whose values do not fit the
+    kind's types, goes to the rejects; one parse serves both.
     """
-    raw = lines.withColumn("doc", F.try_parse_json("value"))
-    docs = raw.filter(F.col("doc").isNotNull()).withColumn("d", F.from_json("value", SCHEMAS[kind]))
-    rejects = raw.filter(F.col("doc").isNull()).select(
-        F.lit(kind).alias("job"), F.col("value").alias("key"), F.lit("not a JSON document").alias("reason")
+    schema = SCHEMAS[kind].removesuffix(">") + f",{_BAD}:string>"
+    parsed = lines.withColumn("d", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}))
+    is_bad = F.col(f"d.{_BAD}").isNotNull() | F.col("value").isNull()
+    docs = parsed.filter(~is_bad).withColumn("doc", F.parse_json("value")).drop("value")
+    rejects = parsed.filter(is_bad).select(
+        F.lit(kind).alias("job"), F.col("value").alias("key"), F.lit("not a document of this kind").alias("reason")
     )
-    return docs.drop("value"), rejects
+    return docs, rejects

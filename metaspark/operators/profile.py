@@ -218,18 +218,10 @@ def unscaled_value(encoded: Column) -> Column:
         byte = F.conv(F.substr(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("decimal(3,0)")
         return (total * F.lit(256).cast("decimal(3,0)") + byte).cast("decimal(38,0)")
 
-    magnitude = F.aggregate(F.sequence(F.lit(1), width), F.lit(0).cast("decimal(38,0)"), add_byte)
+    # starting from the sign, shifting in each byte gives the signed value
     negative = F.substr(digits, F.lit(1), F.lit(1)).isin("8", "9", "A", "B", "C", "D", "E", "F")
-    # a negative number is the complement of its inverted bytes
-    inverted = F.aggregate(
-        F.sequence(F.lit(1), width),
-        F.lit(0).cast("decimal(38,0)"),
-        lambda total, i: (
-            total * F.lit(256).cast("decimal(3,0)")
-            + (F.lit(255) - F.conv(F.substr(digits, i * 2 - 1, F.lit(2)), 16, 10).cast("int")).cast("decimal(3,0)")
-        ).cast("decimal(38,0)"),
-    )
-    return F.when(negative, (-inverted - 1).cast("decimal(38,0)")).otherwise(magnitude)
+    start = F.when(negative, F.lit(-1)).otherwise(F.lit(0)).cast("decimal(38,0)")
+    return F.aggregate(F.sequence(F.lit(1), width), start, add_byte)
 
 
 def scaled_decimal(value: Column) -> Column:

@@ -359,25 +359,35 @@ def experiment_entities(spark, sf_dir):
 def _links(spark, sf_dir):
     """Each line item reads an image (by supplier) and a dataset (by part) and writes a
     model (by part); links to contexts and of other types are dropped."""
-    item = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    arn = "arn:aws:sm:eu:1:artifact/"
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-
-    def link(source, source_type, target, target_type):
-        return F.struct(
-            source.alias("source_arn"), F.lit(source_type).alias("source_type"),
-            target.alias("destination_arn"), F.lit(target_type).alias("destination_type"),
+    arn = "arn:aws:sm:eu:1:"
+    kind, component = F.col("kind"), _component_arn()
+    types = F.create_map(
+        *[F.lit(x) for kv in {"img": "Image", "data": "DataSet", "model": "Model", "log": "Log"}.items() for x in kv]
+    )
+    linked = (
+        table(spark, sf_dir, "lineitem")
+        .select(
+            component.alias("component"), "l_partkey", "l_suppkey",
+            F.explode(F.array(*[F.lit(k) for k in ("img", "data", "model", "log", "context")])).alias("kind"),
         )
-
-    component = _component_arn()
-    links = F.array(
-        link(text(arn, "img-", supplier), "Image", component, "TrainingJob"),
-        link(text(arn, "data-", part), "DataSet", component, "TrainingJob"),
-        link(component, "TrainingJob", text(arn, "model-", part), "Model"),
-        link(text("arn:aws:sm:eu:1:context/", part), "Model", component, "TrainingJob"),
-        link(text(arn, "log-", part), "Log", component, "TrainingJob"),
+        .select(
+            "component",
+            F.concat(
+                F.when(kind == "context", F.lit(arn + "context/")).otherwise(F.concat(F.lit(arn + "artifact/"), kind, F.lit("-"))),
+                F.when(kind == "img", F.col("l_suppkey")).otherwise(F.col("l_partkey")).cast("string"),
+            ).alias("other"),
+            F.coalesce(types[kind], F.lit("Model")).alias("other_type"),
+            (kind == "model").alias("is_output"),
+        )
+    )
+    is_output, job = F.col("is_output"), F.lit("TrainingJob")
+    associations = linked.select(
+        F.when(is_output, F.col("component")).otherwise(F.col("other")).alias("source_arn"),
+        F.when(is_output, job).otherwise(F.col("other_type")).alias("source_type"),
+        F.when(is_output, F.col("other")).otherwise(F.col("component")).alias("destination_arn"),
+        F.when(is_output, F.col("other_type")).otherwise(job).alias("destination_type"),
     )
-    associations = item.select(F.inline(links))
+    arn += "artifact/"
 
     def artifact_lines(rows, name, uri):
         return doc_lines(rows, ArtifactArn=text(arn, name), Source=F.struct(uri.alias("SourceUri")))

@@ -104,5 +104,10 @@ def arn_resource_kind(arn: Column) -> Column:
     return F.split_part(F.split_part(arn, F.lit(":"), F.lit(6)), F.lit("/"), F.lit(1))
 
 
+def arn_names_a(arn: Column, kind: str) -> Column:
+    """Whether the resource part of an ARN is of a kind (one pass, nothing is split)."""
+    return arn.rlike(f"^([^:]*:){{5}}{kind}(/|:|$)")
+
+
 def arn_tail(arn: Column) -> Column:
     return last_segment(arn)

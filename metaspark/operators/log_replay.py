@@ -11,8 +11,9 @@ from ..sources.txlog import record_count
 def live_files(actions: DataFrame, as_of: int | None = None) -> DataFrame:
     """Files of each table that the last action on their path added.
 
-    The latest action per (table, path) is chosen by ``max_by``: it combines before the
-    shuffle, and neither a hot table nor a hot path lands in one task unreduced.
+    The latest action per (table, path) is chosen by ``max_by`` over numbers: a hash
+    aggregate that combines before the shuffle, so neither a hot table nor a hot path
+    lands in one task unreduced.
     """
     if as_of is not None:
         actions = actions.filter(F.col("version") <= as_of)
@@ -20,17 +21,15 @@ def live_files(actions: DataFrame, as_of: int | None = None) -> DataFrame:
     files = actions.filter(is_add | F.col("remove").isNotNull()).select(
         "root",
         F.coalesce("add.path", "remove.path").alias("path"),
-        # within one commit a re-added path is live
-        F.struct("version", is_add.alias("live")).alias("at"),
-        F.struct(
-            is_add.alias("live"),
-            F.col("add.size").alias("size_bytes"),
-            record_count(F.col("add.stats")).alias("num_records"),
-            F.timestamp_millis("add.modificationTime").alias("modified_at"),
-        ).alias("state"),
+        # odd for an add: within one commit a re-added path is live
+        (F.col("version") * 2 + is_add.cast("bigint")).alias("at"),
+        F.col("add.size").alias("size_bytes"),
+        record_count(F.col("add.stats")).alias("num_records"),
+        F.timestamp_millis("add.modificationTime").alias("modified_at"),
     )
-    last = files.groupBy("root", "path").agg(F.max_by("state", "at").alias("state"))
-    return last.filter("state.live").select("root", "path", "state.size_bytes", "state.num_records", "state.modified_at")
+    state = ["size_bytes", "num_records", "modified_at"]
+    last = files.groupBy("root", "path").agg(F.max("at").alias("at"), *[F.max_by(c, "at").alias(c) for c in state])
+    return last.filter(F.col("at") % 2 == 1).select("root", "path", *state)
 
 
 def log_totals(files: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COMMIT_FILE = r"^(.*)/_delta_log/(\d{20})\.json$"
 CHECKPOINT_FILE = r"^(.*)/_delta_log/(\d{20})\.checkpoint(\.\d+\.\d+)?\.parquet$"
+LOG_FILE = r"^(.*)/_delta_log/\d{20}\.(?:json|checkpoint(?:\.\d+\.\d+)?\.parquet)$"
 
 ADD = "struct<path:string,size:bigint,modificationTime:bigint,stats:string>"
 REMOVE = "struct<path:string,deletionTimestamp:bigint>"
@@ -36,11 +37,8 @@ ACTION = f"struct<add:{ADD},remove:{REMOVE},metaData:{META}>"
 def log_roots(objects: DataFrame) -> DataFrame:
     """Distinct table roots that have a commit or checkpoint in the listing."""
     path = F.col("path")
-    root = F.coalesce(
-        F.when(path.rlike(COMMIT_FILE), F.regexp_extract(path, COMMIT_FILE, 1)),
-        F.when(path.rlike(CHECKPOINT_FILE), F.regexp_extract(path, CHECKPOINT_FILE, 1)),
-    )
-    return objects.select(root.alias("root")).filter(F.col("root").isNotNull()).distinct()
+    is_log = F.contains(path, F.lit("/_delta_log/")) & path.rlike(LOG_FILE)
+    return objects.filter(is_log).select(F.regexp_extract(path, LOG_FILE, 1).alias("root")).distinct()
 
 
 def discover_tables(
@@ -50,24 +48,33 @@ def discover_tables(
 
     A root below another root is part of that table, not a table.  The folder filter is
     applied to every sub-folder path on the way down, never to ``start`` itself.
+
+    Each root offers one row per folder on its way; the rows are tested, matched with the
+    roots (a folder all roots share is one hot key, which Spark's skew join splits) and
+    reduced back per root with map-side aggregation.
     """
     roots = log_roots(objects)
     if start is not None:
         top = start.rstrip("/")
         roots = roots.filter((F.col("root") == top) | F.startswith(F.col("root"), F.lit(top + "/")))
-    ancestors = paths.prefixes(F.col("root"))
-    if include or exclude:
-        walked = F.array_append(ancestors, F.col("root"))
-        if start is not None:
-            walked = F.filter(walked, lambda p: F.length(p) > len(top))
-        roots = roots.filter(F.forall(walked, lambda p: allowed(p, include, exclude)))
-    nested = (
-        roots.select(F.col("root").alias("inner_root"), F.explode(ancestors).alias("root"))
-        .join(roots, "root", "left_semi")
-        .select(F.col("inner_root").alias("root"))
-        .distinct()
+    folder, root = F.col("folder"), F.col("root")
+    walk = roots.select("root", F.explode(F.array_append(paths.prefixes(root), root)).alias("folder"))
+    is_allowed = allowed(folder, include, exclude)
+    if start is not None:
+        walk = walk.filter(F.length(folder) >= len(top))
+        is_allowed = is_allowed | (F.length(folder) == len(top))
+    tables = roots.select(F.col("root").alias("folder"), F.lit(True).alias("is_table"))
+    return (
+        walk.withColumn("is_allowed", is_allowed)
+        .join(tables, "folder", "left")
+        .groupBy("root")
+        .agg(
+            F.bool_and("is_allowed").alias("is_allowed"),
+            F.bool_or(F.col("is_table") & (folder != root)).alias("is_nested"),
+        )
+        .filter(F.col("is_allowed") & ~F.coalesce("is_nested", F.lit(False)))
+        .select("root")
     )
-    return roots.join(nested, "root", "left_anti")
 
 
 def commit_lines(objects: DataFrame) -> DataFrame:

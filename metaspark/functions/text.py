@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    A later filter on a plain projected column would be pushed below it, with the whole
+    expression repeated in the filter; it cannot pass a generate step.
+    """
+    return df.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def snake_case(key: Column) -> Column:
     """``DataSetArnsID`` -> ``data_set_arns_id``; keys without capitals are unchanged."""
     words = F.regexp_replace(key, r"([A-Z]+)([A-Z][a-z])", r"$1_$2")
-    return F.lower(F.regexp_replace(words, r"([a-z0-9])([A-Z])", r"$1_$2"))
+    snake = F.lower(F.regexp_replace(words, r"([a-z0-9])([A-Z])", r"$1_$2"))
+    return F.when(F.lower(key) == key, key).otherwise(snake)
 
 
 def last_segment(path: Column, sep: str = "/") -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import with_once
+
 _BAD = "_corrupt_record"
 _COLUMNS = "array<struct<Name:string,Type:string,Comment:string>>"
 
@@ -121,8 +123,8 @@ def parse_docs(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     kind's types, goes to the rejects; one parse serves both.
     """
     schema = SCHEMAS[kind].removesuffix(">") + f",{_BAD}:string>"
-    parsed = lines.withColumn("d", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}))
-    is_bad = F.col(f"d.{_BAD}").isNotNull() | F.col("value").isNull()
+    parsed = with_once(lines, "d", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}))
+    is_bad = F.col(f"d.{_BAD}").isNotNull() | F.col("d").isNull()
     docs = parsed.filter(~is_bad).withColumn("doc", F.parse_json("value")).drop("value")
     rejects = parsed.filter(is_bad).select(
         F.lit(kind).alias("job"), F.col("value").alias("key"), F.lit("not a document of this kind").alias("reason")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
-from ..functions.text import allowed
+from ..functions.text import allowed, with_once
 from .pyfs import open_filesystem
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -103,8 +103,8 @@ def commit_lines(objects: DataFrame) -> DataFrame:
 
 def parse_actions(lines: DataFrame) -> DataFrame:
     """Typed actions from (root, version, value) lines."""
-    parsed = F.from_json("value", ACTION).alias("a")
-    return lines.select("root", "version", parsed).select("root", "version", "a.add", "a.remove", "a.metaData")
+    parsed = with_once(lines, "a", F.from_json("value", ACTION))
+    return parsed.select("root", "version", "a.add", "a.remove", "a.metaData")
 
 
 def checkpoint_actions(objects: DataFrame) -> DataFrame:

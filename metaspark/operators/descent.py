@@ -18,8 +18,8 @@ def descend(
     are neither a table nor a group are rejected.
 
     A breadth-first join per level: groups already reached from a root are not visited
-    again, so cycles end.  Each level is checkpointed to the shared folder, which bounds
-    the plan and survives lost executors.
+    again, so cycles end.  Each level and its new groups are checkpointed to the shared
+    folder, which keeps the plan short and survives lost executors.
     """
     start = members.select("group_rn").distinct() if roots is None else roots.select("group_rn").distinct()
     frontier = start.select(F.col("group_rn").alias("root_rn"), "group_rn")
@@ -37,7 +37,8 @@ def descend(
         groups = level.filter(F.col("member_type").isin(*group_types)).select(
             "root_rn", F.col("member_rn").alias("group_rn")
         )
-        frontier = groups.join(visited, ["root_rn", "group_rn"], "left_anti")
+        # cut as well: otherwise the plan of ``visited`` would double with every level
+        frontier = cut_lineage(groups.join(visited, ["root_rn", "group_rn"], "left_anti"))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)

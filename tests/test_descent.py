@@ -50,3 +50,9 @@ def test_random_graphs(spark):
 def test_empty(spark):
     tables, rejects = descend(spark.createDataFrame([], EDGE))
     assert tables.count() == 0 and rejects.count() == 0
+
+
+def test_deep_chain_keeps_a_short_plan(spark):
+    chain = [(f"g{i}", f"g{i + 1}", G) for i in range(14)] + [("g14", "t", "TABLE"), ("g14", "g0", G)]
+    tables, _ = descend(spark.createDataFrame(chain, EDGE), spark.createDataFrame([("g0",)], "group_rn string"))
+    assert rows(tables) == [("g0", "t", 15)]

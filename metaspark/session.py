@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,16 +31,12 @@ def build_session(app: str = "metaspark", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a local-mode session without the setting (a test) gets a folder of its own.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir``, or where a session has none
+    (a test) a folder in its warehouse, which is shared as well."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="metaspark-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured

@@ -9,13 +9,14 @@ from metaspark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
         spark_sql_shuffle_partitions="8",
         spark_ui_enabled="false",
         spark_ui_showConsoleProgress="false",
+        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import mixing, sharding
+from . import langid, mixing, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -22,7 +22,7 @@ r AS (SELECT *, coalesce(sum(3.0 * source_size) OVER o, 0)::DOUBLE AS capped,
              3.0 * source_size / weight AS ratio
       FROM w WINDOW o AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-level AS (SELECT min((total - capped) / free) FILTER (WHERE (total - capped) / free <= ratio) AS share FROM r),
+level AS (SELECT max((total - capped) / free) FILTER (WHERE (total - capped) / free <= ratio) AS share FROM r),
 t AS (SELECT source, source_size, CASE WHEN source_size = 0 THEN 0.0 ELSE least(weight * share, 3.0 * source_size) END::DOUBLE AS target
       FROM r, level),
 u AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
@@ -98,3 +98,37 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited double, near_next double"
     )
     return fp.with_next(table(spark, sf_dir, "documents"), columns, make)
+
+
+def fold(parts: int):
+    """CRC-32 of ``doc_id`` as text, modulo ``parts`` (null id: of the empty text)."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % parts
+
+
+@query("op3_language_bayes")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of each document, learned outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(fold(4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    marked = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter(fold(5) != 0)
+    return toxicity.train(docs, marked)
+
+
+@query("op4_toxic_segments")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned outside fold 0 of 5, with its significant passages."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (fold(5) == 0).alias("held_out"),
+        F.col("tox_score").alias("score"),
+        (F.col("tox_score") >= 0.5).cast("int").alias("predicted"),
+        F.size("tox_passages").alias("n_passages"),
+    )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import langid, mixing, sharding, toxicity
+from . import jaccard, langid, mixing, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -132,3 +132,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("tox_score") >= 0.5).cast("int").alias("predicted"),
         F.size("tox_passages").alias("n_passages"),
     )
+
+
+@query("op5_partenum_jaccard")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and near-duplicate component of each document."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import jaccard, langid, mixing, sharding, toxicity
+from . import bpe, jaccard, langid, mixing, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -138,3 +139,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles and near-duplicate component of each document."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+@query("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the bytes decoded from them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_ids=False)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

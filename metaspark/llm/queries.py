@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import bpe, jaccard, langid, mixing, sharding, toxicity
+from . import ann, bpe, jaccard, langid, mixing, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -150,3 +150,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, with_ids=False)
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op9_onebit_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50, against all vectors."""
+    embeddings = table(spark, sf_dir, "embeddings")
+    return ann.search(embeddings, embeddings.filter(F.col("vec_id") % 50 == 0))

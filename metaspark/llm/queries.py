@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import ann, bpe, jaccard, langid, mixing, sharding, toxicity
+from . import ann, bpe, jaccard, langid, mixing, recurrent, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -157,3 +157,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest of every vector whose id is divisible by 50, against all vectors."""
     embeddings = table(spark, sf_dir, "embeddings")
     return ann.search(embeddings, embeddings.filter(F.col("vec_id") % 50 == 0))
+
+
+@query("op10_recurrent_lm")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document, learned outside fold 0 of 10."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = recurrent.score(docs, docs.filter(fold(10) != 0))
+    return scored.withColumn("held_out", fold(10) == 0)

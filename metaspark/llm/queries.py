@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import ann, bpe, jaccard, langid, mixing, recurrent, sharding, toxicity
+from . import ann, bpe, jaccard, langid, mixing, quotes, recurrent, sharding, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -165,3 +165,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = recurrent.score(docs, docs.filter(fold(10) != 0))
     return scored.withColumn("held_out", fold(10) == 0)
+
+
+@query("op8_quote_links")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply links of all conversations.
+
+    The table's turns hold no quotes, so Spark first writes them as mails that quote the two
+    turns before; the operator takes these apart again.
+    """
+    mails = quotes.quoting(table(spark, sf_dir, "conversations"))
+    return quotes.link(mails).select(
+        "conv_id", "turn", "role", "reply_turn", "quotes", "linked", "root_turn", "reply_depth", "position", "text"
+    )

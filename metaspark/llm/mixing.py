@@ -19,6 +19,7 @@ MOST_REPEATS = 3
 BROADCAST_SOURCES = 50_000
 SALTS = 16
 SEED = "mix-1"
+WORK = ("_size", "_source_size", "_target", "_rate", "_copies", "_copy", "_source", "_salt", "_salt2")
 
 
 def word_count(text: Column) -> Column:
@@ -73,10 +74,12 @@ def mix(
 
     A document is taken floor(rate) times, and once more if its draw, seeded by its id (by
     its text where the id is null), is below the rate's fraction.  A null text has size 0;
-    repeated rows get the same draw; an empty table gives no rows.  Other columns stay.
+    repeated rows get the same draw; an empty table gives no rows.  Other columns stay, but
+    those named as in ``WORK`` are replaced or left out.
     Sources are broadcast up to ``broadcast_sources`` of them; beyond, each source is
     repeated per salt and joined, so that no task gets a hot source whole.
     """
+    docs = docs.drop(*WORK)
     stats = source_targets(docs, weights, most).select(
         F.col("source").alias("_source"),
         F.col("source_size").alias("_source_size"),

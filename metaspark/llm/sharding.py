@@ -74,10 +74,11 @@ def slotted(placed: DataFrame, shard_col: str, order: list[str], rows: int, piec
     A shard is cut into pieces by a hash of the order columns; pieces number their rows on
     their own, after the counts of the pieces before them, so no task gets a whole shard.
     ``rows`` (about the rows of the table) decides the number of pieces.  Rows equal in all
-    order columns take neighbouring slots in any order.
+    order columns take neighbouring slots in any order.  Columns named as the work columns are left out.
     """
     pieces = max(1, rows // pieces_of)
     piece = F.pmod(F.xxhash64(*order), F.lit(pieces)).alias("_piece")
+    placed = placed.drop("_piece", "_n", "_start", "_place_in_piece", "slot")
     cut = placed.select("*", piece)
     before = W.partitionBy(shard_col).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     counts = cut.groupBy(shard_col, "_piece").agg(F.count("*").alias("_n"))

@@ -144,7 +144,7 @@ def _glue_docs(spark, sf_dir):
     )
     # the service answers in pages: gather every document as a one-element page
     pages = lines.select(F.concat(F.lit('{"TableList":['), "value", F.lit("]}")).alias("value"))
-    docs, _ = dumps.parse_docs(dumps.open_pages(pages, "glue_table"), "glue_table")
+    docs, _ = dumps.parse_docs(dumps.open_pages(pages, "glue_table")[0], "glue_table")
     return docs
 
 

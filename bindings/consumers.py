@@ -10,7 +10,7 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
 
-from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, typed_docs, wall_clock
+from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, landed_docs, wall_clock
 
 # --- BI --------------------------------------------------------------------------------------
 
@@ -247,8 +247,8 @@ def _experiment_docs(spark, sf_dir):
 
 
 def _trial_docs(spark, sf_dir):
-    return typed_docs(
-        table(spark, sf_dir, "orders"),
+    return landed_docs(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         "trial",
         TrialArn=text("arn:aws:sm:eu:1:experiment-trial/", F.col("o_orderkey")),
         TrialName=text("trial-", F.col("o_orderkey")),
@@ -263,8 +263,8 @@ def _component_arn():
 
 def _component_docs(spark, sf_dir):
     quantity = F.col("l_quantity")
-    return typed_docs(
-        table(spark, sf_dir, "lineitem"),
+    return landed_docs(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"),
         "trial_component",
         TrialComponentArn=_component_arn(),
         TrialComponentName=text("abc-", F.col("l_orderkey"), "-step-", F.col("l_linenumber"), "-2022-aws-training-job"),
@@ -364,8 +364,9 @@ def _links(spark, sf_dir):
     types = F.create_map(
         *[F.lit(x) for kv in {"img": "Image", "data": "DataSet", "model": "Model", "log": "Log"}.items() for x in kv]
     )
+    narrow = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     linked = (
-        table(spark, sf_dir, "lineitem")
+        narrow.repartition(spark.sparkContext.defaultParallelism)
         .select(
             component.alias("component"), "l_partkey", "l_suppkey",
             F.explode(F.array(*[F.lit(k) for k in ("img", "data", "model", "log", "context")])).alias("kind"),
@@ -381,11 +382,19 @@ def _links(spark, sf_dir):
         )
     )
     is_output, job = F.col("is_output"), F.lit("TrainingJob")
-    associations = linked.select(
-        F.when(is_output, F.col("component")).otherwise(F.col("other")).alias("source_arn"),
-        F.when(is_output, job).otherwise(F.col("other_type")).alias("source_type"),
-        F.when(is_output, F.col("other")).otherwise(F.col("component")).alias("destination_arn"),
-        F.when(is_output, F.col("other_type")).otherwise(job).alias("destination_type"),
+    lines = doc_lines(
+        linked,
+        SourceArn=F.when(is_output, F.col("component")).otherwise(F.col("other")),
+        SourceType=F.when(is_output, job).otherwise(F.col("other_type")),
+        DestinationArn=F.when(is_output, F.col("other")).otherwise(F.col("component")),
+        DestinationType=F.when(is_output, F.col("other_type")).otherwise(job),
+    )
+    docs, _ = dumps.parse_docs(lines, "association")
+    associations = docs.select(
+        F.col("d.SourceArn").alias("source_arn"),
+        F.col("d.SourceType").alias("source_type"),
+        F.col("d.DestinationArn").alias("destination_arn"),
+        F.col("d.DestinationType").alias("destination_type"),
     )
     arn += "artifact/"
 

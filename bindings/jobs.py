@@ -14,7 +14,7 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
 
-from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, typed_docs, wall_clock
+from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, landed_docs, wall_clock
 
 # --- jobs and runs ----------------------------------------------------------------------
 
@@ -38,8 +38,8 @@ def _run_docs(spark, sf_dir):
     status = F.col("o_orderstatus")
     state = F.when(status == "F", F.lit("SUCCEEDED")).when(status == "P", F.lit("TIMEOUT")).otherwise(F.lit("RUNNING"))
     start = F.col("o_orderdate")
-    return typed_docs(
-        table(spark, sf_dir, "orders"),
+    return landed_docs(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"),
         "glue_run",
         JobName=F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")),
         Id=text("run-", F.col("o_orderkey")),
@@ -321,13 +321,14 @@ chosen AS (
 def _selected(spark, sf_dir):
     docs = _replication_tasks(spark, sf_dir)
     database = F.split_part("d.SourceEndpointArn", F.lit(":"), F.lit(3))
-    tasks = sel.parse_rules(
+    tasks, _ = sel.parse_rules(
         docs.select(
             F.col("d.ReplicationTaskIdentifier").alias("task_id"),
             text("db-", database).alias("database_rn"),
             F.col("d.TableMappings").alias("table_mappings"),
         )
-    ).drop("table_mappings")
+    )
+    tasks = tasks.drop("table_mappings")
     tables = (
         table(spark, sf_dir, "part")
         .select(
@@ -404,6 +405,11 @@ def _members(spark, sf_dir):
     )
 
 
+def _roots(spark, sf_dir):
+    """The descent starts from the regions."""
+    return table(spark, sf_dir, "region").select(text("region/", F.col("r_regionkey")).alias("group_rn"))
+
+
 _MEMBERS = """
 WITH RECURSIVE m AS (
   SELECT 'world' AS g, 'region/' || r_regionkey AS c, 'G' AS k FROM region
@@ -412,8 +418,9 @@ WITH RECURSIVE m AS (
   UNION ALL SELECT 'nation/' || c_nationkey, 'customer/' || c_custkey, 'T' FROM customer
   UNION ALL SELECT 'nation/' || n_nationkey, 'view/' || n_nationkey, 'V' FROM nation),
 d AS (
-  SELECT g AS root, c, k, 1 AS depth FROM m
-  UNION SELECT root, m.c, m.k, depth + 1 FROM d JOIN m ON d.c = m.g WHERE d.k = 'G' AND depth < 6)
+  SELECT g AS root, c, k, 1 AS depth, [g] AS seen FROM m WHERE starts_with(g, 'region/')
+  UNION ALL SELECT root, m.c, m.k, depth + 1, list_append(seen, m.g) FROM d JOIN m ON d.c = m.g
+  WHERE d.k = 'G' AND NOT list_contains(seen, d.c))
 """
 
 
@@ -423,7 +430,7 @@ d AS (
     + "SELECT root AS root_rn, c AS table_rn, CAST(min(depth) AS INTEGER) AS depth FROM d WHERE k = 'T' GROUP BY ALL",
 )
 def group_descent(spark, sf_dir):
-    tables, _ = descend(_members(spark, sf_dir))
+    tables, _ = descend(_members(spark, sf_dir), _roots(spark, sf_dir))
     return tables
 
 
@@ -432,5 +439,5 @@ def group_descent(spark, sf_dir):
     _MEMBERS + "SELECT DISTINCT 'descent' AS job, c AS \"key\", 'not a table or group: VIEW' AS reason FROM d WHERE k = 'V'",
 )
 def group_rejects(spark, sf_dir):
-    _, rejects = descend(_members(spark, sf_dir))
+    _, rejects = descend(_members(spark, sf_dir), _roots(spark, sf_dir))
     return rejects

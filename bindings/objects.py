@@ -129,7 +129,7 @@ def filename_filter(spark, sf_dir):
     r"""
 WITH p AS (SELECT p_partkey, lower(replace(p_brand, '#', '-')) AS bucket,
                   lower(replace(p_brand, '#', '-')) || '/' || p_type || '/' || p_name || '/' AS path FROM part),
-n AS (SELECT *, replace(regexp_replace(trim(path, '/'), '^[A-Za-z0-9.\-]*/', ''), '/', '\\') AS name FROM p)
+n AS (SELECT *, replace(regexp_replace(trim(path, '/'), '^[^/]*/', ''), '/', '\\') AS name FROM p)
 SELECT p_partkey, name, '//s3/cloud/aws/buckets/' || bucket || '/keys/' || name AS entity_rn,
        '//s3-custom/store.local/buckets/' || bucket AS custom_rn,
        '//s3/cloud/aws/buckets/' || bucket || '/keys/' || name || '/columns/c/subcolumns/a' AS child_rn
@@ -173,7 +173,7 @@ def folder_tree(spark, sf_dir):
 , s AS (SELECT DISTINCT path, string_split(path, '/') AS st FROM o),
 f AS (SELECT DISTINCT array_to_string(st[1:i], '/') AS path FROM (SELECT st, unnest(range(1, len(st))) AS i FROM s WHERE len(st) > 1)),
 all_objects AS (
-  SELECT path, string_split(path, '/')[-1] AS name, 'FILE' AS kind FROM o
+  SELECT DISTINCT path, string_split(path, '/')[-1] AS name, 'FILE' AS kind FROM o WHERE string_split(k, '/')[-1] <> ''
   UNION ALL SELECT path, path, 'DAG' FROM f)
 """
     + entity_sql(
@@ -188,7 +188,8 @@ all_objects AS (
 )
 def object_entities(spark, sf_dir):
     objects = _objects(spark, sf_dir)
-    return union_all(en.file_entities(objects), en.folder_entities(objects)).withColumns(
+    files = objects.filter(paths.base_name(F.col("key")) != "").dropDuplicates(["path"])
+    return union_all(en.file_entities(files), en.folder_entities(objects)).withColumns(
         {"created_at": F.col("created_at").cast("timestamp_ntz"), "updated_at": F.col("updated_at").cast("timestamp_ntz")}
     )
 

@@ -6,10 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from metaspark.plans.entities import Scope
-from metaspark.sources.dumps import SCHEMAS
+from metaspark.sources.dumps import parse_docs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -41,14 +40,15 @@ def doc_lines(rows: DataFrame, **fields: Column) -> DataFrame:
     return rows.select(F.to_json(F.struct(*[c.alias(k) for k, c in fields.items()])).alias("value"))
 
 
-def typed_docs(rows: DataFrame, kind: str, **fields: Column) -> DataFrame:
-    """Documents already held in a typed table: the struct ``d`` without the JSON text."""
-    document = F.struct(*[c.alias(k) for k, c in fields.items()])
-    typed = [
-        (F.col(f"x.{f.name}") if f.name in fields else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in StructType.fromDDL(SCHEMAS[kind].removeprefix("struct<").removesuffix(">"))
-    ]
-    return rows.select(document.alias("x")).select(F.struct(*typed).alias("d"))
+def landed_docs(rows: DataFrame, kind: str, **fields: Column) -> DataFrame:
+    """Parsed documents of a large table.
+
+    The test tables are single files, read in one task; rows are dealt out while narrow,
+    as many landed files would be, before they become text.
+    """
+    dealt = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    docs, _ = parse_docs(doc_lines(dealt, **fields), kind)
+    return docs
 
 
 def wall_clock(df: DataFrame) -> DataFrame:

@@ -53,9 +53,7 @@ def leading_segments(path: Column, count: Column) -> Column:
 
 def object_name(path: Column) -> Column:
     """Name of an object inside its bucket: first segment dropped, ``/`` written as two backslashes."""
-    trimmed = F.btrim(path, F.lit("/"))
-    # Fixed value: the characters a bucket segment may hold.
-    inner = F.regexp_replace(trimmed, r"^[A-Za-z\[\]\\^_`\-.\d]*/", "")
+    inner = F.regexp_replace(F.btrim(path, F.lit("/")), r"^[^/]*/", "")
     return F.replace(inner, F.lit("/"), F.lit("\\\\"))
 
 
@@ -80,11 +78,6 @@ def suffix_format(name: Column) -> Column:
     )
 
 
-def first_dot_format(name: Column) -> Column:
-    """The first extension itself is the format name; null when there is none."""
-    return first_extension(name)
-
-
 def file_format(name: Column, mode: str = "suffix") -> Column:
     """Format of a file name.
 
@@ -92,7 +85,7 @@ def file_format(name: Column, mode: str = "suffix") -> Column:
     ``first_dot`` takes the first extension, so ``x.snappy.parquet`` is ``snappy``.
     """
     if mode == "first_dot":
-        return first_dot_format(name)
+        return first_extension(name)
     if mode != "suffix":
         raise ValueError(f"unknown format mode {mode!r}")
     last = blank_to_null(F.regexp_extract(base_name(name), r"\.([A-Za-z0-9]+)$", 1))

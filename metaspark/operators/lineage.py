@@ -56,13 +56,6 @@ def endpoint_table_name(database: Column, engine: Column, schema: Column, table:
     return F.when(engine == "s3", in_bucket).when(level.isNotNull(), in_database)
 
 
-def endpoint_schema_name(database: Column, engine: Column, schema: Column) -> Column:
-    level = lookup(engine, {k: v[2] for k, v in ENGINES.items() if v[2]})
-    return F.when(engine == "s3", F.concat_ws("\\", database, schema)).when(
-        level.isNotNull(), F.concat_ws("/", database, F.lit("schemas"), schema)
-    )
-
-
 def tasks_with_endpoints(tasks: DataFrame, endpoints: DataFrame) -> DataFrame:
     """Left-join the source and the target endpoint of every task (N:1, twice).
 

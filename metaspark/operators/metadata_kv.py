@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import snake_case
+from ..session import cut_lineage
 
 # Raw key paths that are not metadata, per kind of document.
 EXCLUDED_PATHS: dict[str, list[str]] = {
@@ -68,7 +71,6 @@ def flatten_metadata(
     lists: bool = False,
     delimiter: str = ".",
     json_text_path: str | None = JSON_TEXT_PATH,
-    max_depth: int = 6,
 ) -> DataFrame:
     """(other columns..., key_path, value) rows of a VARIANT column.
 
@@ -76,51 +78,52 @@ def flatten_metadata(
     is tested by its own name.  Lists stay JSON text unless ``lists`` is set, which
     descends into them with the position in the path.
 
-    Each level is one narrow generate step over the rows that are still containers, so
-    the whole flattening needs no shuffle.  Containers nested deeper than ``max_depth``
-    are kept whole, as JSON text under their path.
+    Each level opens the containers of the level before and is written to the shared
+    folder; it goes on until no open container is left, however deep the documents are.
     """
     keep = [c for c in docs.columns if c != doc]
-    rows = docs.select(*keys_of(keep), F.lit("").alias("_raw"), F.lit("").alias("_path"), F.col(doc).alias("_v"), F.lit(False).alias("_done"))
+    open_ = docs.select(*keys_of(keep), F.lit("").alias("_raw"), F.lit("").alias("_path"), F.col(doc).alias("_v"))
     spark = docs.sparkSession
-    for _ in range(max_depth):
-        # values found to be leaves are not looked at again; without ``lists`` a list is a
-        # leaf, recognised by answering to position 0
-        can_open = ~F.col("_done")
-        if not lists:
-            can_open = can_open & F.try_variant_get("_v", "$[0]", "variant").isNull()
-        inner = F.when(can_open, F.col("_v"))
-        opened = rows.withColumn("_c", inner).lateralJoin(spark.tvf.variant_explode_outer(F.col("_c").outer()))
+    leaves = []
+    while True:
+        opened = open_.lateralJoin(spark.tvf.variant_explode_outer(F.col("_v").outer()))
         key = F.coalesce("key", F.col("pos").cast("string"))
-        is_leaf = F.col("pos").isNull()
         raw = F.when(F.col("_raw") == "", key).otherwise(F.concat_ws("::", "_raw", key)) if prefixed else key
         label = snake_case(key) if snake else key
         path = F.when(F.col("_path") == "", label).otherwise(F.concat_ws(delimiter, "_path", label))
         # a list step keeps the raw path of the list itself
         raw = F.when(F.col("key").isNull(), F.col("_raw")).otherwise(raw)
-        rows = opened.select(
-            *keys_of(keep),
-            F.when(is_leaf, F.col("_raw")).otherwise(raw).alias("_raw"),
-            F.when(is_leaf, F.col("_path")).otherwise(path).alias("_path"),
-            F.when(is_leaf, F.col("_v")).otherwise(F.col("value")).alias("_v"),
-            is_leaf.alias("_done"),
+        rows = opened.filter(F.col("pos").isNotNull()).select(
+            *keys_of(keep), raw.alias("_raw"), path.alias("_path"), F.col("value").alias("_v")
         )
         if excluded:
-            rows = rows.filter(F.col("_done") | ~F.col("_raw").isin(excluded))
+            rows = rows.filter(~F.col("_raw").isin(excluded))
         if json_text_path:
             decoded = F.try_parse_json(F.col("_v").cast("string"))
-            is_text = ~F.col("_done") & (F.col("_raw") == json_text_path)
+            is_text = F.col("_raw") == json_text_path
             rows = rows.withColumn("_v", F.when(is_text, F.coalesce(decoded, F.col("_v"))).otherwise(F.col("_v")))
-    return rows.filter(F.col("_path") != "").select(
-        *keys_of(keep), F.col("_path").alias("key_path"), F.col("_v").cast("string").alias("value")
-    )
+        level = cut_lineage(rows.withColumn("_open", _has_members(F.col("_v"), lists)))
+        leaves.append(level.filter(~F.col("_open")))
+        open_ = level.filter("_open").drop("_open")
+        if open_.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, leaves)
+    return found.select(*keys_of(keep), F.col("_path").alias("key_path"), F.col("_v").cast("string").alias("value"))
+
+
+def _has_members(value: Column, lists: bool) -> Column:
+    """Whether a VARIANT is an object, or with ``lists`` a list, with something in it."""
+    kind = F.schema_of_variant(value)
+    is_object = kind.startswith("OBJECT<") & (kind != "OBJECT<>")
+    is_list = F.try_variant_get(value, "$[0]", "variant").isNotNull()
+    return F.coalesce(is_object | is_list if lists else is_object, F.lit(False))
 
 
 def keys_of(names: list[str]) -> list[Column]:
     return [F.col(n) for n in names]
 
 
-def metadata_of(docs: DataFrame, kind: str, url_prefix: str = "", max_depth: int = 6) -> DataFrame:
+def metadata_of(docs: DataFrame, kind: str, url_prefix: str = "") -> DataFrame:
     """metadata_kv(entity_rn, schema_url, key_path, value) of ``entity_rn, doc`` rows, by the rules of a kind."""
     rows = flatten_metadata(
         docs.select("entity_rn", "doc"),
@@ -129,7 +132,6 @@ def metadata_of(docs: DataFrame, kind: str, url_prefix: str = "", max_depth: int
         prefixed=kind != "stream",
         lists=kind == "kv_table",
         json_text_path=None if kind in ("kv_table", "feature_group") else JSON_TEXT_PATH,
-        max_depth=max_depth,
     )
     return rows.select("entity_rn", schema_url(kind, url_prefix).alias("schema_url"), "key_path", "value")
 

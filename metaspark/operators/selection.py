@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import with_once
+
 RULES = (
     "struct<rules:array<struct<`rule-type`:string,`rule-id`:string,`rule-name`:string,"
     "`object-locator`:struct<`schema-name`:string,`table-name`:string>,`rule-action`:string>>>"
@@ -17,16 +19,22 @@ RULES = (
 PATTERN = ["any_schema", "any_table", "schema_key", "table_key"]
 
 
-def parse_rules(tasks: DataFrame, mappings: str = "table_mappings") -> DataFrame:
-    """Add ``rules``: the selection rules of each task's mapping JSON.
+def parse_rules(tasks: DataFrame, mappings: str = "table_mappings") -> tuple[DataFrame, DataFrame]:
+    """(tasks with ``rules``, rejects): the selection rules of each task's mapping JSON.
 
     ``%`` alone is a wildcard, anything else is literal; ``exclude`` excludes, every other
-    action includes.
+    action includes.  A task whose mapping is not JSON with a list of rules is rejected,
+    and so is a selection rule that lacks one of its locator's names.  A task without a
+    mapping has no rules.
     """
-    parsed = F.from_json(mappings, RULES)["rules"]
-    chosen = F.filter(parsed, lambda r: r["rule-type"] == "selection")
+    read = with_once(tasks, "_rules", F.from_json(mappings, RULES)["rules"])
+    broken = F.col(mappings).isNotNull() & (F.col("_rules").isNull() | F.try_parse_json(mappings).isNull())
+    chosen = F.filter("_rules", lambda r: r["rule-type"] == "selection")
+    named = lambda r: (
+        r["object-locator"]["schema-name"].isNotNull() & r["object-locator"]["table-name"].isNotNull()
+    )
     rules = F.transform(
-        chosen,
+        F.filter(chosen, named),
         lambda r: F.struct(
             r["rule-id"].alias("rule_id"),
             F.nullif(r["object-locator"]["schema-name"], F.lit("%")).alias("schema_name"),
@@ -34,7 +42,18 @@ def parse_rules(tasks: DataFrame, mappings: str = "table_mappings") -> DataFrame
             (F.coalesce(r["rule-action"], F.lit("include")) != "exclude").alias("include"),
         ),
     )
-    return tasks.withColumn("rules", F.coalesce(rules, F.array().cast("array<struct<rule_id:string,schema_name:string,table_name:string,include:boolean>>")))
+    none = F.array().cast("array<struct<rule_id:string,schema_name:string,table_name:string,include:boolean>>")
+    reject = lambda rows, reason: rows.select(
+        F.lit("selection").alias("job"), F.col("task_id").alias("key"), reason.alias("reason")
+    )
+    nameless = read.filter(~broken).select(
+        "task_id", F.explode(F.filter(chosen, lambda r: ~named(r))).alias("r")
+    )
+    rejects = reject(read.filter(broken), F.lit("mapping without rules")).unionByName(
+        reject(nameless, F.concat(F.lit("rule without a locator: "), F.coalesce("r.rule-id", F.lit("?"))))
+    )
+    whole = read.filter(~broken).withColumn("rules", F.coalesce(rules, none)).drop("_rules")
+    return whole, rejects
 
 
 def _pattern(schema: Column, table: Column) -> list[Column]:

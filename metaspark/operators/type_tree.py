@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 import re
 import sys
-from functools import lru_cache
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -21,6 +21,7 @@ from ..functions.types import TYPE_MAPS, normalised_type_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+REMEMBERED = 100_000  # types a task remembers
 DIALECTS = ["arrow", "glue", "athena", "delta"]
 
 NODE = (
@@ -133,16 +134,19 @@ def _nodes(dialect: str, text: str) -> list[dict]:
         return [unknown]
 
 
-@lru_cache(maxsize=100_000)
-def _tree_text(dialect: str, text: str) -> str:
-    """The nodes of a type as JSON, remembered per worker: catalogs repeat their types."""
-    return json.dumps(_nodes(dialect, text))
-
-
 def _nested_nodes() -> Column:
     @F.pandas_udf("string")
-    def trees(dialect: pd.Series, text: pd.Series) -> pd.Series:
-        return pd.Series([_tree_text(d, t) for d, t in zip(dialect, text)], dtype=object)
+    def trees(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        known: dict[tuple[str, str], str] = {}  # catalogs repeat their types
+        for dialect, text in batches:
+            out = []
+            for key in zip(dialect, text):
+                if key not in known:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[key] = json.dumps(_nodes(*key))
+                out.append(known[key])
+            yield pd.Series(out, dtype=object)
 
     return F.from_json(trees("dialect", "type_string"), f"array<{NODE}>")
 
@@ -152,12 +156,13 @@ def _flat_node() -> Column:
     text = F.col("type_string")
     if_quoted = F.regexp_replace(text, r'^\s*"(.*)"\s*$', "$1")
     text = F.when(F.col("dialect") == "delta", if_quoted).otherwise(text)
-    base = F.lower(F.regexp_extract(text, _LEAF, 1))
+    base = F.coalesce(F.lower(F.regexp_extract(text, _LEAF, 1)), F.lit(""))
     args = F.regexp_replace(F.regexp_extract(text, _LEAF, 2), r"\s*,\s*", ", ")
     known = F.lit(False)
     for dialect in DIALECTS:
         known = known | ((F.col("dialect") == dialect) & base.isin(list(TYPE_MAPS[dialect])))
-    reject = F.when(~known & (F.col("dialect") != "arrow"), F.concat(F.lit("unreadable type: "), text))
+    reason = F.concat(F.lit("unreadable type: "), F.coalesce(text, F.lit("none")))
+    reject = F.when(text.isNull() | (~known & (F.col("dialect") != "arrow")), reason)
     return F.struct(
         F.lit(0).alias("ordinal"),
         F.lit(0).alias("depth"),
@@ -178,9 +183,10 @@ def flatten_types(columns: DataFrame) -> DataFrame:
 
     Needs ``dialect`` and ``type_string``; all input columns are kept and a ``node``
     struct is added, with ``node.reject_reason`` set for hive/log types that cannot be
-    read (the columnar dialect gives type UNKNOWN with the raw text instead).
+    read (the columnar dialect gives type UNKNOWN with the raw text instead) and for a missing
+    type text.
     """
-    has_brackets = F.col("type_string").rlike("[<{]")
+    has_brackets = F.coalesce(F.col("type_string").rlike("[<{]"), F.lit(False))
     flat = columns.filter(~has_brackets).withColumn("node", _flat_node())
     nested = columns.filter(has_brackets).withColumn("node", F.explode(_nested_nodes()))
     return flat.unionByName(nested)

@@ -18,7 +18,7 @@ from ..functions.text import job_name, last_segment
 from ..functions.types import normalised_type
 from ..operators import experiments as ex
 from ..operators import lineage as ln
-from ..operators.inventory import folder_members, folders
+from ..operators.inventory import folders
 
 ENTITY = [
     ("entity_rn", "string"),
@@ -130,27 +130,6 @@ def folder_entities(objects: DataFrame) -> DataFrame:
     )
 
 
-def object_members(objects: DataFrame) -> DataFrame:
-    return folder_members(objects).select(
-        _path_name(F.col("group_path")).alias("group_rn"), _path_name(F.col("member_path")).alias("member_rn")
-    )
-
-
-def file_columns(schemas: DataFrame) -> DataFrame:
-    """Column definitions of scanned files (path without protocol, bucket first)."""
-    rn = _path_name(F.col("path"))
-    return schemas.filter(F.col("column_name").isNotNull()).select(
-        rn.alias("entity_rn"),
-        F.concat_ws("/", rn, F.lit("columns"), "column_name").alias("column_rn"),
-        "position",
-        "column_name",
-        F.lit("arrow").alias("dialect"),
-        "type_string",
-        F.lit(True).alias("is_nullable"),
-        F.lit(None).cast("string").alias("description"),
-    )
-
-
 def log_table_entities(tables: DataFrame) -> DataFrame:
     """Transaction-log tables; ``tables`` as from ``log_replay.log_tables``, root a URL."""
     root = F.col("root")

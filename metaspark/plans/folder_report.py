@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import file_format
+from ..functions.paths import base_name, file_format
+from ..functions.text import allowed
 from ..operators.profile import as_field_stats, join_stats
 from ..operators.type_tree import field_rows
 from ..sources.objects import list_objects, scan_schemas
@@ -19,10 +20,13 @@ def dataset_of(path: Column, root: str) -> Column:
     return F.regexp_replace(F.substring_index(below, "/", 1), r"\.[A-Za-z0-9]+$", "")
 
 
-def folder_columns(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct column definitions of the datasets below ``root``, from file footers."""
+def folder_columns(spark: SparkSession, root: str, exclude: list[str] | None = None) -> DataFrame:
+    """Distinct column definitions of the datasets below ``root``, from file footers.
+
+    Files whose name one of the ``exclude`` patterns is found in are left out.
+    """
     listed = list_objects(spark, root)
-    visible = listed.filter(~F.col("path").rlike(r"/[_.][^/]*$"))
+    visible = listed.filter(allowed(base_name(F.col("path")), exclude=exclude))
     scanned = scan_schemas(visible.withColumn("format", file_format(F.col("path"))))
     dataset = dataset_of(F.col("path"), root)
     return (
@@ -41,8 +45,8 @@ def folder_columns(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def folder_fields(spark: SparkSession, root: str) -> DataFrame:
-    fields, _ = field_rows(folder_columns(spark, root))
+def folder_fields(spark: SparkSession, root: str, exclude: list[str] | None = None) -> DataFrame:
+    fields, _ = field_rows(folder_columns(spark, root, exclude))
     return fields
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import with_once
@@ -101,32 +101,36 @@ PAGE_KEYS = {
 }
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+def rejected(lines: DataFrame, kind: str, reason: str) -> DataFrame:
+    return lines.select(F.lit(kind).alias("job"), F.col("value").alias("key"), F.lit(reason).alias("reason"))
 
 
-def open_pages(lines: DataFrame, kind: str) -> DataFrame:
-    """One line per element of the list a response page holds."""
-    pages = lines.withColumn("_items", F.try_variant_get(F.try_parse_json("value"), f"$.{PAGE_KEYS[kind]}", "variant"))
+def open_pages(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(one line per element of the list a response page holds, rejected pages).
+
+    A page that is not JSON or does not hold the kind's list is rejected.
+    """
+    listed = F.try_variant_get(F.try_parse_json("value"), f"$.{PAGE_KEYS[kind]}", "array<variant>")
+    read = with_once(lines, "_list", listed)
+    pages = read.filter(F.col("_list").isNotNull()).withColumn("_items", F.to_variant_object("_list")).drop("_list")
+    rejects = rejected(read.filter(F.col("_list").isNull()), kind, f"no page with {PAGE_KEYS[kind]}")
     rest = [c for c in lines.columns if c != "value"]
     items = pages.lateralJoin(lines.sparkSession.tvf.variant_explode(F.col("_items").outer()).select(
         F.col("value").alias("_item")
     ))
-    return items.select(*rest, F.col("_item").cast("string").alias("value"))
+    return items.select(*rest, F.col("_item").cast("string").alias("value")), rejects
 
 
 def parse_docs(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """(documents, rejects) of ``value`` lines.
 
     Documents have the typed struct ``d`` and, computed only where it is used, the whole
-    document as VARIANT ``doc``.  A line that is not JSON, or whose values do not fit the
-    kind's types, goes to the rejects; one parse serves both.
+    document as VARIANT ``doc``.  A line that is not JSON (also with a key given twice or
+    quotes of another kind), or whose values do not fit the kind's types, goes to the
+    rejects; one parse serves both.
     """
     schema = SCHEMAS[kind].removesuffix(">") + f",{_BAD}:string>"
     parsed = with_once(lines, "d", F.from_json("value", schema, {"columnNameOfCorruptRecord": _BAD}))
-    is_bad = F.col(f"d.{_BAD}").isNotNull() | F.col("d").isNull()
-    docs = parsed.filter(~is_bad).withColumn("doc", F.parse_json("value")).drop("value")
-    rejects = parsed.filter(is_bad).select(
-        F.lit(kind).alias("job"), F.col("value").alias("key"), F.lit("not a document of this kind").alias("reason")
-    )
-    return docs, rejects
+    is_bad = F.col(f"d.{_BAD}").isNotNull() | F.col("d").isNull() | F.try_parse_json("value").isNull()
+    docs = parsed.filter(~is_bad).withColumn("doc", F.try_parse_json("value")).drop("value")
+    return docs, rejected(parsed.filter(is_bad), kind, "not a document of this kind")

@@ -109,7 +109,7 @@ def scan_schemas(objects: DataFrame) -> DataFrame:
                         (path, fmt, i, f.name, str(f.type), bool(f.nullable), None) for i, f in enumerate(schema)
                     ]
                 except Exception as problem:  # any unreadable object becomes an "unknown" file
-                    rows.append((path, "unknown", None, None, None, None, str(problem)[:500]))
+                    rows.append((path, "unknown", None, None, None, None, str(problem)))
             yield pd.DataFrame(
                 rows,
                 columns=["path", "format", "position", "column_name", "type_string", "is_nullable", "error"],

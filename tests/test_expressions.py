@@ -43,8 +43,7 @@ def test_all_suffixes(spark):
 
 def test_object_name(spark):
     given = ["bucket/path/to/file.csv", "bucket/path/to/", "/my-b.1_x/k", "only", "bu cket/a/b"]
-    # a first segment with other characters is not a bucket and stays
-    expected = ["path\\\\to\\\\file.csv", "path\\\\to", "k", "only", "bu cket\\\\a\\\\b"]
+    expected = ["path\\\\to\\\\file.csv", "path\\\\to", "k", "only", "a\\\\b"]
     assert apply(spark, paths.object_name, given) == expected
 
 

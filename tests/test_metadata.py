@@ -68,10 +68,13 @@ def test_json_text_is_decoded(spark):
     assert flat(spark, {"Parameters": {"exclusions": "not json"}}) == {"parameters.exclusions": "not json"}
 
 
-def test_deeper_than_the_limit_is_kept_whole(spark):
-    deep = {"a": {"b": {"c": {"d": 1}}}}
-    assert flat(spark, deep, max_depth=2) == {"a.b": '{"c":{"d":1}}'}
-    assert flat(spark, deep) == {"a.b.c.d": "1"}
+def test_every_level_is_opened(spark):
+    nine = {"k9": 1}
+    for level in range(8, 0, -1):
+        nine = {f"k{level}": nine}
+    assert flat(spark, nine) == {".".join(f"k{i}" for i in range(1, 10)): "1"}
+    assert flat(spark, {"a": {}, "b": [], "c": {"d": {}}}) == {"a": "{}", "b": "[]", "c.d": "{}"}
+    assert flat(spark, {"t": '{"not": "opened"}'}) == {"t": '{"not": "opened"}'}
 
 
 def test_flattening_needs_no_shuffle(spark):
@@ -90,9 +93,17 @@ def test_kinds(spark):
 def test_pages_and_rejects(spark):
     pages = ['{"TableList":[{"Name":"a"},{"Name":"b"}]}', '{"TableList":[]}', '{"Other":1}', "broken"]
     lines = spark.createDataFrame([(p,) for p in pages], "value string")
-    ok, rejects = dumps.parse_docs(dumps.open_pages(lines, "glue_table"), "glue_table")
+    items, broken = dumps.open_pages(lines, "glue_table")
+    ok, rejects = dumps.parse_docs(items, "glue_table")
     assert rows(ok.select("d.Name")) == [("a",), ("b",)] and rejects.count() == 0
+    assert rows(broken.select("key")) == [("broken",), ('{"Other":1}',)]
     bad = spark.createDataFrame([('{"Name":"a"}',), ("nonsense",), ('{"CreateTime":{}}',), (None,)], "value string")
     ok, rejects = dumps.parse_docs(bad, "glue_table")
     assert rows(ok.select("d.Name")) == [("a",)]
     assert rejects.count() == 3 and {r.job for r in rejects.collect()} == {"glue_table"}
+
+
+def test_documents_only_one_reader_accepts_are_rejected(spark):
+    lines = spark.createDataFrame([('{"Name":"a","Name":"b"}',), ("{'Name':'a'}",), ('{"Name":"c"}',)], "value string")
+    ok, rejects = dumps.parse_docs(lines, "glue_table")
+    assert rows(ok.select("d.Name", F.col("doc").cast("string"))) == [("c", '{"Name":"c"}')] and rejects.count() == 2

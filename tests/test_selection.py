@@ -27,7 +27,7 @@ def select(spark, tasks, tables):
         "database_rn string, schema_name string, table_name string",
     )
     out = {t: [] for t in tasks}
-    for r in rows(select_tables(parse_rules(task_df), table_df).select("task_id", "schema_name", "table_name")):
+    for r in rows(select_tables(parse_rules(task_df)[0], table_df).select("task_id", "schema_name", "table_name")):
         out[r[0]].append(r[1:])
     return {t: sorted(chosen) for t, chosen in out.items()}
 
@@ -88,5 +88,19 @@ def test_random_rules(spark, seed):
 def test_plan_has_no_cross_or_nested_loop_join(spark):
     task_df = spark.range(100).selectExpr("cast(id as string) task_id", "cast(id % 7 as string) database_rn", "'{}' table_mappings")
     table_df = spark.range(100).selectExpr("cast(id % 7 as string) database_rn", "cast(id as string) schema_name", "'t' table_name")
-    plan = select_tables(parse_rules(task_df), table_df)._jdf.queryExecution().executedPlan().toString()
+    plan = select_tables(parse_rules(task_df)[0], table_df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_broken_mappings_and_rules_are_rejected(spark):
+    rule = '{"rule-type":"selection","rule-id":"7","object-locator":{"schema-name":"s"%s},"rule-action":"exclude"}'
+    texts = [
+        ("broken", "broken {"), ("not rules", '{"a":1}'), ("none", None), ("ok", '{"rules":[%s]}' % (rule % ',"table-name":"t"')),
+        ("nameless", '{"rules":[%s]}' % (rule % "")), ("no locator", '{"rules":[{"rule-type":"selection","rule-action":"exclude"}]}'),
+    ]
+    tasks = spark.createDataFrame([(t, "d", m) for t, m in texts], "task_id string, database_rn string, table_mappings string")
+    tables = spark.createDataFrame([("d", "s", "t"), ("d", "s", "u")], "database_rn string, schema_name string, table_name string")
+    kept, rejects = parse_rules(tasks)
+    assert sorted(r.key for r in rejects.collect()) == ["broken", "nameless", "no locator", "not rules"]
+    found = select_tables(kept, tables).groupBy("task_id").count().collect()
+    assert {r.task_id: r["count"] for r in found} == {"none": 2, "ok": 1, "nameless": 2, "no locator": 2}

@@ -111,3 +111,36 @@ def test_flat_types_stay_in_the_jvm(spark):
     fields, _ = flatten(spark, [("glue", "int")])
     plan = fields._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_missing_type_text_is_rejected(spark):
+    columns = [("e", f"e/columns/{i}", i, f"c{i}", d, t, True, None) for i, (d, t) in enumerate([("glue", None), ("glue", "int"), ("arrow", None)])]
+    df = spark.createDataFrame(
+        columns,
+        "entity_rn string, column_rn string, position int, column_name string, dialect string, type_string string, "
+        "is_nullable boolean, description string",
+    )
+    fields, rejects = field_rows(df)
+    assert [r.name for r in fields.collect()] == ["c1"]
+    assert sorted(r.key for r in rejects.collect()) == ["e/columns/0", "e/columns/2"]
+
+
+def test_executors_need_no_package(tmp_path):
+    """A session in another folder, whose workers cannot import the package, reads nested types."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from metaspark.operators.type_tree import flatten_types
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([("glue", "array<struct<a:int>>")], "dialect string, type_string string")
+print("fields", flatten_types(df).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "fields 3" in done.stdout, done.stderr[-2000:]

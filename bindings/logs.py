@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from metaspark.operators import log_replay as lr
 from metaspark.operators.type_tree import field_rows
 from metaspark.plans import entities as en
+from metaspark.session import scratch_path
 from metaspark.sources import txlog
+from metaspark.sources.objects import walk_objects
 
 from .registry import entity_sql, query, table, text, wall_clock
 
@@ -158,3 +160,65 @@ def log_table_discovery(spark, sf_dir):
     data = text(root, "/part-", key, ".parquet")
     listing = table(spark, sf_dir, "orders").select(F.when(key % 4 == 1, data).otherwise(commit).alias("path"))
     return txlog.discover_tables(listing, start="lake", exclude=["tmp_F"])
+
+
+_ROOTS, _COMMIT_EVENTS = 16, 2000
+
+_FILE_EVENTS = f"""
+WITH e AS (
+  SELECT *, CAST(props->>'k' AS BIGINT) AS k, user_id % {_ROOTS} AS root, event_id // {_COMMIT_EVENTS} AS version
+  FROM events WHERE event_type IN ('purchase', 'view', 'error')),
+last AS (SELECT *, row_number() OVER (PARTITION BY root, k ORDER BY event_id DESC) AS rn FROM e),
+live AS (SELECT * FROM last WHERE rn = 1 AND event_type <> 'error')
+"""
+
+
+def _write_logs(spark, sf_dir):
+    """A folder of log tables: every event is an action, some thousand events a commit.
+
+    Per commit and path only the last action is written, as the format asks.
+    """
+    import os
+
+    import pandas as pd
+
+    from metaspark.sources.pyfs import open_filesystem
+
+    folder = scratch_path(spark, "logs")
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "view", "error"))
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    last = events.groupBy(
+        (F.col("user_id") % _ROOTS).alias("root"), F.floor(F.col("event_id") / _COMMIT_EVENTS).alias("version"), k.alias("k")
+    ).agg(F.max_by(F.struct("event_type", "value"), "event_id").alias("e"))
+    path = text("part-", F.col("k"), ".parquet").alias("path")
+    add = F.struct(path, F.floor(F.col("e.value") * 100).cast("bigint").alias("size"))
+    action = F.struct(
+        F.when(F.col("e.event_type") != "error", add).alias("add"),
+        F.when(F.col("e.event_type") == "error", F.struct(path)).alias("remove"),
+    )
+    lines = last.select("root", "version", F.to_json(action).alias("value"))
+
+    def write(rows: pd.DataFrame) -> pd.DataFrame:
+        root, version = int(rows["root"].iloc[0]), int(rows["version"].iloc[0])
+        filesystem, inner = open_filesystem(f"{folder}/{root}/_delta_log")
+        filesystem.create_dir(inner, recursive=True)
+        with filesystem.open_output_stream(os.path.join(inner, f"{version:020d}.json")) as out:
+            out.write(("\n".join(rows["value"]) + "\n").encode())
+        return pd.DataFrame({"lines": [len(rows)]})
+
+    lines.groupBy("root", "version").applyInPandas(write, "lines long").agg(F.sum("lines")).collect()
+    return folder
+
+
+@query(
+    "log_files_replay",
+    _FILE_EVENTS
+    + """
+SELECT root, count(*) AS num_files, CAST(sum(CAST(floor(value * 100) AS BIGINT)) AS BIGINT) AS size_bytes FROM live GROUP BY root""",
+)
+def log_files_replay(spark, sf_dir):
+    """Logs written as commit files to the shared folder, listed in tasks and read back."""
+    actions = txlog.read_actions(walk_objects(spark, _write_logs(spark, sf_dir)))
+    totals = lr.log_totals(lr.live_files(actions))
+    root = F.regexp_extract("root", r"([0-9]+)$", 1).cast("bigint")
+    return totals.select(root.alias("root"), "num_files", "size_bytes")

@@ -22,8 +22,11 @@ from .pyfs import open_filesystem
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COMMIT_FILE = r"^(.*)/_delta_log/(\d{20})\.json$"
-CHECKPOINT_FILE = r"^(.*)/_delta_log/(\d{20})\.checkpoint(\.\d+\.\d+)?\.parquet$"
-LOG_FILE = r"^(.*)/_delta_log/\d{20}\.(?:json|checkpoint(?:\.\d+\.\d+)?\.parquet)$"
+# one file, part p of n, or a named file that may point to side files
+CHECKPOINT_FILE = r"^(.*)/_delta_log/(\d{20})\.checkpoint(?:\.(\d+)\.(\d+)|\.([0-9a-f-]{36}))?\.(parquet|json)$"
+LOG_FILE = r"^(.*)/_delta_log/\d{20}\.(?:json|checkpoint(?:\.\d+\.\d+|\.[0-9a-f-]{36})?\.(?:parquet|json))$"
+SIDE_FOLDER = "_sidecars"
+LINES = 10_000  # lines of a commit in one batch
 
 ADD = "struct<path:string,size:bigint,modificationTime:bigint,stats:string>"
 REMOVE = "struct<path:string,deletionTimestamp:bigint>"
@@ -77,28 +80,51 @@ def discover_tables(
     )
 
 
-def commit_lines(objects: DataFrame) -> DataFrame:
-    """(root, version, value): every line of every JSON commit in the listing."""
-
-    def read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, root, version in zip(*[c.to_pylist() for c in batch.columns]):
-                filesystem, inner = open_filesystem(path)
-                with filesystem.open_input_stream(inner) as stream:
-                    lines = [t for t in stream.read().decode("utf-8").splitlines() if t.strip()]
-                yield pa.record_batch(
-                    [pa.array([root] * len(lines), pa.string()), pa.array([version] * len(lines), pa.int64()),
-                     pa.array(lines, pa.string())],
-                    names=["root", "version", "value"],
-                )
-
+def _commits(objects: DataFrame) -> DataFrame:
     path = F.col("path")
-    commits = objects.filter(path.rlike(COMMIT_FILE)).select(
+    return objects.filter(path.rlike(COMMIT_FILE)).select(
         path,
         F.regexp_extract(path, COMMIT_FILE, 1).alias("root"),
         F.regexp_extract(path, COMMIT_FILE, 2).cast("bigint").alias("version"),
     )
-    return commits.mapInArrow(read_lines, "root string, version long, value string")
+
+
+def commit_lines(objects: DataFrame, saved: DataFrame | None = None) -> DataFrame:
+    """(root, version, value): the lines of the JSON commits in the listing, read in pieces.
+
+    ``saved`` (root, saved_version) leaves out, before any file is opened, the commits a
+    checkpoint covers.
+    """
+
+    def read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import io
+
+        def piece(root: str, version: int, lines: list[str]) -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array([root] * len(lines), pa.string()), pa.array([version] * len(lines), pa.int64()),
+                 pa.array(lines, pa.string())],
+                names=["root", "version", "value"],
+            )
+
+        for batch in batches:
+            for path, root, version in zip(*[c.to_pylist() for c in batch.columns]):
+                filesystem, inner = open_filesystem(path)
+                lines: list[str] = []
+                with filesystem.open_input_stream(inner) as stream, io.TextIOWrapper(stream, "utf-8", newline="\n") as text:
+                    for line in text:
+                        if line.strip():
+                            lines.append(line.rstrip("\r\n"))
+                        if len(lines) >= LINES:
+                            yield piece(root, version, lines)
+                            lines = []
+                yield piece(root, version, lines)
+
+    commits = _commits(objects)
+    if saved is not None:
+        commits = commits.join(saved, "root", "left").filter(
+            F.col("saved_version").isNull() | (F.col("version") > F.col("saved_version"))
+        )
+    return commits.select("path", "root", "version").mapInArrow(read_lines, "root string, version long, value string")
 
 
 def parse_actions(lines: DataFrame) -> DataFrame:
@@ -107,10 +133,33 @@ def parse_actions(lines: DataFrame) -> DataFrame:
     return parsed.select("root", "version", "a.add", "a.remove", "a.metaData")
 
 
-def checkpoint_actions(objects: DataFrame) -> DataFrame:
-    """Actions of the newest checkpoint of every table, streamed in Arrow batches."""
+def checkpoint_files(objects: DataFrame) -> DataFrame:
+    """(path, root, version) of the newest complete checkpoint of every table.
+
+    A checkpoint in parts counts when all parts are listed; otherwise an older one is taken.
+    """
+    path = F.col("path")
+    part = lambda group: F.nullif(F.regexp_extract(path, CHECKPOINT_FILE, group), F.lit(""))
+    files = objects.filter(path.rlike(CHECKPOINT_FILE)).select(
+        path,
+        part(1).alias("root"),
+        part(2).cast("bigint").alias("version"),
+        part(3).cast("int").alias("part"),
+        F.coalesce(part(4).cast("int"), F.lit(1)).alias("parts"),
+        F.coalesce(part(5), F.when(part(4).isNotNull(), F.lit("parts")), F.lit("")).alias("kind"),
+    )
+    made = ["root", "version", "parts", "kind"]
+    complete = files.groupBy(*made).agg(F.count_distinct(F.coalesce("part", F.lit(1))).alias("have")).filter("have = parts")
+    newest = complete.groupBy("root").agg(F.max(F.struct("version", "parts", "kind")).alias("m")).select("root", "m.*")
+    return files.join(newest, made, "left_semi").select("path", "root", "version")
+
+
+def checkpoint_actions(files: DataFrame) -> DataFrame:
+    """Actions of the checkpoint files, streamed in Arrow batches, with those of the side files they name."""
 
     def read_checkpoints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import json
+
         import pyarrow.parquet as pq
 
         text, whole = pa.string(), pa.int64()
@@ -130,51 +179,55 @@ def checkpoint_actions(objects: DataFrame) -> DataFrame:
             ]
             return pa.StructArray.from_arrays(children, fields=list(target), mask=column.is_null())
 
+        def rows_of(root: str, version: int, n: int, columns: list[pa.Array]) -> pa.RecordBatch:
+            return pa.record_batch(
+                [pa.array([root] * n, text), pa.array([version] * n, whole), *columns], names=["root", "version", *wanted]
+            )
+
+        def parquet_rows(filesystem, inner: str, root: str, version: int, side: list[str]) -> Iterator[pa.RecordBatch]:
+            with filesystem.open_input_file(inner) as handle:
+                parquet = pq.ParquetFile(handle)
+                names = parquet.schema_arrow.names
+                present = [n for n in wanted if n in names]
+                more = ["sidecar"] if "sidecar" in names else []
+                for rows in parquet.iter_batches(columns=present + more):
+                    if more:
+                        side += [s["path"] for s in rows.column("sidecar").to_pylist() if s]
+                    n = rows.num_rows
+                    columns = [shaped(rows.column(k), t) if k in present else pa.nulls(n, t) for k, t in wanted.items()]
+                    yield rows_of(root, version, n, columns)
+
+        def json_rows(filesystem, inner: str, root: str, version: int, side: list[str]) -> pa.RecordBatch:
+            with filesystem.open_input_stream(inner) as stream:
+                actions = [json.loads(line) for line in stream.read().decode("utf-8").splitlines() if line.strip()]
+            side += [a["sidecar"]["path"] for a in actions if a.get("sidecar")]
+            for a in actions:
+                if a.get("metaData"):
+                    a["metaData"]["configuration"] = list((a["metaData"].get("configuration") or {}).items())
+            columns = [pa.array([a.get(k) for a in actions], type=t) for k, t in wanted.items()]
+            return rows_of(root, version, len(actions), columns)
+
         for batch in batches:
             for path, root, version in zip(*[c.to_pylist() for c in batch.columns]):
                 filesystem, inner = open_filesystem(path)
-                with filesystem.open_input_file(inner) as handle:
-                    parquet = pq.ParquetFile(handle)
-                    present = [n for n in wanted if n in parquet.schema_arrow.names]
-                    for rows in parquet.iter_batches(columns=present):
-                        n = rows.num_rows
-                        columns = [
-                            shaped(rows.column(k), t) if k in present else pa.nulls(n, t) for k, t in wanted.items()
-                        ]
-                        yield pa.record_batch(
-                            [pa.array([root] * n, text), pa.array([version] * n, whole), *columns],
-                            names=["root", "version", *wanted],
-                        )
+                side: list[str] = []
+                if path.endswith(".json"):
+                    yield json_rows(filesystem, inner, root, version, side)
+                else:
+                    yield from parquet_rows(filesystem, inner, root, version, side)
+                folder = inner.rsplit("/", 1)[0]
+                for name in side:
+                    filed = name.split("://")[-1] if "/" in name else f"{folder}/{SIDE_FOLDER}/{name}"
+                    yield from parquet_rows(filesystem, filed, root, version, [])
 
-    path = F.col("path")
-    files = objects.filter(path.rlike(CHECKPOINT_FILE)).select(
-        path,
-        F.regexp_extract(path, CHECKPOINT_FILE, 1).alias("root"),
-        F.regexp_extract(path, CHECKPOINT_FILE, 2).cast("bigint").alias("version"),
-    )
-    newest = files.groupBy("root").agg(F.max("version").alias("version"))
-    chosen = files.join(newest, ["root", "version"], "left_semi").select("path", "root", "version")
-    return chosen.mapInArrow(
-        read_checkpoints, f"root string, version long, add {ADD}, remove {REMOVE}, metaData {META}"
-    )
+    return files.mapInArrow(read_checkpoints, f"root string, version long, add {ADD}, remove {REMOVE}, metaData {META}")
 
 
 def read_actions(objects: DataFrame) -> DataFrame:
-    """Newest checkpoint of each table plus the commits after it."""
-    saved = checkpoint_actions(objects)
-    path = F.col("path")
-    last_saved = (
-        objects.filter(path.rlike(CHECKPOINT_FILE))
-        .groupBy(F.regexp_extract(path, CHECKPOINT_FILE, 1).alias("root"))
-        .agg(F.max(F.regexp_extract(path, CHECKPOINT_FILE, 2).cast("bigint")).alias("saved_version"))
-    )
-    fresh = (
-        parse_actions(commit_lines(objects))
-        .join(last_saved, "root", "left")
-        .filter(F.col("saved_version").isNull() | (F.col("version") > F.col("saved_version")))
-        .drop("saved_version")
-    )
-    return saved.unionByName(fresh)
+    """Newest complete checkpoint of each table plus the commits after it; no other file is opened."""
+    files = checkpoint_files(objects)
+    saved = files.groupBy("root").agg(F.max("version").alias("saved_version"))
+    return checkpoint_actions(files).unionByName(parse_actions(commit_lines(objects, saved)))
 
 
 def record_count(stats: Column) -> Column:

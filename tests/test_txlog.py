@@ -119,3 +119,63 @@ def test_discovery(spark):
     # every folder on the way must be allowed, the start is never tested
     assert rows(txlog.discover_tables(df, start="lake", include=["/b"])) == [("lake/b/_pii",), ("lake/b/deep/er",)]
     assert rows(txlog.discover_tables(df, start="lake/a", include=["nothing"])) == [("lake/a",)]
+
+
+ACTION = pa.schema([
+    ("add", pa.struct([("path", pa.string()), ("size", pa.int64())])),
+    ("sidecar", pa.struct([("path", pa.string()), ("sizeInBytes", pa.int64())])),
+])
+
+
+def save(folder, name, *actions):
+    os.makedirs(folder, exist_ok=True)
+    pq.write_table(pa.Table.from_pylist(list(actions), schema=ACTION), os.path.join(folder, name))
+
+
+def live(spark, tmp_path):
+    return rows(lr.live_files(txlog.read_actions(walk_objects(spark, str(tmp_path / "lake")))).select("path"))
+
+
+def test_a_checkpoint_counts_with_all_its_parts(spark, tmp_path, table):
+    log = os.path.join(table, "_delta_log")
+    name = "{:020d}.checkpoint.{:010d}.{:010d}.parquet"
+    save(log, name.format(2, 1, 2), {"add": {"path": "p1", "size": 1}})
+    assert live(spark, tmp_path) == [("b",), ("c",), ("d",)]
+    save(log, f"{1:020d}.checkpoint.parquet", {"add": {"path": "older", "size": 1}})
+    assert live(spark, tmp_path) == [("d",), ("older",)]
+    save(log, name.format(2, 2, 2), {"add": {"path": "p2", "size": 1}})
+    assert live(spark, tmp_path) == [("p1",), ("p2",)]
+
+
+@pytest.mark.parametrize("ending", ["parquet", "json"])
+def test_a_named_checkpoint_and_its_side_files(spark, tmp_path, table, ending):
+    log = os.path.join(table, "_delta_log")
+    save(os.path.join(log, "_sidecars"), "s.parquet", {"add": {"path": "side", "size": 4}})
+    actions = [{"add": {"path": "top", "size": 1}}, {"sidecar": {"path": "s.parquet", "sizeInBytes": 9}}]
+    name = f"{2:020d}.checkpoint.80a083e8-7026-4e79-81be-64bd76c43a11.{ending}"
+    if ending == "parquet":
+        save(log, name, *actions)
+    else:
+        with open(os.path.join(log, name), "w") as out:
+            out.write("\n".join(map(json.dumps, actions)))
+    assert live(spark, tmp_path) == [("side",), ("top",)]
+    commit(table, 3, add("late", 1))
+    assert live(spark, tmp_path) == [("late",), ("side",), ("top",)]
+
+
+def test_covered_commits_are_left_out_before_they_are_opened(spark, tmp_path, table):
+    save(os.path.join(table, "_delta_log"), f"{1:020d}.checkpoint.parquet", {"add": {"path": "x", "size": 1}})
+    with open(os.path.join(table, "_delta_log", f"{0:020d}.json"), "w") as out:
+        out.write("\udcff broken".encode("utf-8", "surrogatepass").decode("latin-1"))
+    assert live(spark, tmp_path) == [("d",), ("x",)]
+    actions = txlog.read_actions(walk_objects(spark, str(tmp_path / "lake")))
+    plan = actions._jdf.queryExecution().optimizedPlan().toString()
+    commits = plan[plan.index("saved_version") - 400 :]
+    assert "MapInArrow" in plan and "saved_version" in commits
+
+
+def test_long_commits_come_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(txlog, "LINES", 3)
+    root = str(tmp_path / "lake" / "t")
+    commit(root, 0, *[add(f"f{i}", i) for i in range(10)])
+    assert len(live(spark, tmp_path)) == 10

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from metaspark.operators import profile as pr
 
-from .objects import _LINEITEM_NUMBERS, _number_sql
+from metaspark.plans.catalog import union_all
+from metaspark.plans.folder_report import folder_fields
+
+from .objects import _LINEITEM_NUMBERS, FIELDS_SQL, _number_sql
 from .registry import query, table
 
 
@@ -103,10 +106,95 @@ def column_stats_extended(spark, sf_dir):
     return stats.drop("median_value").withColumn("mean_value", F.round("mean_value", 4))
 
 
-@query("column_profile")
+# columns of the test tables with the kind of their statistics: whole, double, string, time
+COLUMNS = {
+    "region": "r_regionkey:w r_name:s",
+    "nation": "n_nationkey:w n_name:s n_regionkey:w",
+    "customer": "c_custkey:w c_name:s c_nationkey:w c_acctbal:d c_mktsegment:s",
+    "supplier": "s_suppkey:w s_name:s s_nationkey:w s_acctbal:d",
+    "part": "p_partkey:w p_name:s p_brand:s p_type:s p_size:w p_retailprice:d",
+    "orders": "o_orderkey:w o_custkey:w o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "lineitem": (
+        "l_orderkey:w l_partkey:w l_suppkey:w l_linenumber:w l_quantity:d l_extendedprice:d l_discount:d l_tax:d "
+        "l_returnflag:s l_linestatus:s l_shipdate:t"
+    ),
+    "events": "event_id:w ts:t user_id:w event_type:s value:d props:s",
+    "documents": "doc_id:w text:s lang:s source:s n_chars:w",
+    "embeddings": "vec_id:w label:w",
+    "pages": "page_id:w url:s html:s",
+    "benchmark": "item_id:w text:s",
+    "labels": "doc_id:w quality:w toxic:w",
+    "conversations": "conv_id:w turn:w role:s text:s",
+}
+
+
+def _profile_sql(source: str, column: str, kind: str) -> str:
+    low, high = f"min({column})", f"max({column})"
+    number, time, string = kind in "wd", kind == "t", kind == "s"
+    parts = {
+        "entity_rn": f"'{source}'",
+        "column_name": f"'{column}'",
+        "kind": f"'{ {'w': 'number', 'd': 'number', 's': 'string', 't': 'datetime'}[kind] }'",
+        "low_number": f"CAST({low} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)",
+        "high_number": f"CAST({high} AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)",
+        "low_time": low if time else "CAST(NULL AS TIMESTAMP)",
+        "high_time": high if time else "CAST(NULL AS TIMESTAMP)",
+        "max_length": f"CAST(max(length({column})) AS BIGINT)" if string else "CAST(NULL AS BIGINT)",
+        "avg_length": f"round(avg(length({column})), 6)" if string else "CAST(NULL AS DOUBLE)",
+        "nulls_count": f"count(*) - count({column})",
+        "unique_count": f"count(DISTINCT {column})",
+    }
+    return "SELECT " + ", ".join(f"{v} AS {k}" for k, v in parts.items()) + f" FROM {source}"
+
+
+PROFILE_SQL = {
+    source: " UNION ALL ".join(_profile_sql(source, *c.split(":")) for c in columns.split())
+    for source, columns in COLUMNS.items()
+}
+
+
+def typed_profile(stats):
+    """The common statistics with bounds as numbers and times."""
+    number, time = F.col("kind") == "number", F.col("kind") == "datetime"
+    bound = lambda side: [
+        F.when(number, F.col(f"{side}_value").try_cast("double")).alias(f"{side}_number"),
+        F.when(time, F.col(f"{side}_value").try_cast("timestamp_ntz")).alias(f"{side}_time"),
+    ]
+    rest = [c for c in ("entity_rn", "field_rn", "column_name", "name", "type", "kind") if c in stats.columns]
+    return stats.select(
+        *rest, *bound("low"), *bound("high"), "max_length", F.round("avg_length", 6).alias("avg_length"), "nulls_count", "unique_count"
+    )
+
+
+@query("column_profile", PROFILE_SQL["lineitem"].replace("'lineitem' AS entity_rn, ", ""))
 def column_profile(spark, sf_dir):
-    """Every column of lineitem in one pass with approximate distinct counts."""
-    return pr.profile(table(spark, sf_dir, "lineitem"), distinct="approx")
+    """Every column of lineitem, the kind chosen by its type."""
+    return typed_profile(pr.profile(table(spark, sf_dir, "lineitem"), distinct="exact"))
+
+
+def table_profiles(spark, sf_dir):
+    """Statistics of every column of all test tables that has a kind."""
+    return union_all(*[
+        pr.profile(table(spark, sf_dir, source), distinct="exact").withColumn("entity_rn", F.lit(source)) for source in COLUMNS
+    ])
+
+
+@query(
+    "stats_join_fields",
+    FIELDS_SQL
+    + f", stats AS ({' UNION ALL '.join(PROFILE_SQL.values())})"
+    + """
+SELECT f.entity_rn, f.field_rn, f.name, f.type, s.* EXCLUDE (entity_rn, column_name)
+FROM fields f LEFT JOIN stats s ON f.depth = 0 AND f.entity_rn = s.entity_rn AND f.name = s.column_name""",
+)
+def stats_join_fields(spark, sf_dir):
+    """Fields of every file of the folder with the statistics of every column."""
+    return typed_profile(pr.join_stats(folder_fields(spark, sf_dir), table_profiles(spark, sf_dir)))
+
+
+def flagship(spark, sf_dir):
+    """One row per field of every file of the folder, with type and statistics."""
+    return pr.join_stats(folder_fields(spark, sf_dir), table_profiles(spark, sf_dir))
 
 
 @query(

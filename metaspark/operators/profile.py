@@ -143,11 +143,17 @@ def as_field_stats(stats: DataFrame, kind: str) -> DataFrame:
 
 
 def profile(df: DataFrame, distinct: str = "approx") -> DataFrame:
-    """Statistics of every column of a table, the kind chosen by its type."""
+    """Statistics of every column of a table, the kind chosen by its type.
+
+    Whole numbers and decimals keep their digits; columns of other types (lists, structs)
+    have no statistics.
+    """
     kinds: dict[str, list[str]] = {}
     for name, dtype in df.dtypes:
         base = dtype.split("(")[0]
-        if base in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        if base in ("tinyint", "smallint", "int", "bigint"):
+            kinds.setdefault("whole", []).append(name)
+        elif base in ("float", "double"):
             kinds.setdefault("number", []).append(name)
         elif base == "decimal":
             kinds.setdefault("decimal", []).append(name)
@@ -163,6 +169,8 @@ def profile(df: DataFrame, distinct: str = "approx") -> DataFrame:
     for kind, names in kinds.items():
         if kind == "boolean":
             stats = boolean_stats(df, names)
+        elif kind == "whole":
+            stats = datetime_stats(df, {n: df[n].cast("bigint") for n in names}, distinct)
         elif kind == "decimal":
             stats = _union([decimal_stats(df, [n], distinct).withColumns(
                 {"low_value": F.col("low_value").cast("string"), "high_value": F.col("high_value").cast("string")}
@@ -170,7 +178,7 @@ def profile(df: DataFrame, distinct: str = "approx") -> DataFrame:
         else:
             run = {"number": number_stats, "datetime": datetime_stats, "string": string_stats, "binary": binary_stats}
             stats = _datetime_text(run[kind], df, names, distinct)
-        parts.append(as_field_stats(stats, "number" if kind == "decimal" else kind))
+        parts.append(as_field_stats(stats, "number" if kind in ("decimal", "whole") else kind))
     return _union(parts)
 
 
@@ -225,8 +233,16 @@ def unscaled_value(encoded: Column) -> Column:
 
 
 def scaled_decimal(value: Column) -> Column:
-    """``unscaled * 10^-scale`` of a reported decimal."""
-    return unscaled_value(value["UnscaledValue"]).cast("double") / F.pow(F.lit(10.0), value["Scale"])
+    """``unscaled * 10^-scale`` of a reported decimal as text, digit by digit."""
+    unscaled = unscaled_value(value["UnscaledValue"]).cast("string")
+    scale = F.greatest(value["Scale"], F.lit(0))
+    sign = F.when(unscaled.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(unscaled, "^-", "")
+    digits = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
+    whole = F.substr(digits, F.lit(1), F.length(digits) - scale)
+    fraction = F.substr(digits, F.length(digits) - scale + 1, scale)
+    zeros = F.repeat(F.lit("0"), F.greatest(-value["Scale"], F.lit(0)))
+    return F.when(scale > 0, F.concat(sign, whole, F.lit("."), fraction)).otherwise(F.concat(unscaled, zeros))
 
 
 def reported_stats(reports: DataFrame) -> DataFrame:
@@ -245,8 +261,8 @@ def reported_stats(reports: DataFrame) -> DataFrame:
     keys = [c for c in reports.columns if c != "report"]
 
     def bound(side: str) -> Column:
-        plain = {t: source[t][side].cast("double" if t == "LONG" else "string").cast("string") for t in numeric}
-        return pick(**plain, DECIMAL=scaled_decimal(source["DECIMAL"][side]).cast("string"))
+        plain = {t: source[t][side].cast("string") for t in numeric}
+        return pick(**plain, DECIMAL=scaled_decimal(source["DECIMAL"][side]))
 
     return reports.select(
         *keys,

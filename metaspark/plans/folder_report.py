@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import base_name, file_format
 from ..functions.text import allowed
-from ..operators.profile import as_field_stats, join_stats
 from ..operators.type_tree import field_rows
 from ..sources.objects import list_objects, scan_schemas
 
@@ -48,13 +45,3 @@ def folder_columns(spark: SparkSession, root: str, exclude: list[str] | None = N
 def folder_fields(spark: SparkSession, root: str, exclude: list[str] | None = None) -> DataFrame:
     fields, _ = field_rows(folder_columns(spark, root, exclude))
     return fields
-
-
-def fields_with_stats(fields: DataFrame, stats: dict[str, list[tuple[str, DataFrame]]]) -> DataFrame:
-    """Attach statistics: ``stats`` maps a dataset to (kind, stats frame) pairs."""
-    rows = [
-        as_field_stats(frame, kind).withColumn("entity_rn", F.lit(dataset))
-        for dataset, frames in stats.items()
-        for kind, frame in frames
-    ]
-    return join_stats(fields, reduce(DataFrame.unionByName, rows))

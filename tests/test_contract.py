@@ -25,12 +25,18 @@ def con():
 def test_entry(spark):
     df = entry_module.entry(spark)
     rows = df.collect()
-    assert len(rows) == 64 and {r.kind for r in rows} == {"number", "datetime", None}
+    assert len(rows) == 64 and {r.kind for r in rows} == {"number", "datetime", "string", None}
 
 
 def test_check_sql_belongs_to_queries():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
-    assert set(entry_module.queries()) - set(entry_module.oracle_sql()) == {"column_profile"}
+    left = set(entry_module.queries()) - set(entry_module.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in left)
+
+
+def test_entity_names_are_unique(spark):
+    union = entry_module.queries()["entity_union"](spark, SF)
+    assert union.groupBy("entity_rn").count().filter("count > 1").isEmpty()
 
 
 @pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))

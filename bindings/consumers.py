@@ -305,7 +305,7 @@ WITH c AS (
     "experiment_tree",
     _COMPONENT_SQL
     + entity_sql(
-        "FROM c",
+        "FROM (SELECT trial_rn, component, l_linenumber, min(l_shipdate) AS l_shipdate FROM c GROUP BY ALL)",
         entity_rn="trial_rn || '/jobs/' || component",
         source_rn=f"'{aws('sagemaker')}'",
         name="'step-' || l_linenumber",

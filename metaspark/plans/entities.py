@@ -458,9 +458,16 @@ def trial_members(docs: DataFrame, scope: Scope) -> DataFrame:
 
 
 def component_entities(tree: DataFrame, scope: Scope) -> DataFrame:
-    """Components; ``tree`` as from ``experiments.experiment_tree`` with created_at and updated_at."""
+    """Components; ``tree`` as from ``experiments.experiment_tree`` with created_at and updated_at.
+
+    A component listed more than once in a trial is one entity, from its first creation to
+    its last update.
+    """
+    once = tree.groupBy("experiment_name", "trial_name", "component_name").agg(
+        F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at")
+    )
     return entity(
-        tree,
+        once,
         entity_rn=component_rn(scope, F.col("experiment_name"), F.col("trial_name"), F.col("component_name")),
         source_rn=scope.source("sagemaker"),
         name=job_name(F.col("component_name")),

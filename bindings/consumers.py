@@ -417,7 +417,7 @@ def _links(spark, sf_dir):
     artifacts = artifact_docs.select(
         F.col("d.ArtifactArn").alias("artifact_arn"), F.col("d.Source.SourceUri").alias("uri")
     )
-    return ex.artifact_links(associations, artifacts)
+    return ex.artifact_links(associations, artifacts, SCOPE.source("sagemaker"))
 
 
 @query(
@@ -455,7 +455,8 @@ def artifact_dedup(spark, sf_dir):
     ),
 )
 def artifact_entities(spark, sf_dir):
-    return wall_clock(en.artifact_entities(_links(spark, sf_dir), SCOPE))
+    links = ex.links_of_tree(_links(spark, sf_dir), _tree(spark, sf_dir))
+    return wall_clock(en.artifact_entities(links, SCOPE))
 
 
 @query(

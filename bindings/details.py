@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from metaspark.functions.text import iso_text
+from metaspark.operators import experiments as ex
 from metaspark.operators import lineage as ln
 from metaspark.operators import metadata_kv as kv
 from metaspark.operators import selection as sel
 from metaspark.operators.descent import descend
-from metaspark.operators.experiments import metric_rows
 from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
@@ -187,4 +188,34 @@ def component_metrics(spark, sf_dir):
     opened = docs.select(F.col("d.TrialComponentName").alias("component"), F.explode("d.Metrics").alias("m"))
     names = ["MetricName", "SourceArn", "TimeStamp", "Max", "Min", "Last", "Count", "Avg", "StdDev"]
     labels = ["metric_name", "source_arn", "time_stamp", "max", "min", "last", "count", "avg", "std_dev"]
-    return metric_rows(opened.select("component", *[F.col(f"m.{n}").alias(a) for n, a in zip(names, labels)]), ["component"])
+    return ex.metric_rows(opened.select("component", *[F.col(f"m.{n}").alias(a) for n, a in zip(names, labels)]), ["component"])
+
+
+_CHOSEN = ["exp-1", "exp-2", "exp-5", "no such experiment"]
+
+
+@query(
+    "experiment_list",
+    f"""
+SELECT DISTINCT 'exp-' || o_custkey AS experiment_name, 'trial-' || o_orderkey AS trial_name,
+       'arn:aws:sm:eu:1:experiment-trial-component/' || l_orderkey || '-' || l_linenumber AS component_arn
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE 'exp-' || o_custkey IN ({", ".join(repr(n) for n in _CHOSEN)})""",
+)
+def experiment_list(spark, sf_dir):
+    """Components of the experiments on a name list."""
+    name = F.col("d.ExperimentName")
+    experiments = consumers._experiment_docs(spark, sf_dir).select(name.alias("experiment_name"))
+    trials = consumers._trial_docs(spark, sf_dir).select(F.col("d.TrialName").alias("trial_name"), name.alias("experiment_name"))
+    components = consumers._component_docs(spark, sf_dir).select(
+        F.col("d.TrialComponentArn").alias("component_arn"), F.col("d.TrialName").alias("trial_name")
+    )
+    return ex.experiment_tree(experiments, trials, components, _CHOSEN).distinct()
+
+
+@query(
+    "iso_times",
+    "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS at FROM events",
+)
+def iso_times(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", iso_text(F.col("ts")).alias("at"))

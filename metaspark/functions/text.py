@@ -54,3 +54,8 @@ def job_name(component: Column) -> Column:
     # Fixed value: must accept exactly the names the service generates.
     generated = r"^([a-z]*-[a-z|0-9]*-+)(.*)(-.*-aws-(training|processing)-job)$"
     return F.when(component.rlike(generated), F.regexp_extract(component, generated, 2)).otherwise(component)
+
+
+def iso_text(ts: Column, offset: str = "Z") -> Column:
+    """ISO-8601 rendering of a wall-clock time, for consumers that want text."""
+    return F.concat(F.date_format(ts.cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(offset))

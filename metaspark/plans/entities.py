@@ -491,13 +491,16 @@ def artifact_entities(links: DataFrame, scope: Scope) -> DataFrame:
 
 
 def component_edges(tree: DataFrame, links: DataFrame, scope: Scope) -> DataFrame:
-    """Unique inputs and outputs of components, images' outputs and models' consumers."""
+    """Unique inputs and outputs of components, images' outputs and models' consumers.
+
+    Both sides are made unique on their short keys; long names come last.
+    """
     rn = component_rn(scope, F.col("experiment_name"), F.col("trial_name"), F.col("component_name"))
     kind = F.col("artifact_type")
-    artifact = ex.artifact_name(kind, F.col("artifact_arn"), F.col("uri"), scope.source("sagemaker"))
-    linked = links.join(tree.select("component_arn", rn.alias("component_rn")), "component_arn").select(
-        "direction", kind, "component_rn", artifact.alias("artifact_rn")
-    )
+    kept = links.filter(F.col("artifact_rn").isNotNull())
+    kept = kept.select("component_arn", "direction", "artifact_type", "artifact_rn").distinct()
+    components = tree.select("component_arn", "experiment_name", "trial_name", "component_name").distinct()
+    linked = kept.join(components, "component_arn").withColumn("component_rn", rn)
     component_side = F.struct(
         F.col("component_rn").alias("via_rn"), F.col("artifact_rn").alias("other_rn"), F.col("direction").alias("role")
     )
@@ -507,13 +510,7 @@ def component_edges(tree: DataFrame, links: DataFrame, scope: Scope) -> DataFram
     artifact_side = F.struct(
         F.col("artifact_rn").alias("via_rn"), F.col("component_rn").alias("other_rn"), artifact_role.alias("role")
     )
-    return (
-        linked.filter(F.col("artifact_rn").isNotNull())
-        .select(F.explode(F.array(component_side, artifact_side)).alias("e"))
-        .select("e.*")
-        .filter(F.col("role").isNotNull())
-        .distinct()
-    )
+    return linked.select(F.inline(F.array(component_side, artifact_side))).filter(F.col("role").isNotNull())
 
 
 def feature_rn(scope: Scope) -> Column:

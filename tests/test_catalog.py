@@ -86,13 +86,13 @@ def test_artifacts(spark):
         [(arn + "artifact/i1", "Image", "c2", "Job"), (arn + "artifact/i2", "Image", "c1", "Job"),
          ("c1", "Job", arn + "artifact/m", "Model"), (arn + "artifact/d", "DataSet", "c1", "Job"),
          (arn + "artifact/bad", "DataSet", "c1", "Job"), (arn + "context/x", "Image", "c1", "Job"),
-         (arn + "artifact/l", "Log", "c1", "Job")],
+         (arn + "artifact/l", "Log", "c1", "Job"), (arn + "artifact/m", "Model", arn + "artifact/d", "DataSet")],
         "source_arn string, source_type string, destination_arn string, destination_type string")
     artifacts = spark.createDataFrame(
         [(arn + "artifact/i1", "reg/img:1"), (arn + "artifact/i2", "reg/img:1"), (arn + "artifact/m", "s3://m/x"),
          (arn + "artifact/d", "s3://b/k.csv"), (arn + "artifact/bad", "no url"), (arn + "artifact/l", "x")],
         "artifact_arn string, uri string")
-    links = ex.artifact_links(associations, artifacts)
+    links = ex.artifact_links(associations, artifacts, SCOPE.source("sagemaker"))
     assert links.count() == 5
     # two image artifacts with one URI are one entity, first component wins
     unique = {r.artifact_key: r.component_arn for r in ex.unique_artifacts(links).collect()}
@@ -108,6 +108,7 @@ def test_artifacts(spark):
     }
     assert {(r.name, r.entity_type) for r in en.artifact_entities(links, SCOPE).collect()} == {
         ("img:1", "MICROSERVICE"), ("model", "ML_MODEL_TRAINING")}
+    assert {r.component_arn for r in ex.links_of_tree(links, tree.filter("component_arn = 'c2'")).collect()} == {"c2"}
 
 
 def test_experiment_name_list(spark):

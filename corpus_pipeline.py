@@ -18,22 +18,36 @@ from metaspark.llm.queries import RANKS, fold, toxicity_model
 from metaspark.llm.registry import query, table
 from metaspark.session import scratch_path
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC_FROM = 0.5
 SURE_FROM = 0.5
 BROADCAST_IDS = 500_000
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Columns beyond those of the documents in one struct, where no name of an operator's can clash with theirs."""
+    extra = [c for c in docs.columns if c not in COLUMNS]
+    if not extra:
+        return docs
+    return docs.select(*[c for c in docs.columns if c in COLUMNS], F.struct(*[F.col(f"`{c}`") for c in extra]).alias("extra_columns"))
+
+
+def as_before(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``df`` with the columns of ``docs``, taken out of the struct again."""
+    return df.select(*[F.col(c) if c in COLUMNS else F.col(f"extra_columns.`{c}`").alias(c) for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity, learned from the labels, is below 0.5."""
-    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
-    return scored.filter(F.col("tox_score") < TOXIC_FROM).select(*docs.columns)
+    scored = toxicity.score(packed(docs), toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return as_before(scored.filter(F.col("tox_score") < TOXIC_FROM), docs)
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters whose language, learned from ``lang``, is at least as likely as not."""
-    named = langid.identify(docs, langid.train(docs.filter(fold(4) != 2)))
+    named = langid.identify(packed(docs), langid.train(docs.filter(fold(4) != 2)))
     sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= SURE_FROM)
-    return named.filter(sure).select(*docs.columns)
+    return as_before(named.filter(sure), docs)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,22 +55,23 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Documents without an id can't be told apart by it and stay.
     """
-    known = docs.filter("doc_id IS NOT NULL")
+    rows = packed(docs)
+    known = rows.filter("doc_id IS NOT NULL")
     path = scratch_path(spark, "groups")
     jaccard.near_duplicates(known).write.parquet(path)
     groups = spark.read.parquet(path)
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = known.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = known.join(gone, "doc_id", "left_anti").select(*rows.columns)
     if not groups.groupBy("doc_id").count().filter("count > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    return as_before(kept.unionByName(rows.filter("doc_id IS NULL")), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix of sources at their target weights takes it."""
-    return mixing.expand(mixing.mix(docs)).select(*docs.columns)
+    return as_before(mixing.expand(mixing.mix(packed(docs))), docs)
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

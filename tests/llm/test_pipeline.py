@@ -19,10 +19,12 @@ def test_stage_on_odd_rows(spark, name, stage):
         (None, "", "fr", "b", 0), (4, "Ünder " * 5000, "de", "b", 1), (None, base + " x", "de", "a", 1),
     ]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    df = df.withColumns({c: F.lit(1) for c in ("score", "label", "set_id", "weight", "target")})
+    names = ("score", "label", "set_id", "weight", "target", "_size", "_copies", "tox_score", "lang_pred", "n_tokens", "a.b")
+    df = df.withColumns({c: F.lit("own") for c in names})
     out = stage(spark, df, SF)
     if name != "tokens":
         assert out.columns == df.columns
+        assert {r["_size"] + r.tox_score + r["lang_pred"] for r in out.collect()} <= {"ownownown"}
     assert out.count() <= 3 * len(rows)
     assert stage(spark, df.limit(0), SF).count() == 0
 

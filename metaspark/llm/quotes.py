@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from metaspark.functions.text import with_once
 from metaspark.session import cut_lineage
 
 MARKS = r"^(?:[ \t]?>)+"
@@ -35,10 +36,11 @@ def parsed(messages: DataFrame) -> DataFrame:
             F.regexp_replace(line, MARKS + " ?", "").alias("body"),
         ),
     )
-    rows = messages.withColumn("_lines", lines)
+    # each step is a column computed once a row: lambdas would compute it again an element
+    rows = with_once(messages, "_lines", lines)
     level = lambda i: F.element_at("_lines", i).getField("level")
     first = F.filter(F.sequence(F.lit(1), F.size("_lines")), lambda i: (i == 1) | (level(i) != level(F.greatest(i - 1, F.lit(1)))))
-    rows = rows.withColumn("_first", first)
+    rows = with_once(rows, "_first", first)
     until = lambda k: F.coalesce(F.get("_first", k + 1), F.size("_lines") + 1)
     runs = F.transform(
         "_first",
@@ -47,8 +49,8 @@ def parsed(messages: DataFrame) -> DataFrame:
             F.array_join(F.transform(F.slice("_lines", i, until(k) - i), lambda x: x["body"]), "\n").alias("body"),
         ),
     )
-    return rows.withColumn("_runs", F.when(F.col("text").isNotNull(), runs).otherwise(F.expr("array()").cast(
-        "array<struct<level:int,body:string>>"))).drop("_lines", "_first")
+    none = F.array().cast("array<struct<level:int,body:string>>")
+    return with_once(rows, "_runs", F.when(F.col("text").isNotNull(), runs).otherwise(none)).drop("_lines", "_first")
 
 
 def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -63,12 +65,12 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn")
     conversation or turn, and rows repeating a turn, stay: the former are on their own,
     the latter share their links.
     """
-    made = ("reply_turn", "quotes", "linked", "root_turn", "reply_depth", "position", "_runs", "_lines", "_first", "_id")
+    made = ("reply_turn", "quotes", "linked", "root_turn", "reply_depth", "position", "_runs", "_lines", "_first", "_own", "_c", "_t")
     base = messages.drop(*made)
     key = [F.col(conversation).alias("_c"), F.col(turn).alias("_t")]
     rows = parsed(base)
     own = F.array_join(F.transform(F.filter("_runs", lambda r: r["level"] == 0), lambda r: r["body"]), "\n")
-    rows = rows.withColumn("_own", F.trim(own))
+    rows = with_once(rows, "_own", F.trim(own))
     quoted = F.filter("_runs", lambda r: (r["level"] > 0) & (F.trim(r["body"]) != ""))
     facts = rows.select(
         *key,

@@ -41,8 +41,8 @@ WINDOW = 32
 LANES = 64
 SCORE_LANES = 256
 SCORE_WINDOW = 64
-SLICE_BYTES = 6 << 20
-COUNT_WORDS = 1 << 22
+SLICE_BYTES = 3 << 20
+COUNT_WORDS = 1 << 21
 WEIGHT_BLOCK = 1024
 SEED = 5
 
@@ -102,8 +102,20 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def summary(counted: DataFrame, documents: int) -> Counts:
-    """The lookup of the commonest words and the totals of the classes."""
-    top = counted.orderBy(F.desc("n"), "word").limit(LOOKUP).collect()
+    """The lookup of the commonest words and the totals of the classes.
+
+    Counts fall into eight steps a doubling; the lookup takes whole steps, from the largest
+    counts on, while they hold ``LOOKUP`` words at most.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    steps = counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()  # some hundreds at most
+    least, held = None, 0
+    for r in steps:
+        if (held := held + r["count"]) > LOOKUP:
+            break
+        least = r.step
+    top = [] if least is None else counted.filter(step >= least).collect()
+    top.sort(key=lambda r: (-r.n, r.word))
     words = min(len(top), FIRST_CLASS)
     totals = {r["class"]: (r.s, r.v) for r in counted.groupBy("class").agg(F.sum("n").alias("s"), F.count("*").alias("v")).collect()}
     mass = np.array([totals.get(k, (0, 0))[0] for k in range(CLASSES)], dtype=np.float64)

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 
 from .frames import extended
 
-STATES = 1 << 16
-PIECES = 1 << 18
-PAIRS = 1 << 20
+STATES = 1 << 15
+PIECES = 1 << 17
+PAIRS = 1 << 18
 JOIN_TOKENS = 1 << 16
 
 

@@ -26,16 +26,18 @@ from .words import mixed, shingle_sets, text_slices
 
 WORDS = 5
 PERCENT = 75
-SPREAD = 2
-HEAVY_SHARE = 0.002
+SPREAD = 1.4
+HEAVY_SHARE = 0.0012
 HEAVY_SAMPLE = 1 << 14
 HEAVY_BITS = 22
 HEAVY_MOST = 1 << 16
-BLOCK_SIGNATURES = 1 << 20
+BLOCK_SIGNATURES = 1 << 18
 BLOCK_OWNERS = 1 << 16
-PART_SIGNATURES = 1 << 19
-REMEMBERED = 1 << 20
+PART_SIGNATURES = 1 << 18
+PARTS_IN_TASK = 8
+REMEMBERED = 1 << 17
 BUCKET_BLOCK = 1024
+FOUND_PAIRS = 1 << 16
 BROADCAST_PAIRS = 400_000
 U64 = np.uint64
 STEP = U64(0x9E3779B97F4A7C15)
@@ -57,8 +59,8 @@ def set_keys(flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Parities of hashed shingles in at least four bits each: sets that differ in d shingles differ in at most d bits."""
-    bits = max(64, 1 << int(4 * len(shingles) - 1).bit_length())
+    """Parities of hashed shingles in at least two bits each: sets that differ in d shingles differ in at most d bits."""
+    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
     place = (mixed(shingles ^ U64(0x5851F42D4C957F2D)) & U64(bits - 1)).astype(np.int64)
     return np.packbits(np.bincount(place, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
 
@@ -92,7 +94,7 @@ def signatures(flat: np.ndarray, ends: np.ndarray, heavy: np.ndarray, percent: i
         most = 2 * high * (100 - percent) // (100 + percent)
         todo = used
         for light in (True, False):
-            parts = np.where(todo, most * (SPREAD if light else 1) + 1, 0)
+            parts = np.where(todo, (most * (SPREAD if light else 1)).astype(np.int64) + 1, 0)
             offset = np.cumsum(parts) - parts
             pick = todo[owner] & is_light if light else todo[owner]
             own, shingle = owner[pick], flat[pick]
@@ -230,9 +232,8 @@ def _signature_blocks(known, percent: int, parts: int):
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets of two sets or more, from blocks sorted by part; equal buckets of a part once."""
 
-    def buckets(blocks: list[tuple]) -> pa.RecordBatch | None:
-        sig = np.concatenate([np.frombuffer(s, dtype=U64) for s, _, _ in blocks])
-        key = np.concatenate([np.frombuffer(k, dtype=np.int64)[np.frombuffer(p, dtype=np.uint16)] for _, k, p in blocks])
+    def buckets(blocks: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch | None:
+        sig, key = (np.concatenate(c) for c in zip(*blocks))
         order = np.argsort(sig)
         sig, key = sig[order], key[order]
         again = sig[1:] == sig[:-1]
@@ -264,13 +265,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     at, blocks = None, []
     for batch in batches:
-        for part, *block in zip(*(c.to_pylist() for c in batch.columns)):
+        for j, part in enumerate(batch.column(0).to_pylist()):
             if part != at and blocks:
                 if (found := buckets(blocks)) is not None:
                     yield found
                 blocks = []
             at = part
-            blocks.append(tuple(block))
+            sig, key, place = (
+                np.frombuffer(batch.column(c)[j].as_buffer(), dtype=kind) for c, kind in ((1, U64), (2, np.int64), (3, np.uint16))
+            )
+            blocks.append((sig, key[place]))
     if blocks and (found := buckets(blocks)) is not None:
         yield found
 
@@ -311,7 +315,7 @@ def _across(percent: int):
         out_a, out_b = [], []
         if not len(left) or not len(right) or len({*labels.tolist()}) == 1:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        step = max(1, (1 << 21) // (len(right) * words))
+        step = max(1, (1 << 19) // (len(right) * words))
         for at in range(0, len(left), step):
             i = left[at : at + step]
             near = labels[i][:, None] != labels[right][None, :]
@@ -346,7 +350,7 @@ def _across(percent: int):
                     if len(rows) > 1:
                         found.update(zip(*(v.tolist() for v in pairs(rows))))
                     at, rows = (bucket, i, j), []
-                    if len(found) > 1 << 18:
+                    if len(found) > FOUND_PAIRS:
                         yield flushed()
                 rows.append(tuple(row))
         if len(rows) > 1:
@@ -420,7 +424,7 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     blocks = texts.select("text").mapInArrow(
         _signature_blocks(known, percent, parts), "part long, sigs binary, keys binary, places binary"
     )
-    shared = blocks.repartition("part").sortWithinPartitions("part")
+    shared = blocks.repartition(-(-parts // PARTS_IN_TASK), "part").sortWithinPartitions("part")
     shared = shared.mapInArrow(_shared, "bucket long, set_id long, leader long").distinct()
     members = _written(shared, "members")
 

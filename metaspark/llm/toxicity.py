@@ -32,8 +32,8 @@ GAP = 0.2
 LEXICON = 1 << 16
 TRAINING_ROWS = 1 << 16
 SIGNIFICANT = 0.05
-MEMO = 1 << 18
-COUNTER_WORDS = 1 << 18
+MEMO = 1 << 17
+COUNTER_WORDS = 1 << 17
 
 
 class Segment(NamedTuple):

@@ -13,8 +13,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
-SPAN_BYTES = 4 << 20
+SLICE_BYTES = 1 << 19
+SPAN_BYTES = 1 << 19
 U64 = np.uint64
 BASE = int(0x9E3779B97F4A7C15)
 
@@ -40,6 +40,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
         yield row, end, buffer[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,7 +88,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         base = int(starts[at])
         stop = max(at + 1, int(np.searchsorted(ends, base + SPAN_BYTES, side="right")))
         span = int(ends[stop - 1]) - base
-        up, down = _powers(max(span + 1, 1 << 16))
+        up, down = _powers(max(span + 1, SPAN_BYTES + 1))
         sums = np.zeros(span + 1, dtype=U64)
         np.cumsum((LOWER[data[base : base + span]].astype(U64) + U64(1)) * up[:span], out=sums[1:])
         s, e = starts[at:stop] - base, ends[at:stop] - base

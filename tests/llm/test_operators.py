@@ -1,4 +1,4 @@
-"""The training-data operators against brute force, on odd rows and on the small tables."""
+"""The training-data operators against brute force, on strange rows and on the small tables."""
 
 import collections
 import hashlib
@@ -33,7 +33,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def odd_rows():
+def strange_rows():
     """Nulls in every column, empty and blank texts, a very long one, copies and a repeated row."""
     rnd = random.Random(3)
     long_text = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "é", "ß"]) for _ in range(40_000))
@@ -48,8 +48,8 @@ def odd_rows():
 
 
 @pytest.fixture(scope="module")
-def odd(spark):
-    df = spark.createDataFrame(odd_rows(), DOCS)
+def strange(spark):
+    df = spark.createDataFrame(strange_rows(), DOCS)
     clash = ["_size", "_rate", "slot", "tox_score", "lang_pred", "n_tokens", "set_id", "label", "component_id", "score", "row", "part"]
     return df.withColumns({c: F.lit("own") for c in clash})
 
@@ -59,11 +59,11 @@ def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
-def plain(spark, odd):
-    return spark.createDataFrame([], DOCS), odd
+def plain(spark, strange):
+    return spark.createDataFrame([], DOCS), strange
 
 
-def test_mix_targets_and_copies(spark, odd, docs):
+def test_mix_targets_and_copies(spark, strange, docs):
     rows = mixing.mix(docs).collect()
     sizes = collections.Counter()
     for r in rows:
@@ -85,14 +85,14 @@ def test_mix_targets_and_copies(spark, odd, docs):
         assert math.floor(target[r.source] / sizes[r.source]) <= r["_copies"] <= math.ceil(target[r.source] / sizes[r.source])
     assert sum(r["_copies"] * r["_size"] for r in rows) == pytest.approx(sum(sizes.values()), rel=0.35)
     assert sorted(map(tuple, mixing.mix(docs).select("doc_id", "_copies").collect())) == sorted((r.doc_id, r["_copies"]) for r in rows)
-    mixed = mixing.mix(odd)
-    assert mixed.count() == odd.count() and mixing.expand(mixed).count() == mixed.agg(F.sum("_copies")).first()[0]
-    salted = mixing.mix(odd, broadcast_sources=0).select("doc_id", "_copies", "_target")
+    mixed = mixing.mix(strange)
+    assert mixed.count() == strange.count() and mixing.expand(mixed).count() == mixed.agg(F.sum("_copies")).first()[0]
+    salted = mixing.mix(strange, broadcast_sources=0).select("doc_id", "_copies", "_target")
     assert sorted(salted.collect(), key=str) == sorted(mixed.select("doc_id", "_copies", "_target").collect(), key=str)
     assert mixing.expand(mixing.mix(spark.createDataFrame([], DOCS))).count() == 0
 
 
-def test_shards(spark, odd):
+def test_shards(spark, strange):
     rows = QUERIES["op2_shard_tree"](spark, SF).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     slots = collections.defaultdict(list)
@@ -102,8 +102,8 @@ def test_shards(spark, odd):
         assert r.grown_shard in (r.shard, 24)
         slots[r.shard].append(r.slot)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    placed = sharding.shard(odd, sharding.even_tree(4), sharding.even_tree(5))
-    assert placed.count() == odd.count() and placed.filter("doc_id IS NULL AND _place IS NULL").isEmpty()
+    placed = sharding.shard(strange, sharding.even_tree(4), sharding.even_tree(5))
+    assert placed.count() == strange.count() and placed.filter("doc_id IS NULL AND _place IS NULL").isEmpty()
     numbered = sharding.slotted(placed.withColumn("s", F.col("_place.shard")), "s", ["doc_id", "text"], 100_000)
     per = collections.defaultdict(list)
     for r in numbered.collect():
@@ -122,17 +122,17 @@ def test_shard_weights_confine_movement(spark):
     assert got == pytest.approx(20_000 * 3 / 14, rel=0.05)
 
 
-def test_language(spark, odd, docs):
+def test_language(spark, strange, docs):
     rows = QUERIES["op3_language_bayes"](spark, "/root/testdata/sf0.01").collect()
     lang = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) >= 0.97 * len(held)
     assert all(0 <= r.score <= 1 for r in rows)
-    model = langid.train(odd)
-    found = {r.doc_id: r for r in langid.identify(odd, model).collect()}
+    model = langid.train(strange)
+    found = {r.doc_id: r for r in langid.identify(strange, model).collect()}
     assert {found[i].lang_pred for i in (4, 5, 6, 10)} == {"und"} and found[1].lang_pred in model.languages
     empty = langid.train(spark.createDataFrame([], DOCS))
-    assert empty.languages == [] and {r.lang_pred for r in langid.identify(odd, empty).collect()} == {"und"}
+    assert empty.languages == [] and {r.lang_pred for r in langid.identify(strange, empty).collect()} == {"und"}
     assert langid.identify(spark.createDataFrame([], DOCS), model).count() == 0
 
 
@@ -166,7 +166,7 @@ def test_maximal_segments():
         assert [s for *_, s in got] == pytest.approx([s for *_, s in want])
 
 
-def test_toxicity(spark, odd):
+def test_toxicity(spark, strange):
     big = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in QUERIES["op4_toxic_segments"](spark, big).collect()}
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{big}/labels.parquet").collect()}
@@ -174,9 +174,9 @@ def test_toxicity(spark, odd):
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in rows.items())
     marks = spark.createDataFrame([(1, 1), (3, 0), (None, 1), (9, None), (1, 0)], "doc_id long, label int")
-    for model in (toxicity.train(odd, marks), toxicity.train(odd, marks.limit(0))):
-        scored = toxicity.score(odd, model)
-        assert scored.count() == odd.count() and scored.filter("tox_score IS NULL OR tox_score > 1 OR tox_score < 0").isEmpty()
+    for model in (toxicity.train(strange, marks), toxicity.train(strange, marks.limit(0))):
+        scored = toxicity.score(strange, model)
+        assert scored.count() == strange.count() and scored.filter("tox_score IS NULL OR tox_score > 1 OR tox_score < 0").isEmpty()
         assert scored.filter("text IS NULL OR text = ''").select("tox_score").distinct().count() == 1
     assert toxicity.score(spark.createDataFrame([], DOCS), model).count() == 0
 
@@ -232,12 +232,12 @@ def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
     assert got == brute_components(rows)
 
 
-def test_near_duplicates_on_tables_and_odd_rows(spark, odd, docs):
+def test_near_duplicates_on_tables_and_strange_rows(spark, strange, docs):
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
     assert got == brute_components(texts)
-    out = jaccard.near_duplicates(odd).collect()
-    assert len(out) == odd.count()
+    out = jaccard.near_duplicates(strange).collect()
+    assert len(out) == strange.count()
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in out}
     assert found[1][1] == found[2][1] == found[3][1] == found[None][1] == 1 and found[7] == (1, 7) and found[8] == (1, 7)
     assert found[4] == (0, 4) and found[5] == (0, 5) and found[6] == (0, 6) and found[10] == (1, 10)
@@ -272,7 +272,7 @@ def test_components(spark):
 
 
 def test_shingles_of_words():
-    texts = [r[1] for r in odd_rows()]
+    texts = [r[1] for r in strange_rows()]
     sizes = []
     for _, _, data, offsets in text_slices(pa.array(texts), 64):
         _, ends = shingle_sets(data, offsets)
@@ -287,7 +287,7 @@ def tables():
     return ranks, tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_bpe_equals_the_library(spark, odd, tables):
+def test_bpe_equals_the_library(spark, strange, tables):
     import regex
 
     ranks, library = tables
@@ -301,8 +301,8 @@ def test_bpe_equals_the_library(spark, odd, tables):
         assert ids.tolist() == library.encode_ordinary(text)
         for step in (1, 3):
             assert "".join(bpe.decode_text(ids, machine.bytes_of, step)) == text
-    coded = bpe.encode(odd, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).collect()
-    assert len(coded) == odd.count()
+    coded = bpe.encode(strange, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN).collect()
+    assert len(coded) == strange.count()
     for r in coded:
         ids = np.array(library.encode_ordinary(r.text or ""), dtype="<u4")
         assert r.token_ids == ids.tobytes() and r.n_tokens == len(ids)
@@ -330,7 +330,7 @@ def test_utf8_stream_of_broken_bytes():
         assert out == raw.decode("utf-8", "replace")
 
 
-def test_fingerprints(spark, odd, docs):
+def test_fingerprints(spark, strange, docs):
     rows = QUERIES["op7_quartile_fingerprint"](spark, SF).orderBy("doc_id").collect()
     texts = [r.text or "" for r in docs.orderBy("doc_id").collect()]
     for r, text, following in zip(rows, texts, texts[1:] + texts[:1]):
@@ -341,20 +341,20 @@ def test_fingerprints(spark, odd, docs):
     assert np.mean([r.near_edited > r.near_next for r in rows]) > 0.98
     one = fingerprint.fingerprints(pa.array(["same text here", "same text here", "", None]))
     assert one[0] == one[1] and one[2] == one[3] and fingerprint.likeness(one[:1], one[1:2])[0] == 1.0
-    got = odd.select(fingerprint.fingerprint(F.col("text")).alias("f"))
+    got = strange.select(fingerprint.fingerprint(F.col("text")).alias("f"))
     assert got.filter("f IS NULL").isEmpty()
 
 
-def test_fingerprints_of_odd_rows(spark, odd, monkeypatch):
+def test_fingerprints_of_strange_rows(spark, strange, monkeypatch):
     monkeypatch.setattr(fingerprint, "ROWS_PER_RANGE", 2)
 
     def make(ids, texts, following):
         return [pa.array(ids, type=pa.int64()), pa.array(texts), pa.array(following)]
 
     columns = "doc_id long, text string, following string"
-    out = fingerprint.with_next(odd, columns, make).collect()
+    out = fingerprint.with_next(strange, columns, make).collect()
     key = lambda r: (-1 if r[0] is None else r[0], r[1] or "")
-    want = sorted(odd_rows(), key=key)
+    want = sorted(strange_rows(), key=key)
     assert sorted(map(tuple, out), key=lambda r: key(r)) == [
         (a[0], a[1] or "", b[1] or "") for a, b in zip(want, want[1:] + want[:1])
     ]
@@ -410,9 +410,9 @@ def test_neighbours_equal_brute_force(spark):
     vectors = rnd.standard_normal((3000, 24)).astype(np.float32)
     vectors[100:140] = vectors[100]  # ties
     rows = [(i, v.tolist(), "own") for i, v in enumerate(vectors)]
-    odd = [(5000, None, ""), (5050, [0.0] * 24, ""), (5051, [float("nan")] * 24, ""), (5052, [1.0, None] + [1.0] * 22, ""),
+    strange = [(5000, None, ""), (5050, [0.0] * 24, ""), (5051, [float("nan")] * 24, ""), (5052, [1.0, None] + [1.0] * 22, ""),
            (5053, [float("inf")] + [1.0] * 23, ""), (None, [1.0] * 24, ""), (5100, [1.0, 2.0], ""), (5101, [2.0, 4.0], ""), (50, rows[50][1], "")]
-    df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, block string")
+    df = spark.createDataFrame(rows + strange, "vec_id long, embedding array<float>, block string")
     got = collections.defaultdict(list)
     for r in ann.search(df, df.filter("vec_id % 50 = 0")).collect():
         got[r.query_id].append((r["rank"], r.vec_id, r.score))
@@ -441,7 +441,7 @@ def test_code_bounds_hold():
     assert (np.abs(estimate - exact) <= error).mean() > 0.98 and abs((estimate - exact).mean()) < 0.003
 
 
-def test_language_model(spark, odd):
+def test_language_model(spark, strange):
     big = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{big}/documents.parquet").select("doc_id", "text").collect()
     tokens = lambda t: [*words(t), None]
@@ -460,11 +460,11 @@ def test_language_model(spark, odd):
         assert mine.n_known == sum(count[w] > 0 for w in own) and mine.held_out == held(r.doc_id)
     fresh = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh)
-    few = recurrent.score(odd, odd.filter("doc_id < 9")).collect()
-    assert len(few) == odd.count() and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in few)
-    none = recurrent.score(odd, odd.limit(0)).collect()
+    few = recurrent.score(strange, strange.filter("doc_id < 9")).collect()
+    assert len(few) == strange.count() and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in few)
+    none = recurrent.score(strange, strange.limit(0)).collect()
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in none)
-    assert recurrent.score(odd.limit(0), odd).count() == 0
+    assert recurrent.score(strange.limit(0), strange).count() == 0
 
 
 def test_network_gradient_and_windows():

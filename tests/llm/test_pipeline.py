@@ -1,4 +1,4 @@
-"""The corpus pipeline: every stage on odd rows, and the whole against the operators' brute-force results."""
+"""The corpus pipeline: every stage on strange rows, and the whole against the operators' brute-force results."""
 
 import hashlib
 
@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
-def test_stage_on_odd_rows(spark, name, stage):
+def test_stage_on_strange_rows(spark, name, stage):
     base = " ".join(f"wort{i}" for i in range(30))
     rows = [
         (1, base, "de", "a", 1), (2, base, "de", None, 1), (2, base, "de", None, 1), (3, None, None, None, None),

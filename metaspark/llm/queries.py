@@ -167,7 +167,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("held_out", fold(10) == 0)
 
 
-@query("op8_quote_links")
+QUOTE_SQL = r"""
+WITH RECURSIVE m AS (
+  SELECT conv_id, turn, role, text, trim(regexp_replace(lower(text), '\s+', ' ', 'g')) AS plain FROM conversations),
+source AS (
+  SELECT conv_id, turn, plain AS s FROM m
+  UNION SELECT conv_id, turn, trim(regexp_replace(lower(p), '\s+', ' ', 'g'))
+  FROM (SELECT conv_id, turn, unnest(string_split(trim(text), chr(10))) AS p FROM m)),
+origin AS (SELECT conv_id, s, min(turn) AS origin FROM source WHERE s <> '' GROUP BY ALL),
+q AS (
+  SELECT conv_id, turn, role, text, lag(turn) OVER w AS before, lag(plain) OVER w AS q1, lag(plain, 2) OVER w AS q2
+  FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+r AS (
+  SELECT q.conv_id, q.turn, role, text, (coalesce(q1, '') <> '')::INTEGER + (coalesce(q2, '') <> '')::INTEGER AS quotes,
+         coalesce((a.origin < q.turn)::BIGINT, 0) + coalesce((b.origin < q.turn)::BIGINT, 0) AS linked,
+         CASE WHEN a.origin < q.turn THEN a.origin WHEN b.origin < q.turn THEN b.origin ELSE before END AS reply_turn
+  FROM q LEFT JOIN origin a ON a.conv_id = q.conv_id AND a.s = q1 LEFT JOIN origin b ON b.conv_id = q.conv_id AND b.s = q2),
+up AS (
+  SELECT conv_id, turn, turn AS root_turn, 0 AS reply_depth FROM r WHERE reply_turn IS NULL
+  UNION ALL
+  SELECT r.conv_id, r.turn, up.root_turn, up.reply_depth + 1 FROM r JOIN up ON r.conv_id = up.conv_id AND r.reply_turn = up.turn)
+SELECT conv_id, turn, role, reply_turn, quotes, linked, root_turn, reply_depth,
+       row_number() OVER (PARTITION BY conv_id ORDER BY root_turn, turn) - 1 AS position, trim(text) AS text
+FROM r JOIN up USING (conv_id, turn)
+"""
+
+
+@query("op8_quote_links", QUOTE_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reply links of all conversations.
 

@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from .frames import extended
 
 STATES = 1 << 15
-PIECES = 1 << 17
-PAIRS = 1 << 18
+PIECES = 1 << 16
+PAIRS = 1 << 17
+ROWS = 128  # rows encoded at once
 JOIN_TOKENS = 1 << 16
 
 
@@ -261,7 +262,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = True
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer(read_ranks(known.value))
         matches = regex.compile(pattern)
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             counts, blobs, ids_hash, text_hash = [], [], [], []
             for value in batch.column(place):
                 ids = machine.encode(value.as_py() or "", matches)

@@ -98,17 +98,21 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn")
     tree = cut_lineage(
         parents.withColumn("_up", F.coalesce("reply_turn", "_t")).withColumn("reply_depth", (F.col("_up") != F.col("_t")).cast("int"))
     )
-    while True:  # each round doubles how far up a message sees
-        above = tree.select("_c", F.col("_t").alias("_up"), F.col("_up").alias("_higher"), F.col("reply_depth").alias("_more"))
-        joined = tree.join(above, ["_c", "_up"]).withColumn("_moved", F.col("_higher") != F.col("_up"))
-        tree = cut_lineage(
+    placed_rows, moving = tree.filter("_up = _t"), tree.filter("_up <> _t")
+    while True:  # each round doubles how far up the messages see that have not seen a first one yet
+        known = placed_rows.unionByName(moving)
+        above = known.select("_c", F.col("_t").alias("_up"), F.col("_up").alias("_higher"), F.col("reply_depth").alias("_more"))
+        joined = moving.join(above, ["_c", "_up"]).withColumn("_moved", F.col("_higher") != F.col("_up"))
+        stepped = cut_lineage(
             joined.withColumn("_up", F.col("_higher"))
             .withColumn("reply_depth", F.col("reply_depth") + F.col("_more"))
             .drop("_higher", "_more")
         )
-        if tree.filter("_moved").isEmpty():
+        placed_rows = placed_rows.unionByName(stepped.filter("NOT _moved").drop("_moved"))
+        moving = stepped.filter("_moved").drop("_moved")
+        if moving.isEmpty():
             break
-        tree = tree.drop("_moved")
+    tree = placed_rows
     order = W.partitionBy("_c").orderBy("_up", "_t")
     placed = tree.withColumn("position", (F.row_number().over(order) - 1).cast("long"))
     placed = placed.select("_c", "_t", "reply_turn", "quotes", "linked", F.col("_up").alias("root_turn"), "reply_depth", "position")

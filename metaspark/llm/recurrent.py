@@ -5,8 +5,8 @@ commonest words, an end, and classes that the other words fall into by their las
 softmax over groups of symbols and one inside the group make a step's cost grow with the
 square root of the symbols.  A word of a class is then as likely as its count in the class,
 so probabilities of all words, unseen ones included, sum to one.  The network is trained by
-backpropagation through truncated windows on a share of the training documents, in as many
-trainers as the share needs, whose weights are averaged.  Scoring carries the state through
+backpropagation through truncated windows on all training documents, in as many trainers as
+they need, whose weights are averaged.  Scoring carries the state through
 all windows of a document.
 """
 
@@ -34,9 +34,7 @@ FIRST_CLASS = END - CLASSES  # symbols below are words
 HIDDEN = 32
 LOOKUP = 1 << 16
 ADD = 0.1
-SHARE = 16
 TRAINER_TOKENS = 1 << 20
-LEAST_TOKENS = 3 << 19
 WINDOW = 32
 LANES = 64
 SCORE_LANES = 256
@@ -365,21 +363,19 @@ def _symbols(known: Counts, column: pa.Array) -> Iterator[tuple[np.ndarray, np.n
         yield with_ends(symbol, row, len(offsets) - 1)
 
 
-def train(docs: DataFrame, known: Counts, share: int = SHARE) -> np.ndarray:
-    """The network's weights, from one ``share``-th of the documents of ``docs`` by hash of the
-    id, or of about ``LEAST_TOKENS`` tokens if that is more.
+def train(docs: DataFrame, known: Counts) -> np.ndarray:
+    """The network's weights, from all documents of ``docs``.
 
-    Trainers take about ``TRAINER_TOKENS`` tokens each, so their number grows with the
-    input; all begin with the weights of one that has read the first trainer's documents.
-    Their weights are averaged in two levels of Spark aggregates.
+    Trainers take about ``TRAINER_TOKENS`` tokens each, dealt by hash of id and text, so their
+    number grows with the input; all begin with the weights of one that has read the first
+    trainer's documents.  One that is dealt more than twice as many (many equal rows) goes on
+    as another trainer.  Their weights are averaged in two levels of Spark aggregates.
     """
     base = Network.fresh(known.frequency).flat
     if not known.tokens:
         return base
-    part = min(1.0, max(1.0 / share, LEAST_TOKENS / known.tokens))
-    key = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 40))
-    trainers = max(1, round(part * known.tokens / TRAINER_TOKENS))
-    chosen = docs.filter(key < int(part * (1 << 40))).select((F.xxhash64("doc_id")).alias("at"), "text")
+    trainers = max(1, round(known.tokens / TRAINER_TOKENS))
+    chosen = docs.select(F.xxhash64("doc_id", "text").alias("at"), "text")
     chosen = chosen.withColumn("trainer", F.pmod("at", F.lit(trainers)).cast("int"))
     context = docs.sparkSession.sparkContext
     counts = context.broadcast(tuple(known))
@@ -389,7 +385,7 @@ def train(docs: DataFrame, known: Counts, share: int = SHARE) -> np.ndarray:
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = Counts(*counts.value)
-            at, held = None, []
+            at, held, size = None, [], 0
 
             def trained() -> pa.RecordBatch:
                 network = Network(np.frombuffer(begin.value, dtype=np.float32))
@@ -413,9 +409,13 @@ def train(docs: DataFrame, known: Counts, share: int = SHARE) -> np.ndarray:
                     if a < b:
                         if trainer[a] != at and held:
                             yield trained()
-                            held = []
+                            held, size = [], 0
                         at = int(trainer[a])
-                        held += [s for s, _ in _symbols(known, batch.column(1).slice(a, b - a))]
+                        for stream, _ in _symbols(known, batch.column(1).slice(a, b - a)):
+                            held.append(stream)
+                            if (size := size + len(stream)) > 2 * TRAINER_TOKENS:
+                                yield trained()
+                                held, size = [], 0
             if held:
                 yield trained()
 

@@ -467,6 +467,22 @@ def test_language_model(spark, strange):
     assert recurrent.score(strange.limit(0), strange).count() == 0
 
 
+def test_network_learns_from_every_document(spark, monkeypatch):
+    monkeypatch.setattr(recurrent, "LEAST_TOKENS", 1, raising=False)
+    monkeypatch.setattr(recurrent, "TRAINER_TOKENS", 200)
+
+    def shares(self, symbols):
+        self.flat[: recurrent.SYMBOLS] = np.bincount(symbols, minlength=recurrent.SYMBOLS) / len(symbols)
+
+    monkeypatch.setattr(recurrent.Network, "fit", shares)
+    rows = [(n if n % 3 else None, " ".join([f"own{n}"] * (20 + n))) for n in range(60)] + [(None, "same row " * 30)] * 9
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = recurrent.summary(recurrent.count_words(df), df.count())
+    seen = recurrent.train(df, known)[: recurrent.SYMBOLS]
+    symbols = np.concatenate([s for s, _ in recurrent._symbols(known, pa.array([t for _, t in rows]))])
+    assert np.allclose(seen, np.bincount(symbols, minlength=recurrent.SYMBOLS) / known.tokens, atol=1e-6)
+
+
 def test_network_gradient_and_windows():
     rnd = np.random.default_rng(6)
     network = recurrent.Network.fresh(np.ones(recurrent.SYMBOLS))

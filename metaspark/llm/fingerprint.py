@@ -1,8 +1,9 @@
 """Document fingerprints: a quartile digest of hashed byte triplets, and its difference score.
 
 Every triplet of bytes at three sets of distances goes to a bucket by hash; the distances
-are wide, so that a language's common syllables weigh less than the text's own words.  A
-bucket's count is coded by the quartile of all buckets' counts it lies in (two bits), and the text's length by
+are wide, so that a language's common syllables weigh less than the text's own words.  Where
+a triplet passes the text's end, the distance past it stands for the byte, so every byte of
+any text begins one triplet of each set.  A bucket's count is coded by the quartile of all buckets' counts it lies in (two bits), and the text's length by
 its logarithm, so digests of one size describe texts of any size.  Two digests differ by the
 steps between their codes, up to a bound.
 """
@@ -28,24 +29,36 @@ RANGES = 4096
 SLICE_BYTES = 1 << 20
 
 
+def _bucket(first: np.ndarray, second: np.ndarray, third: np.ndarray, salt: int) -> np.ndarray:
+    h = first * np.uint32(0x9E3779B1) + second * np.uint32(0x85EBCA77)
+    h += third * np.uint32(0xC2B2AE3D) + np.uint32(salt * 0x27D4EB2F & 0xFFFFFFFF)
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x2C1B3C6D)
+    h >>= np.uint32(24)
+    return h
+
+
 def bucket_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Counts of hashed triplets, one row of ``BUCKETS`` per text."""
     rows = len(offsets) - 1
     row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(offsets))
     wide = data.astype(np.uint32)
     counts = np.zeros(rows * BUCKETS, dtype=np.int64)
+    left = offsets[1:].astype(np.int64)[row] - np.arange(len(data))  # bytes from here to the text's end
+    last = np.flatnonzero(left <= OFFSETS[-1][2])
+    padded = np.concatenate((wide, np.zeros(OFFSETS[-1][2], dtype=np.uint32)))
     for salt, (a, b, c) in enumerate(OFFSETS, 1):
         n = len(data) - c
-        if n <= 0:
-            continue
-        h = wide[a : a + n] * np.uint32(0x9E3779B1) + wide[b : b + n] * np.uint32(0x85EBCA77)
-        h += wide[c:] * np.uint32(0xC2B2AE3D) + np.uint32(salt * 0x27D4EB2F & 0xFFFFFFFF)
-        h ^= h >> np.uint32(15)
-        h *= np.uint32(0x2C1B3C6D)
-        h >>= np.uint32(24)
-        inside = row[:n] == row[c:]
-        place = row[:n].astype(np.int64) * BUCKETS + h
-        counts += np.bincount(place[inside], minlength=len(counts))
+        if n > 0:
+            h = _bucket(wide[a : a + n], wide[b : b + n], wide[c:], salt)
+            inside = row[:n] == row[c:]
+            place = row[:n].astype(np.int64) * BUCKETS + h
+            counts += np.bincount(place[inside], minlength=len(counts))
+        edge = last[left[last] <= c]
+        rest = left[edge]
+        beyond = lambda by: np.where(by < rest, padded[edge + by], 256 + by - rest).astype(np.uint32)
+        place = row[edge].astype(np.int64) * BUCKETS + _bucket(wide[edge], beyond(b), beyond(c), salt)
+        counts += np.bincount(place, minlength=len(counts))
     return counts.reshape(rows, BUCKETS)
 
 

@@ -345,6 +345,25 @@ def test_fingerprints(spark, strange, docs):
     assert got.filter("f IS NULL").isEmpty()
 
 
+def test_fingerprints_of_short_texts():
+    short = ["a", "b", "z", "ab", "ba", "abc", "acb", "abcdefgh", "abcdefgi", "bbcdefgh", "abcdefghi", "seventeen bytes!!", "seventeen bytes!?", "0123456789", "9876543210"]
+    prints = fingerprint.fingerprints(pa.array(short))
+    assert len(set(prints)) == len(short)
+    data = np.frombuffer("".join(short).encode(), dtype=np.uint8)
+    ends = np.cumsum([0, *map(len, short)])
+    counts = fingerprint.bucket_counts(data, ends)
+    assert counts.sum(axis=1).tolist() == [3 * len(t) for t in short]
+    pairs = [(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :]]
+    assert fingerprint.likeness(*map(list, zip(*pairs))).max() < 1.0
+    for text, own in zip(short, counts):  # what stands beside a text in a batch doesn't matter
+        alone = fingerprint.bucket_counts(np.frombuffer(text.encode(), dtype=np.uint8), np.array([0, len(text)]))
+        assert (alone[0] == own).all()
+    for at in range(12):
+        text = "word word wo"
+        changed = text[:at] + "#" + text[at + 1 :]
+        assert len(set(fingerprint.fingerprints(pa.array([text, changed])))) == 2
+
+
 def test_fingerprints_of_strange_rows(spark, strange, monkeypatch):
     monkeypatch.setattr(fingerprint, "ROWS_PER_RANGE", 2)
 

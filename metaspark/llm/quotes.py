@@ -2,7 +2,8 @@
 
 Lines that begin with ``>`` marks quote: as many marks, so many levels.  Runs of lines of
 one level are passages; their normalised digests are joined to those of the messages' own
-texts, whole or by paragraph.  A message answers the message its outermost quotes come
+texts, whole or by line; a passage of several lines that is no whole text is looked up line
+by line, and comes from the message with most of its lines.  A message answers the message its outermost quotes come
 from, and conversations are put in reply order without the quotes.
 """
 
@@ -18,10 +19,18 @@ from metaspark.session import cut_lineage
 MARKS = r"^(?:[ \t]?>)+"
 
 
+def plain(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
+
+
 def digest(text: Column) -> Column:
     """Digest of a passage in lower case with single spaces; null if nothing is left."""
-    plain = F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
-    return F.when(plain != "", F.md5(plain))
+    return F.when(plain(text) != "", F.md5(plain(text)))
+
+
+def line_digests(text: Column) -> Column:
+    """Distinct 64-bit digests of a passage's lines that are not blank."""
+    return F.array_distinct(F.transform(F.filter(F.transform(F.split(text, "\n"), plain), lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
@@ -53,6 +62,35 @@ def parsed(messages: DataFrame) -> DataFrame:
     return with_once(rows, "_runs", F.when(F.col("text").isNotNull(), runs).otherwise(none)).drop("_lines", "_first")
 
 
+def partly(asked: DataFrame, facts: DataFrame) -> DataFrame:
+    """``_c``, ``_t``, ``run``, ``level``, ``origin`` of quoted runs found by their lines.
+
+    ``origin`` is the earlier message that holds the most of a run's distinct lines, more
+    than half of them; of several the earliest.  A message that holds more than half lacks
+    fewer than half, so it has one of any half of the lines: only the rarest half of a run's
+    lines is joined to messages.  Equal runs of a conversation are looked up once, in the
+    earliest message of each text.
+    """
+    runs = asked.groupBy("_c", "hash").agg(F.max("_t").alias("_last"), F.first("lines").alias("lines"))
+    lines = runs.select("_c", "hash", "_last", F.size("lines").alias("k"), F.explode("lines").alias("line"))
+    texts = facts.filter(F.size("own_lines") > 0).groupBy("_c", "own_lines").agg(F.min("_t").alias("origin"))
+    held = texts.select("_c", "origin", F.explode("own_lines").alias("line"))
+    holders = held.groupBy("_c", "line").agg(F.count("*").alias("n"), F.min("origin").alias("first"))
+    known = lines.join(holders, ["_c", "line"]).filter(F.col("first") < F.col("_last"))
+    known = known.groupBy("_c", "hash", "_last", "k").agg(F.sort_array(F.collect_list(F.struct("n", "line"))).alias("found"))
+    known = known.filter(F.size("found") * 2 > F.col("k"))
+    # lines no earlier message holds are the rarest; what is left of the half comes from the others
+    rare = F.slice("found", 1, F.floor((F.size("found") * 2 - F.col("k") + 1) / 2).cast("int"))
+    wanted = known.select("_c", "hash", "_last", F.explode(rare).alias("r")).select("_c", "hash", "_last", "r.line")
+    pairs = wanted.join(held, ["_c", "line"]).filter(F.col("origin") < F.col("_last")).select("_c", "hash", "origin").distinct()
+    both = pairs.join(runs.select("_c", "hash", "lines"), ["_c", "hash"]).join(texts, ["_c", "origin"])
+    both = both.select("_c", "hash", "origin", F.size("lines").alias("k"), F.size(F.array_intersect("lines", "own_lines")).alias("n"))
+    best = both.filter(F.col("n") * 2 > F.col("k")).groupBy("_c", "hash", "n").agg(F.min("origin").alias("origin"))
+    found = asked.join(best, ["_c", "hash"]).filter("origin < _t")
+    found = found.groupBy("_c", "_t", "run", "level").agg(F.min(F.struct(-F.col("n"), "origin")).getField("origin").alias("origin"))
+    return found.select("_c", "_t", "run", "level", "origin")
+
+
 def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:
     """``messages`` with their place in the replies, and without quotes in ``text``.
 
@@ -60,7 +98,9 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn")
     passage found comes from; else the turn before; null for a first one), ``quotes`` and
     ``linked`` (passages quoted and found), ``root_turn``, ``reply_depth`` and ``position``
     (from 0, every message after the one it answers).  A passage comes from the earliest
-    message of the conversation with it, if that is earlier.  Columns of these names, and
+    message of the conversation with it, if that is earlier; where none has it as its text or
+    as a line, from the earlier message with the most of its lines, if that is more than
+    half.  Columns of these names, and
     names with a leading underscore used here, are replaced.  Rows with a null
     conversation or turn, and rows repeating a turn, stay: the former are on their own,
     the latter share their links.
@@ -74,17 +114,27 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn")
     quoted = F.filter("_runs", lambda r: (r["level"] > 0) & (F.trim(r["body"]) != ""))
     facts = rows.select(
         *key,
-        F.transform(quoted, lambda r: F.struct(r["level"].alias("level"), digest(r["body"]).alias("hash"))).alias("quoted"),
+        F.transform(
+            quoted,
+            lambda r: F.struct(r["level"].alias("level"), digest(r["body"]).alias("hash"), line_digests(r["body"]).alias("lines")),
+        ).alias("quoted"),
+        line_digests(F.col("_own")).alias("own_lines"),
         F.array_distinct(
             F.concat(F.array(digest(F.col("_own"))), F.transform(F.split("_own", "\n"), digest))
         ).alias("sources"),
     ).filter("_c IS NOT NULL AND _t IS NOT NULL")
     asked = facts.select("_c", "_t", F.posexplode("quoted").alias("run", "q")).select(
-        "_c", "_t", "run", "q.level", "q.hash"
+        "_c", "_t", "run", "q.level", "q.hash", "q.lines"
     )
     origins = facts.select("_c", "_t", F.explode("sources").alias("hash")).filter("hash IS NOT NULL")
     origins = origins.groupBy("_c", "hash").agg(F.min("_t").alias("origin"))
-    found = asked.join(origins, ["_c", "hash"]).filter("origin < _t")
+    placed_runs = asked.join(origins, ["_c", "hash"], "left").withColumn("whole", F.coalesce(F.col("origin") < F.col("_t"), F.lit(False)))
+    found = placed_runs.filter("whole").select("_c", "_t", "run", "level", "origin")
+    name = F.md5(F.array_join("lines", ",")).alias("hash")  # texts that differ in their line breaks have one hash, but not the same lines
+    cut = placed_runs.filter(~F.col("whole") & (F.size("lines") > 1)).select("_c", "_t", "run", "level", name, "lines")
+    cut = cut_lineage(cut)
+    if not cut.isEmpty():
+        found = found.unionByName(partly(cut, facts))
     best = found.groupBy("_c", "_t").agg(
         F.min(F.struct("level", "run", "origin")).getField("origin").alias("_origin"),
         F.count_distinct("run").alias("linked"),
@@ -116,9 +166,9 @@ def link(messages: DataFrame, conversation: str = "conv_id", turn: str = "turn")
     order = W.partitionBy("_c").orderBy("_up", "_t")
     placed = tree.withColumn("position", (F.row_number().over(order) - 1).cast("long"))
     placed = placed.select("_c", "_t", "reply_turn", "quotes", "linked", F.col("_up").alias("root_turn"), "reply_depth", "position")
-    plain = rows.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_own"))).drop("_runs", "_own")
-    match = (plain[conversation] == placed["_c"]) & (plain[turn] == placed["_t"])
-    return plain.join(placed, match, "left").drop("_c", "_t")
+    unquoted = rows.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_own"))).drop("_runs", "_own")
+    match = (unquoted[conversation] == placed["_c"]) & (unquoted[turn] == placed["_t"])
+    return unquoted.join(placed, match, "left").drop("_c", "_t")
 
 
 def quoting(messages: DataFrame, levels: int = 2, conversation: str = "conv_id", turn: str = "turn") -> DataFrame:

@@ -424,6 +424,26 @@ def test_quote_levels_and_replies(spark):
     assert quotes.link(df.limit(0)).count() == 0
 
 
+def test_trimmed_quotes(spark):
+    """Quotes of several lines that are part of a longer message come from the message with most of their lines."""
+    rows = [
+        (1, 0, "Hello\nfirst point\nsecond point"), (1, 1, "between"), (1, 2, "> Hello\n> first  POINT\nagreed"),
+        (1, 3, "> first point\n>\n> second point\nas well"), (1, 4, "Hello\nsome other\nlast line"),
+        (1, 5, "> Hello\n> some other\n> [...]\nok"), (1, 6, "> Hello\n> unheard of\nwhat?"), (1, 7, "> made up\n> twice\n>> between\nno"),
+        (2, 0, "unrelated"), (2, 1, "x\ny"), (2, 2, "> first point\n> second point\nnot here"), (2, 3, "> later one\n> later two\nz"),
+        (2, 4, "later one\nlater two\nend"), (3, 0, "a\nb\nc"), (3, 1, "a\nb\nc"), (3, 2, "b\nc\nd"), (3, 3, "> b\n> c\n> d\n> e\nr"),
+        (3, 4, "> b\n> c\nr"), (3, 5, "more"), (3, 6, "> b c\n> d\nr"),
+    ]
+    rows += [(4, t, f"line {t}\nregards\nBob") for t in range(20)] + [(4, 20, "> line 7\n> regards\nfine"), (4, 21, "> regards\n> Bob\nfine")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, text string")
+    by = {(r.conv_id, r.turn): r for r in quotes.link(df).collect()}
+    assert [by[1, t].reply_turn for t in range(8)] == [None, 0, 0, 0, 3, 4, 5, 1]
+    assert [by[1, t].linked for t in range(8)] == [0, 0, 1, 1, 0, 1, 0, 1]
+    assert [by[2, t].reply_turn for t in range(5)] == [None, 0, 1, 2, 3] and sum(by[2, t].linked for t in range(5)) == 0
+    assert [by[3, t].reply_turn for t in range(7)] == [None, 0, 1, 2, 0, 4, 2]
+    assert by[4, 20].reply_turn == 7 and by[4, 21].reply_turn == 0 and by[4, 20].linked == by[4, 21].linked == 1
+
+
 def test_neighbours_equal_brute_force(spark):
     rnd = np.random.default_rng(4)
     vectors = rnd.standard_normal((3000, 24)).astype(np.float32)

@@ -53,20 +53,29 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id, once.
 
-    Documents without an id can't be told apart by it and stay.
+    Rows are told apart by id and text.  A document without an id counts after all with one;
+    of several texts with the smallest id the one with the smallest set id stays.  Documents
+    without words are like no other: of equal ones with one id one stays, those without an
+    id all stay.
     """
     rows = packed(docs)
-    known = rows.filter("doc_id IS NOT NULL")
     path = scratch_path(spark, "groups")
-    jaccard.near_duplicates(known).write.parquet(path)
+    found = jaccard.groups(rows).filter("n_shingles > 0 OR doc_id IS NOT NULL")
+    found.select("doc_id", "row_key", "set_id", F.when(F.col("n_shingles") > 0, F.col("label")).alias("label")).write.parquet(path)
     groups = spark.read.parquet(path)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "set_id", "row_key")
+    first = groups.filter("label IS NOT NULL").groupBy("label").agg(F.min(place).getField("row_key").alias("first"))
+    gone = groups.join(first, "label").filter("row_key <> first").select("row_key").distinct()
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    kept = known.join(gone, "doc_id", "left_anti").select(*rows.columns)
-    if not groups.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return as_before(kept.unionByName(rows.filter("doc_id IS NULL")), docs)
+    kept = rows.withColumn("row_key", jaccard.row_key(F.col("doc_id"), F.col("text"))).join(gone, "row_key", "left_anti")
+    again = groups.groupBy("row_key").count().filter("count > 1").select("row_key")
+    if (repeated := again.count()) > 0:
+        if repeated <= BROADCAST_IDS:
+            again = F.broadcast(again)
+        once = kept.join(again, "row_key", "left_semi").dropDuplicates(["row_key"])
+        kept = kept.join(again, "row_key", "left_anti").unionByName(once)
+    return as_before(kept.select(*rows.columns), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaspark.session import cut_lineage, scratch_path
@@ -122,7 +122,15 @@ def signatures(flat: np.ndarray, ends: np.ndarray, heavy: np.ndarray, percent: i
     return np.concatenate(out_sig), np.concatenate(out_row)
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A digest of id and text (16 bytes); null is a value of its own."""
+    of = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(of(doc_id), F.lit(" "), of(text))))
+
+
 def _sets(text_at: int):
+    """Columns 0 and 1 as they are, with facts of the set of each text."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column(text_at)):
@@ -131,11 +139,12 @@ def _sets(text_at: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, end - first),
+                        batch.column(1).slice(first, end - first),
                         pa.array(ends - starts, type=pa.int64()),
                         pa.array(set_keys(flat, ends).view(np.int64)),
                         pa.array([sketch(flat[a:b]) if b > a else b"" for a, b in zip(starts, ends)], type=pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_id", "sketch"],
+                    ["doc_id", "row_key", "n_shingles", "set_id", "sketch"],
                 )
 
     return work
@@ -406,13 +415,15 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(rows of ``doc_id``, ``n_shingles``, ``set_id``; links ``a``, ``b`` between set ids).
+    """(rows of ``doc_id``, ``row_key``, ``n_shingles``, ``set_id``; links ``a``, ``b`` between set ids).
 
     The links connect exactly the sets that are connected by pairs with
     100 * intersection >= percent * union; pairs inside a component need not all be there.
     """
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    sets = _written(texts.mapInArrow(_sets(1), "doc_id long, n_shingles long, set_id long, sketch binary"), "sets")
+    keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
+    sets = keyed.mapInArrow(_sets(2), "doc_id long, row_key binary, n_shingles long, set_id long, sketch binary")
+    sets = _written(sets, "sets")
     rows, shingles = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     full = sets.filter("n_shingles > 0")
     one = full.groupBy("set_id").agg(
@@ -460,7 +471,7 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     grouped = grouped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     rest = cut_lineage(grouped.mapInArrow(_across(percent), "a long, b long").distinct())
     second = cut_lineage(_links(rest, _texts_of(texts, where, rest), percent))
-    return sets.select("doc_id", "n_shingles", "set_id"), first.union(second)
+    return sets.select("doc_id", "row_key", "n_shingles", "set_id"), first.union(second)
 
 
 def _texts_of(texts: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -473,6 +484,16 @@ def _texts_of(texts: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame
     return found
 
 
+def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``row_key``, ``n_shingles``, ``set_id`` and ``label`` (the component's smallest
+    set id) of every row of ``docs``.  Rows without shingles belong to no component, whatever
+    their label."""
+    sets, links = similar_sets(docs, percent)
+    labels = components(links)
+    named = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return named.withColumn("label", F.coalesce("label", "set_id"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` of every row of ``docs``.
 
@@ -481,10 +502,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     where its text has no words and else takes the smallest id it is linked with.  Columns
     other than ``doc_id`` and ``text`` are not looked at.
     """
-    sets, links = similar_sets(docs, percent)
-    labels = components(links)
-    named = sets.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    named = named.withColumn("label", F.coalesce("label", "set_id"))
+    named = groups(docs, percent)
     smallest = named.filter("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("_least"))
     out = named.join(smallest, "label", "left")
     least = F.when(F.col("n_shingles") > 0, F.col("_least")).otherwise(F.col("doc_id"))

@@ -37,6 +37,27 @@ def test_duplicates_leave_one(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 7]
 
 
+def test_duplicates_by_id_and_text(spark):
+    text = lambda w, n=40: " ".join(f"{w}{i}" for i in range(n))
+    rows = [
+        (None, text("a")), (None, text("a") + " end"), (None, text("a")),  # copies without ids
+        (4, text("b")), (None, text("b") + " end"),  # one of two has an id
+        (6, text("own")), (6, text("c")), (5, text("c") + " end"),  # two texts with one id: a clean one and a copy
+        (7, text("d")), (7, text("e")), (8, text("e") + " end"),  # two texts with one id, one of them the group's first
+        (9, text("f")), (9, text("f")), (9, text("f") + " end"),
+        (None, ""), (None, None), (10, ""), (10, ""), (10, None), (None, "alone without id"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row_key", F.lit("own")).repartition(5)
+    out = corpus_pipeline.keep_one_of_each(spark, df, SF)
+    assert out.columns == df.columns and {r.row_key for r in out.collect()} == {"own"}
+    kept = [(r.doc_id, "-" if r.text is None else r.text.split(" ")[0]) for r in out.collect()]
+    want = [
+        (None, "a0"), (4, "b0"), (6, "own0"), (5, "c0"), (7, "d0"), (7, "e0"), (9, "f0"),
+        (None, ""), (None, "-"), (10, ""), (10, "-"), (None, "alone"),
+    ]
+    assert sorted(kept, key=repr) == sorted(want, key=repr)
+
+
 def test_whole_pipeline(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}

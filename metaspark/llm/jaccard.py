@@ -387,7 +387,7 @@ def _verified(percent: int):
                     at, left = (a, sets[0]) if keys[0] == a else (None, left)
                 right = sets[1]
                 if at is None or keys[1] != names[j]:
-                    continue  # another text of the same id
+                    continue  # another text with the same key
                 both = len(np.intersect1d(left, right, assume_unique=True))
                 if both * 100 >= percent * (len(left) + len(right) - both):
                     keep.append(j)
@@ -404,7 +404,7 @@ def _written(df: DataFrame, label: str) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs of set ids that are links.  ``texts``: ``set_id``, ``_doc`` and ``text`` of one document per set."""
+    """The pairs of set ids that are links.  ``texts``: ``set_id`` and ``text`` of one document per set."""
     few = pairs.count() <= BROADCAST_PAIRS
     small = F.broadcast if few else lambda df: df
     left = texts.join(small(pairs.select(F.col("a").alias("set_id")).distinct()), "set_id")
@@ -427,8 +427,9 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     rows, shingles = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     full = sets.filter("n_shingles > 0")
     one = full.groupBy("set_id").agg(
-        F.min("doc_id").alias("_doc"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch")
+        F.min("row_key").alias("_key"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch")
     )
+    copies = not full.groupBy("row_key").count().filter("count > 1").isEmpty()
     heavy = np.packbits(heavy_shingles(texts, rows)).tobytes()
     known = docs.sparkSession.sparkContext.broadcast(heavy)
     parts = max(1, int(0.65 * shingles) // PART_SIGNATURES)
@@ -445,8 +446,8 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     star = members.filter("set_id <> leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct()
     star = star.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb")
     star = cut_lineage(star.mapInArrow(_likely(percent), "a long, b long"))
-    where = chosen.select("set_id", "_doc")
-    first = cut_lineage(_links(star, _texts_of(texts, where, star), percent))
+    where = chosen.select("set_id", "_key")
+    first = cut_lineage(_links(star, _texts_of(keyed, where, star, copies), percent))
 
     labels = components(first)
     labelled = members.select("bucket", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -470,18 +471,19 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     )
     grouped = grouped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     rest = cut_lineage(grouped.mapInArrow(_across(percent), "a long, b long").distinct())
-    second = cut_lineage(_links(rest, _texts_of(texts, where, rest), percent))
+    second = cut_lineage(_links(rest, _texts_of(keyed, where, rest, copies), percent))
     return sets.select("doc_id", "row_key", "n_shingles", "set_id"), first.union(second)
 
 
-def _texts_of(texts: DataFrame, where: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``set_id`` and ``text`` of one document for every set in ``pairs``."""
+def _texts_of(keyed: DataFrame, where: DataFrame, pairs: DataFrame, copies: bool) -> DataFrame:
+    """``set_id`` and ``text`` of one document for every set in ``pairs``; ``copies``: rows with
+    equal ids (null ones too) and texts may be there."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(where, "set_id")
     ids = cut_lineage(ids)
     if ids.count() <= BROADCAST_PAIRS:
         ids = F.broadcast(ids)
-    found = texts.join(ids, F.col("doc_id") == F.col("_doc")).select("set_id", "text")
-    return found
+    found = keyed.join(ids, F.col("row_key") == F.col("_key")).select("set_id", "text")
+    return found.dropDuplicates(["set_id"]) if copies else found
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

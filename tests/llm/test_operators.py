@@ -244,6 +244,23 @@ def test_near_duplicates_on_tables_and_strange_rows(spark, strange, docs):
     assert jaccard.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 3])
+def test_near_copies_without_id_bridge(spark, copies):
+    w = [f"word{i}" for i in range(120)]
+    changed = lambda at: " ".join([*w[:at], *(f"new{i}" for i in range(at, 120))])
+    rows = [(7, changed(120)), (4, changed(94))] + [(None, changed(106))] * copies + [(None, "another text " * 20), (5, "far away")]
+    sets = [shingles(t) for _, t in rows]
+    like = lambda a, b: len(a & b) / len(a | b)
+    assert like(sets[0], sets[1]) < 0.75 <= min(like(sets[0], sets[2]), like(sets[2], sets[1]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard.near_duplicates(df).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id} == {7: 4, 4: 4, 5: 5}
+    assert sorted((r.component_id for r in got if r.doc_id is None), key=repr) == [4] * copies + [None]
+    alone = jaccard.groups(df.filter("doc_id IS NULL").unionByName(spark.createDataFrame([(None, changed(110))], df.schema)))
+    assert len({r.label for r in alone.collect()}) == 2
+
+
 def test_similar_sets_share_a_signature():
     rnd = np.random.default_rng(0)
     starts, heavy = jaccard.bands(75), np.zeros(1 << jaccard.HEAVY_BITS, dtype=bool)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import ann, bpe, jaccard, langid, mixing, quotes, recurrent, sharding, toxicity
+from . import align, ann, bpe, jaccard, langid, mixing, quotes, recurrent, sharding, simhash, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -204,3 +204,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link(mails).select(
         "conv_id", "turn", "role", "reply_turn", "quotes", "linked", "root_turn", "reply_depth", "position", "text"
     )
+
+
+@query("op12_golay_simhash")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash and component of each document over links of at most two differing bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers' tokens in each document, counted over all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

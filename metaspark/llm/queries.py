@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fingerprint as fp
-from . import align, ann, bpe, jaccard, langid, mixing, quotes, recurrent, sharding, simhash, toxicity
+from . import align, ann, bpe, jaccard, langid, mixing, quotes, recurrent, repair, sharding, simhash, toxicity
 from .registry import query, table
 
 MIX_SQL = r"""
@@ -218,3 +218,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in each document, counted over all documents."""
     docs = table(spark, sf_dir, "documents")
     return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op13_grammar_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after made damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.repair(repair.damaged(rows), rows)

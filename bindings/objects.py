@@ -10,6 +10,7 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.plans.folder_report import folder_fields
 from metaspark.session import scratch_path
+from metaspark.sources.listing import ObjectListing, walk_objects
 from metaspark.sources.partitioned import read_folder
 
 from .registry import entity_sql, query, table, text
@@ -278,3 +279,44 @@ _EXCLUDED_TABLES = ["Supplier#000000003", "Supplier#000000007", "Supplier#000000
 )
 def exclude_tables(spark, sf_dir):
     return exclude_names(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), _EXCLUDED_TABLES, "s_name")
+
+
+def _written_by(spark, rows, *columns):
+    """The rows as one file for each value of the columns, in folders."""
+    folder = scratch_path(spark, "listed")
+    rows.repartition(*columns).write.partitionBy(*columns).parquet(folder)
+    return folder
+
+
+@query(
+    "object_walk",
+    "SELECT c_mktsegment AS segment, CAST(c_nationkey AS INTEGER) AS nation, CAST(1 AS BIGINT) AS n_files FROM customer GROUP BY ALL",
+)
+def object_walk(spark, sf_dir):
+    """Customers in folders of segment and nation, found again by a listing in ranges of three names."""
+    rows = table(spark, sf_dir, "customer").select("c_mktsegment", "c_nationkey", "c_custkey")
+    walked = walk_objects(spark, _written_by(spark, rows, "c_mktsegment", "c_nationkey"), range_names=3)
+    path = F.col("path")
+    return (
+        walked.filter(F.col("is_file") & path.endswith(".parquet") & ~paths.base_name(path).startswith("."))
+        .select(
+            F.regexp_extract(path, "/c_mktsegment=([^/]*)/", 1).alias("segment"),
+            F.regexp_extract(path, "/c_nationkey=([^/]*)/", 1).cast("int").alias("nation"),
+        )
+        .groupBy("segment", "nation")
+        .agg(F.count("*").alias("n_files"))
+    )
+
+
+@query("object_stream", "SELECT event_type, CAST(1 AS BIGINT) AS n_files FROM events GROUP BY ALL")
+def object_stream(spark, sf_dir):
+    """Events in a folder for each type, whose files arrive as a stream of objects."""
+    folder = _written_by(spark, table(spark, sf_dir, "events").select("event_type", "event_id"), "event_type")
+    spark.dataSource.register(ObjectListing)
+    arriving = spark.readStream.format("objects").option("settle", 0).option("rangeNames", 2).load(folder)
+    out = scratch_path(spark, "arrived")
+    writer = arriving.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "arrived-offsets"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    path = F.col("path")
+    seen = spark.read.schema(arriving.schema).parquet(out).filter(path.rlike(r"/event_type=[^/]*/[^._][^/]*\.parquet$"))
+    return seen.groupBy(F.regexp_extract(path, "/event_type=([^/]*)/", 1).alias("event_type")).agg(F.count("*").alias("n_files"))

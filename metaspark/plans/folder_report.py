@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import base_name, file_format
 from ..functions.text import allowed
 from ..operators.type_tree import field_rows
-from ..sources.objects import list_objects, scan_schemas
+from ..sources.objects import scan_schemas, visible_files
 
 
 def dataset_of(path: Column, root: str) -> Column:
@@ -22,7 +22,7 @@ def folder_columns(spark: SparkSession, root: str, exclude: list[str] | None = N
 
     Files whose name one of the ``exclude`` patterns is found in are left out.
     """
-    listed = list_objects(spark, root)
+    listed = visible_files(spark, root)
     visible = listed.filter(allowed(base_name(F.col("path")), exclude=exclude))
     scanned = scan_schemas(visible.withColumn("format", file_format(F.col("path"))))
     dataset = dataset_of(F.col("path"), root)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import paths
-from ..session import cut_lineage
+from .listing import walk_objects
 from .pyfs import open_filesystem
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -20,7 +20,6 @@ FOOTER_SCHEMA = (
     "path string, format string, position int, column_name string, "
     "type_string string, is_nullable boolean, error string"
 )
-LISTING_SCHEMA = "path string, is_file boolean, length long, modification_time timestamp"
 
 
 def list_objects(spark: SparkSession, root: str) -> DataFrame:
@@ -33,44 +32,12 @@ def list_objects(spark: SparkSession, root: str) -> DataFrame:
     return scan.select("path", "length", F.col("modificationTime").alias("modification_time"))
 
 
-def walk_objects(spark: SparkSession, root: str) -> DataFrame:
-    """Level-by-level listing run in tasks: one listing per folder, files kept, folders
-    recursed.  Nothing but one emptiness check per level reaches the driver.
-
-    Unlike ``list_objects`` it sees hidden folders such as transaction logs.
-    """
-
-    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            for folder in batch["path"]:
-                filesystem, inner = open_filesystem(folder)
-                prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
-                infos = filesystem.get_file_info(fs.FileSelector(inner))
-                yield pd.DataFrame(
-                    {
-                        "path": [prefix + i.path for i in infos],
-                        "is_file": [i.type == fs.FileType.File for i in infos],
-                        "length": pd.array([i.size for i in infos], dtype="Int64"),
-                        "modification_time": pd.to_datetime([i.mtime for i in infos], utc=True),
-                    }
-                )
-
-    frontier = spark.createDataFrame([(root.rstrip("/"),)], "path string")
-    found = []
-    while True:
-        level = cut_lineage(frontier.mapInPandas(list_folders, LISTING_SCHEMA))
-        found.append(level)
-        folders = level.filter(~F.col("is_file")).select("path")
-        if folders.isEmpty():
-            break
-        # Round-robin so that folders beside each other are listed by different tasks.
-        frontier = folders.repartition(spark.sparkContext.defaultParallelism)
-    everything = found[0]
-    for level in found[1:]:
-        everything = everything.unionByName(level)
-    return everything
+def visible_files(spark: SparkSession, root: str) -> DataFrame:
+    """The files below ``root`` that ``list_objects`` gives, listed in tasks: no file or folder
+    whose name begins with a dot or an underscore."""
+    walked = walk_objects(spark, root).filter("is_file")
+    below = F.substring(F.col("path"), len(root.rstrip("/")) + 1, 1 << 30)
+    return walked.filter(~below.rlike(r"/[._][^/]*")).select("path", "length", "modification_time")
 
 
 def describe_objects(listing: DataFrame, mode: str = "suffix") -> DataFrame:

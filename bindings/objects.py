@@ -8,7 +8,7 @@ from metaspark.functions import names, paths
 from metaspark.operators.inventory import exclude_names, filter_files, folder_members
 from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
-from metaspark.plans.folder_report import folder_fields
+from metaspark.plans.folder_report import folder_fields, folder_report
 from metaspark.session import scratch_path
 from metaspark.sources.listing import ObjectListing, walk_objects
 from metaspark.sources.partitioned import read_folder
@@ -320,3 +320,41 @@ def object_stream(spark, sf_dir):
     path = F.col("path")
     seen = spark.read.schema(arriving.schema).parquet(out).filter(path.rlike(r"/event_type=[^/]*/[^._][^/]*\.parquet$"))
     return seen.groupBy(F.regexp_extract(path, "/event_type=([^/]*)/", 1).alias("event_type")).agg(F.count("*").alias("n_files"))
+
+
+# What each part type's files store p_size and p_name as.
+_STORED = {"STANDARD": "int", "PROMO": "bigint", "SMALL": "float", "LARGE": "int", "ECONOMY": "smallint", "MEDIUM": "int"}
+
+
+@query(
+    "merged_fields",
+    """
+WITH d AS (
+  SELECT 'brand=' || replace(p_brand, '#', '-') AS entity_rn, list_distinct(list(p_type)) AS kinds FROM part GROUP BY ALL),
+s AS (
+  SELECT entity_rn, CASE WHEN list_contains(kinds, 'SMALL') AND len(kinds) > 1 THEN 'double' WHEN list_contains(kinds, 'SMALL') THEN 'float'
+              WHEN list_contains(kinds, 'PROMO') THEN 'int64'
+              WHEN len(list_filter(kinds, lambda k: k <> 'ECONOMY')) > 0 THEN 'int32' ELSE 'int16' END AS logical_type FROM d),
+n AS (
+  SELECT entity_rn, CASE WHEN NOT list_contains(kinds, 'MEDIUM') THEN 'string' WHEN len(kinds) = 1 THEN 'int64' ELSE 'unknown' END AS logical_type FROM d)
+SELECT entity_rn, entity_rn || '/columns/p_size' AS key, logical_type,
+       CASE WHEN logical_type IN ('double', 'float') THEN 'NUMBER' ELSE 'INTEGER' END AS type, CAST(NULL AS VARCHAR) AS reason FROM s
+UNION ALL SELECT entity_rn, entity_rn || '/columns/p_name', logical_type,
+       CASE logical_type WHEN 'string' THEN 'STRING' WHEN 'int64' THEN 'INTEGER' ELSE 'UNKNOWN' END, NULL FROM n
+UNION ALL SELECT entity_rn, entity_rn || '/columns/p_name', NULL, NULL, 'types without a common one: int64, string' FROM n
+WHERE logical_type = 'unknown'""",
+)
+def merged_fields(spark, sf_dir):
+    """Parts in a folder for each brand, whose files disagree on types: common types, and rejects where there is none."""
+    folder = scratch_path(spark, "unlike")
+    part = table(spark, sf_dir, "part").withColumn("brand", F.replace("p_brand", F.lit("#"), F.lit("-")))
+    for kind, size in _STORED.items():
+        name = F.length("p_name").cast("long") if kind == "MEDIUM" else F.col("p_name")
+        rows = part.filter(F.col("p_type") == kind).select(F.col("p_size").cast(size).alias("p_size"), name.alias("p_name"), "brand")
+        rows.write.mode("append").partitionBy("brand").parquet(folder)
+    fields, rejects = folder_report(spark, folder)
+    dataset = F.substring_index("key", "/", 1).alias("entity_rn")
+    none = F.lit(None).cast("string")
+    return fields.select("entity_rn", F.col("field_rn").alias("key"), "logical_type", "type", none.alias("reason")).unionByName(
+        rejects.select(dataset, "key", none.alias("logical_type"), none.alias("type"), "reason")
+    )

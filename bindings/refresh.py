@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from metaspark.operators.digest_tree import changes, write_snapshot
 from metaspark.plans.catalog import read_catalog, union_all, write_catalog
 from metaspark.session import scratch_path
 from metaspark.streaming.refresh import current_state, refresh
@@ -49,3 +50,27 @@ def entity_latest_stream(spark, sf_dir):
     order = [F.col("event_id")]
     refresh(arriving, target, scratch_path(spark, "latest-offsets"), ["user_id"], order).awaitTermination()
     return current_state(spark, target, ["user_id"], order)
+
+
+@query(
+    "entity_changes",
+    """
+WITH old AS (SELECT * FROM orders WHERE o_orderkey % 97 <> 3),
+new AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 89 = 5 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+  FROM orders WHERE o_orderkey % 101 <> 7)
+SELECT CASE WHEN old.o_orderkey IS NULL THEN 'added' WHEN new.o_orderkey IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       coalesce(new.o_orderkey, old.o_orderkey) AS o_orderkey, coalesce(new.o_custkey, old.o_custkey) AS o_custkey,
+       coalesce(new.o_orderstatus, old.o_orderstatus) AS o_orderstatus, coalesce(new.o_totalprice, old.o_totalprice) AS o_totalprice
+FROM old FULL JOIN new ON old.o_orderkey = new.o_orderkey
+WHERE old.o_orderkey IS NULL OR new.o_orderkey IS NULL OR old.o_orderstatus <> new.o_orderstatus""",
+)
+def entity_changes(spark, sf_dir):
+    """Orders collected twice: which ones came, changed or went between the collections."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    changed = F.when(key % 89 == 5, F.lit("X")).otherwise(F.col("o_orderstatus"))
+    before, after = scratch_path(spark, "collected"), scratch_path(spark, "collected")
+    write_snapshot(orders.filter(key % 97 != 3), before, ["o_orderkey"])
+    write_snapshot(orders.withColumn("o_orderstatus", changed).filter(key % 101 != 7), after, ["o_orderkey"])
+    return changes(spark, before, after, ["o_orderkey"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from metaspark.operators.digest_tree import changes, write_snapshot
 from metaspark.plans.catalog import read_catalog, union_all, write_catalog
 from metaspark.session import scratch_path
+from metaspark.streaming.keyed import keyed_refresh, keyed_state
 from metaspark.streaming.refresh import current_state, refresh
 
 from . import catalogs, consumers, jobs, logs, objects  # noqa: F401  (their queries are combined here)
@@ -74,3 +75,22 @@ def entity_changes(spark, sf_dir):
     write_snapshot(orders.filter(key % 97 != 3), before, ["o_orderkey"])
     write_snapshot(orders.withColumn("o_orderstatus", changed).filter(key % 101 != 7), after, ["o_orderkey"])
     return changes(spark, before, after, ["o_orderkey"])
+
+
+@query(
+    "entity_state_stream",
+    """
+SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value
+FROM events GROUP BY user_id HAVING arg_max(event_type, event_id) <> 'error'""",
+)
+def entity_state_stream(spark, sf_dir):
+    """Events as a stream into keyed state; a user whose last event is an error is deleted."""
+    schema = table(spark, sf_dir, "events").schema
+    arriving = (
+        spark.readStream.schema(schema)
+        .load(f"{sf_dir}/events.parque[t]", format="parquet")
+        .select("user_id", "event_id", "event_type", "value", (F.col("event_type") == "error").alias("gone"))
+    )
+    state = scratch_path(spark, "keyed")
+    keyed_refresh(arriving, state, ["user_id"], "event_id", "gone").awaitTermination()
+    return keyed_state(spark, state)

@@ -2,34 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.txlog import record_count
 
 
-def live_files(actions: DataFrame, as_of: int | None = None) -> DataFrame:
-    """Files of each table that the last action on their path added.
+def vector_id(vector: Column) -> Column:
+    """What tells the deletion vectors of one file apart; null without one."""
+    place = F.when(vector["offset"].isNotNull(), F.concat(F.lit("@"), vector["offset"].cast("string"))).otherwise(F.lit(""))
+    return F.concat(vector["storageType"], vector["pathOrInlineDv"], place)
+
 
-    The latest action per (table, path) is chosen by ``max_by`` over numbers: a hash
-    aggregate that combines before the shuffle, so neither a hot table nor a hot path
-    lands in one task unreduced.
+def file_actions(actions: DataFrame) -> DataFrame:
+    """Adds and removes with what a replay keeps of them.
+
+    ``vector`` is part of a file's key: a file whose rows are deleted is removed without (or
+    with an older) vector and added with a new one.  ``num_records`` are the rows that the
+    vector leaves.
     """
-    if as_of is not None:
-        actions = actions.filter(F.col("version") <= as_of)
     is_add = F.col("add").isNotNull()
-    files = actions.filter(is_add | F.col("remove").isNotNull()).select(
+    deleted = F.coalesce(F.col("add.deletionVector.cardinality"), F.lit(0))
+    return actions.filter(is_add | F.col("remove").isNotNull()).select(
         "root",
         F.coalesce("add.path", "remove.path").alias("path"),
+        F.when(is_add, vector_id(F.col("add.deletionVector"))).otherwise(vector_id(F.col("remove.deletionVector"))).alias("vector"),
         # odd for an add: within one commit a re-added path is live
         (F.col("version") * 2 + is_add.cast("bigint")).alias("at"),
         F.col("add.size").alias("size_bytes"),
-        record_count(F.col("add.stats")).alias("num_records"),
+        (record_count(F.col("add.stats")) - deleted).alias("num_records"),
         F.timestamp_millis("add.modificationTime").alias("modified_at"),
     )
-    state = ["size_bytes", "num_records", "modified_at"]
-    last = files.groupBy("root", "path").agg(F.max("at").alias("at"), *[F.max_by(c, "at").alias(c) for c in state])
-    return last.filter(F.col("at") % 2 == 1).select("root", "path", *state)
+
+
+STATE = ["size_bytes", "num_records", "modified_at"]
+
+
+def last_files(files: DataFrame) -> DataFrame:
+    """The files that the last of their actions added.
+
+    It is chosen by ``max_by`` over numbers: a hash aggregate that combines before the
+    shuffle, so neither a hot table nor a hot path lands in one task unreduced.
+    """
+    last = files.groupBy("root", "path", "vector").agg(F.max("at").alias("at"), *[F.max_by(c, "at").alias(c) for c in STATE])
+    return last.filter(F.col("at") % 2 == 1)
+
+
+def live_files(actions: DataFrame, as_of: int | None = None) -> DataFrame:
+    """Files of each table, with the rows their deletion vectors leave, as the last action on each left them."""
+    if as_of is not None:
+        actions = actions.filter(F.col("version") <= as_of)
+    return last_files(file_actions(actions)).select("root", "path", *STATE)
 
 
 def log_totals(files: DataFrame) -> DataFrame:

@@ -28,8 +28,9 @@ LOG_FILE = r"^(.*)/_delta_log/\d{20}\.(?:json|checkpoint(?:\.\d+\.\d+|\.[0-9a-f-
 SIDE_FOLDER = "_sidecars"
 LINES = 10_000  # lines of a commit in one batch
 
-ADD = "struct<path:string,size:bigint,modificationTime:bigint,stats:string>"
-REMOVE = "struct<path:string,deletionTimestamp:bigint>"
+VECTOR = "struct<storageType:string,pathOrInlineDv:string,offset:int,cardinality:bigint>"
+ADD = f"struct<path:string,size:bigint,modificationTime:bigint,stats:string,deletionVector:{VECTOR}>"
+REMOVE = f"struct<path:string,deletionTimestamp:bigint,deletionVector:{VECTOR}>"
 META = (
     "struct<id:string,name:string,description:string,partitionColumns:array<string>,"
     "configuration:map<string,string>,createdTime:bigint,schemaString:string>"
@@ -80,7 +81,8 @@ def discover_tables(
     )
 
 
-def _commits(objects: DataFrame) -> DataFrame:
+def commit_versions(objects: DataFrame) -> DataFrame:
+    """(path, root, version) of the JSON commits in the listing."""
     path = F.col("path")
     return objects.filter(path.rlike(COMMIT_FILE)).select(
         path,
@@ -119,7 +121,7 @@ def commit_lines(objects: DataFrame, saved: DataFrame | None = None) -> DataFram
                             lines = []
                 yield piece(root, version, lines)
 
-    commits = _commits(objects)
+    commits = commit_versions(objects)
     if saved is not None:
         commits = commits.join(saved, "root", "left").filter(
             F.col("saved_version").isNull() | (F.col("version") > F.col("saved_version"))
@@ -154,18 +156,70 @@ def checkpoint_files(objects: DataFrame) -> DataFrame:
     return files.join(newest, made, "left_semi").select("path", "root", "version")
 
 
+def _json_pieces(path: str) -> Iterator[list[dict]]:
+    """The actions of a JSON file, ``LINES`` of them at a time."""
+    import io
+    import json
+
+    filesystem, inner = open_filesystem(path)
+    actions: list[dict] = []
+    with filesystem.open_input_stream(inner) as stream, io.TextIOWrapper(stream, "utf-8", newline="\n") as text:
+        for line in text:
+            if line.strip():
+                actions.append(json.loads(line))
+            if len(actions) >= LINES:
+                yield actions
+                actions = []
+    yield actions
+
+
+def side_files(files: DataFrame) -> DataFrame:
+    """(path, root, version) of the side files that checkpoint files name; nothing else of these is read."""
+
+    def read_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        def names_in(path: str) -> Iterator[list[str]]:
+            if path.endswith(".json"):
+                for actions in _json_pieces(path):
+                    yield [a["sidecar"]["path"] for a in actions if a.get("sidecar")]
+                return
+            filesystem, inner = open_filesystem(path)
+            with filesystem.open_input_file(inner) as handle:
+                parquet = pq.ParquetFile(handle)
+                if "sidecar" in parquet.schema_arrow.names:
+                    for rows in parquet.iter_batches(columns=["sidecar"]):
+                        yield [s["path"] for s in rows.column("sidecar").to_pylist() if s]
+
+        for batch in batches:
+            for path, root, version in zip(*[c.to_pylist() for c in batch.columns]):
+                folder = path.rsplit("/", 1)[0]
+                for names in names_in(path):
+                    found = [name if "/" in name else f"{folder}/{SIDE_FOLDER}/{name}" for name in names]
+                    yield pa.record_batch(
+                        [pa.array(found, pa.string()), pa.array([root] * len(found), pa.string()), pa.array([version] * len(found), pa.int64())],
+                        names=["path", "root", "version"],
+                    )
+
+    return files.select("path", "root", "version").mapInArrow(read_names, "path string, root string, version long").distinct()
+
+
 def checkpoint_actions(files: DataFrame) -> DataFrame:
-    """Actions of the checkpoint files, streamed in Arrow batches, with those of the side files they name."""
+    """Actions of the checkpoint files and of the side files they name.
 
-    def read_checkpoints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import json
+    Names of side files are read first, as rows; then all files are dealt out, so that side
+    files of one checkpoint are read by many tasks.  Every file is streamed: Parquet in
+    Arrow batches, JSON in pieces.
+    """
 
+    def read_checkpoints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow.parquet as pq
 
         text, whole = pa.string(), pa.int64()
+        vector = pa.struct([("storageType", text), ("pathOrInlineDv", text), ("offset", pa.int32()), ("cardinality", whole)])
         wanted = {
-            "add": pa.struct([("path", text), ("size", whole), ("modificationTime", whole), ("stats", text)]),
-            "remove": pa.struct([("path", text), ("deletionTimestamp", whole)]),
+            "add": pa.struct([("path", text), ("size", whole), ("modificationTime", whole), ("stats", text), ("deletionVector", vector)]),
+            "remove": pa.struct([("path", text), ("deletionTimestamp", whole), ("deletionVector", vector)]),
             "metaData": pa.struct(
                 [("id", text), ("name", text), ("description", text), ("partitionColumns", pa.list_(text)),
                  ("configuration", pa.map_(text, text)), ("createdTime", whole), ("schemaString", text)]
@@ -175,8 +229,11 @@ def checkpoint_actions(files: DataFrame) -> DataFrame:
         def shaped(column: pa.Array, target: pa.StructType) -> pa.Array:
             have = {f.name for f in column.type}
             children = [
-                column.field(f.name).cast(f.type) if f.name in have else pa.nulls(len(column), f.type) for f in target
-            ]
+                pa.nulls(len(column), f.type) if f.name not in have
+                else shaped(column.field(f.name), f.type) if pa.types.is_struct(f.type)
+                else column.field(f.name).cast(f.type)
+                for f in target
+            ]
             return pa.StructArray.from_arrays(children, fields=list(target), mask=column.is_null())
 
         def rows_of(root: str, version: int, n: int, columns: list[pa.Array]) -> pa.RecordBatch:
@@ -184,43 +241,31 @@ def checkpoint_actions(files: DataFrame) -> DataFrame:
                 [pa.array([root] * n, text), pa.array([version] * n, whole), *columns], names=["root", "version", *wanted]
             )
 
-        def parquet_rows(filesystem, inner: str, root: str, version: int, side: list[str]) -> Iterator[pa.RecordBatch]:
+        def parquet_rows(path: str, root: str, version: int) -> Iterator[pa.RecordBatch]:
+            filesystem, inner = open_filesystem(path)
             with filesystem.open_input_file(inner) as handle:
                 parquet = pq.ParquetFile(handle)
-                names = parquet.schema_arrow.names
-                present = [n for n in wanted if n in names]
-                more = ["sidecar"] if "sidecar" in names else []
-                for rows in parquet.iter_batches(columns=present + more):
-                    if more:
-                        side += [s["path"] for s in rows.column("sidecar").to_pylist() if s]
+                present = [n for n in wanted if n in parquet.schema_arrow.names]
+                for rows in parquet.iter_batches(columns=present):
                     n = rows.num_rows
                     columns = [shaped(rows.column(k), t) if k in present else pa.nulls(n, t) for k, t in wanted.items()]
                     yield rows_of(root, version, n, columns)
 
-        def json_rows(filesystem, inner: str, root: str, version: int, side: list[str]) -> pa.RecordBatch:
-            with filesystem.open_input_stream(inner) as stream:
-                actions = [json.loads(line) for line in stream.read().decode("utf-8").splitlines() if line.strip()]
-            side += [a["sidecar"]["path"] for a in actions if a.get("sidecar")]
-            for a in actions:
-                if a.get("metaData"):
-                    a["metaData"]["configuration"] = list((a["metaData"].get("configuration") or {}).items())
-            columns = [pa.array([a.get(k) for a in actions], type=t) for k, t in wanted.items()]
-            return rows_of(root, version, len(actions), columns)
+        def json_rows(path: str, root: str, version: int) -> Iterator[pa.RecordBatch]:
+            for actions in _json_pieces(path):
+                for a in actions:
+                    if a.get("metaData"):
+                        a["metaData"]["configuration"] = list((a["metaData"].get("configuration") or {}).items())
+                columns = [pa.array([a.get(k) for a in actions], type=t) for k, t in wanted.items()]
+                yield rows_of(root, version, len(actions), columns)
 
         for batch in batches:
             for path, root, version in zip(*[c.to_pylist() for c in batch.columns]):
-                filesystem, inner = open_filesystem(path)
-                side: list[str] = []
-                if path.endswith(".json"):
-                    yield json_rows(filesystem, inner, root, version, side)
-                else:
-                    yield from parquet_rows(filesystem, inner, root, version, side)
-                folder = inner.rsplit("/", 1)[0]
-                for name in side:
-                    filed = name.split("://")[-1] if "/" in name else f"{folder}/{SIDE_FOLDER}/{name}"
-                    yield from parquet_rows(filesystem, filed, root, version, [])
-
-    return files.mapInArrow(read_checkpoints, f"root string, version long, add {ADD}, remove {REMOVE}, metaData {META}")
+                yield from (json_rows if path.endswith(".json") else parquet_rows)(path, root, version)
+
+    every = files.select("path", "root", "version").unionByName(side_files(files))
+    dealt = every.repartition(every.sparkSession.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(read_checkpoints, f"root string, version long, add {ADD}, remove {REMOVE}, metaData {META}")
 
 
 def read_actions(objects: DataFrame) -> DataFrame:

@@ -179,3 +179,76 @@ def test_long_commits_come_in_pieces(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "lake" / "t")
     commit(root, 0, *[add(f"f{i}", i) for i in range(10)])
     assert len(live(spark, tmp_path)) == 10
+
+
+def save_as_is(folder, name, *actions):
+    """A checkpoint with all that the actions hold."""
+    os.makedirs(folder, exist_ok=True)
+    pq.write_table(pa.Table.from_pylist([{"add": {k: v for k, v in a["add"].items() if k != "partitionValues"}} for a in actions]), os.path.join(folder, name))
+
+
+def vectored(path, size, records, deleted, name, at=1_000):
+    action = add(path, size, records, at)
+    action["add"]["deletionVector"] = {"storageType": "u", "pathOrInlineDv": name, "offset": 1, "sizeInBytes": 40, "cardinality": deleted}
+    return action
+
+
+def totals(files):
+    return sorted(map(tuple, lr.log_totals(files).select("num_files", "size_bytes", "num_records").collect()))
+
+
+@pytest.mark.parametrize("checkpointed", [False, True])
+def test_deletion_vectors_take_rows_off(spark, tmp_path, checkpointed):
+    root = str(tmp_path / "lake" / "t")
+    commit(root, 0, meta("m"), add("a", 100, 10), add("b", 100, 3))
+    commit(root, 1, remove("a"), vectored("a", 100, 10, 4, "v1"))
+    gone = remove("a")
+    gone["remove"]["deletionVector"] = {"storageType": "u", "pathOrInlineDv": "v1", "offset": 1, "cardinality": 4}
+    commit(root, 2, gone, vectored("a", 100, 10, 7, "v2"), remove("b"))
+    if checkpointed:
+        save_as_is(os.path.join(root, "_delta_log"), f"{1:020d}.checkpoint.parquet", vectored("a", 100, 10, 4, "v1"), add("b", 100, 3))
+    actions = txlog.read_actions(walk_objects(spark, str(tmp_path / "lake")))
+    if not checkpointed:
+        assert totals(lr.live_files(actions, as_of=0)) == [(2, 200, 13)]
+    assert totals(lr.live_files(actions, as_of=1)) == [(2, 200, 9)]
+    assert totals(lr.live_files(actions)) == [(1, 100, 3)]
+
+
+def test_many_side_files_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(txlog, "LINES", 7)
+    root = str(tmp_path / "lake" / "t")
+    log = os.path.join(root, "_delta_log")
+    for j in range(50):
+        save(os.path.join(log, "_sidecars"), f"s{j}.parquet", *[{"add": {"path": f"p{j}-{k}", "size": 1}} for k in range(4)])
+    with open(os.path.join(log, f"{2:020d}.checkpoint.80a083e8-7026-4e79-81be-64bd76c43a11.json"), "w") as out:
+        out.write("\n".join(json.dumps({"sidecar": {"path": f"s{j}.parquet", "sizeInBytes": 9}}) for j in range(50)))
+    files = txlog.checkpoint_files(walk_objects(spark, str(tmp_path / "lake")))
+    assert txlog.side_files(files).count() == 50
+    read = txlog.checkpoint_actions(files)
+    tasks = [r["n"] for r in read.filter("add IS NOT NULL").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 200 and len(tasks) >= 8 and max(tasks) <= 60
+    assert len(live(spark, tmp_path)) == 200
+
+
+def test_replay_goes_on_from_its_state(spark, tmp_path):
+    from metaspark.plans.replay_state import replay, saved_state
+
+    lake, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    root, other = f"{lake}/t", f"{lake}/u"
+    commit(root, 0, meta("m"), add("a", 100, 10), add("b", 100, 3))
+    commit(root, 1, remove("a"), vectored("a", 100, 10, 4, "v1"))
+    commit(other, 0, add("x", 1, 1))
+    assert totals(replay(walk_objects(spark, lake), state)) == [(1, 1, 1), (2, 200, 9)]
+    for version in (0, 1):  # opened no more
+        with open(os.path.join(root, "_delta_log", f"{version:020d}.json"), "wb") as out:
+            out.write(b"\xff broken")
+    assert totals(replay(walk_objects(spark, lake), state)) == [(1, 1, 1), (2, 200, 9)]
+    commit(root, 2, remove("b"), add("c", 7, 2))
+    commit(f"{lake}/new", 0, add("n", 5, 5))
+    assert totals(replay(walk_objects(spark, lake), state)) == [(1, 1, 1), (1, 5, 5), (2, 107, 8)]
+    # a gap: commit 4 follows a cleaned-up log whose checkpoint is of version 3
+    commit(root, 4, add("e", 1, 1))
+    save_as_is(os.path.join(root, "_delta_log"), f"{3:020d}.checkpoint.parquet", add("d", 2, 2))
+    assert totals(replay(walk_objects(spark, lake), state)) == [(1, 1, 1), (1, 5, 5), (2, 3, 3)]
+    heads = {r.root.rsplit("/", 1)[1]: r.saved_version for r in saved_state(spark, state)[1].collect()}
+    assert heads == {"t": 4, "u": 0, "new": 0}

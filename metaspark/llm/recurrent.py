@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from metaspark.session import scratch_path
 
+from .frames import lean
 from .words import mixed, text_slices, word_hashes, word_spans
 
 GROUP = 32  # groups, and symbols in a group
@@ -34,14 +35,16 @@ FIRST_CLASS = END - CLASSES  # symbols below are words
 HIDDEN = 32
 LOOKUP = 1 << 16
 ADD = 0.1
-TRAINER_TOKENS = 1 << 20
+TRAINER_TOKENS = 1 << 22
+UPDATES = 192
 WINDOW = 32
-LANES = 64
+LANES = 512
 SCORE_LANES = 256
 SCORE_WINDOW = 64
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 8 << 20
 COUNT_WORDS = 1 << 21
 WEIGHT_BLOCK = 1024
+FAINT = 1e-30
 SEED = 5
 
 
@@ -198,101 +201,142 @@ class Network:
     def states(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
         """States after each step of a window (steps x lanes) and what the way back needs.
 
-        ``fresh`` marks steps that begin a document: their state starts at zero.
+        ``fresh`` marks steps that begin a document: their state starts at zero.  What the
+        symbols give the gates is looked up for the whole window at once.
         """
-        p, kept = self.p, []
-        out = np.empty((*inputs.shape, HIDDEN), dtype=np.float32)
+        p = self.p
+        z, r, new = (np.take(v, inputs, axis=0) for v in np.split(p["x"], 3, axis=1))
+        to_z, to_r = (np.ascontiguousarray(v) for v in np.split(p["u"], 2, axis=1))
+        before, reset, out = (np.empty((*inputs.shape, HIDDEN), dtype=new.dtype) for _ in range(3))
+        begins = fresh.any(axis=1)
         for t in range(len(inputs)):
-            if fresh[t].any():
-                state = state * ~fresh[t][:, None]
-            a = p["x"][inputs[t]]
-            gates = a[:, : 2 * HIDDEN] + state @ p["u"]
-            np.negative(gates, out=gates)
-            np.exp(gates, out=gates)
-            gates += 1
-            np.reciprocal(gates, out=gates)
-            z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            reset = r * state
-            new = np.tanh(a[:, 2 * HIDDEN :] + reset @ p["ug"])
-            kept.append((state, z, r, reset, new))
-            state = state + z * (new - state)
-            out[t] = state
-        return out, kept
+            np.multiply(state, ~fresh[t][:, None], out=before[t]) if begins[t] else np.copyto(before[t], state)
+            state = before[t]
+            for gate, weights in ((z[t], to_z), (r[t], to_r)):
+                gate += state @ weights
+                np.negative(gate, out=gate)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+            np.multiply(r[t], state, out=reset[t])
+            new[t] += reset[t] @ p["ug"]
+            np.tanh(new[t], out=new[t])
+            np.subtract(new[t], state, out=out[t])
+            out[t] *= z[t]
+            out[t] += state
+            state = out[t]
+        return out, [before, z, r, reset, new]
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, back: dict | None = None) -> np.ndarray:
-        """Natural log probabilities of the targets; with ``back``, gradients of their negative sum too."""
+        """Natural log probabilities of the targets; with ``back``, gradients of their negative sum too.
+
+        Steps are taken in order of their targets' groups, so that a group's members are one product.
+        """
         p = self.p
         group, member = targets // GROUP, targets % GROUP
-        lane = np.arange(len(targets))
-        logits = states @ p["g"] + p["bg"]
-        logits -= logits.max(axis=1, keepdims=True)
-        weights = np.exp(logits)
-        total = weights.sum(axis=1)
-        out = logits[lane, group] - np.log(total)
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(GROUP + 1))
+        rows, member = np.take(states, order, axis=0), member[order]
+        ones = np.ones(GROUP, dtype=rows.dtype)
+
+        def softmax(own: slice, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray):
+            """(log probabilities of the wanted, d logits)."""
+            logits = rows[own] @ weights
+            logits += bias
+            logits -= logits.max()
+            at = np.arange(len(wanted))
+            picked = logits[at, wanted]
+            np.exp(logits, out=logits)
+            total = logits @ ones
+            if total.min() < FAINT:  # rows far below the highest: each by its own maximum
+                logits = rows[own] @ weights + bias
+                logits -= logits.max(axis=1, keepdims=True)
+                picked = logits[at, wanted]
+                np.exp(logits, out=logits)
+                total = logits @ ones
+            picked -= np.log(total)
+            if back is not None:
+                logits /= total[:, None]
+                logits[at, wanted] -= 1
+            return picked, logits
+
+        found, d = softmax(slice(None), p["g"], p["bg"], group[order])
         if back is not None:
-            d = weights / total[:, None]
-            d[lane, group] -= 1
-            back["g"], back["bg"] = states.T @ d, d.sum(axis=0)
-            back["states"] = d @ p["g"].T
+            back["g"], back["bg"] = rows.T @ d, d.sum(axis=0)
+            d_rows = d @ np.ascontiguousarray(p["g"].T)
             back["w"], back["bw"] = np.zeros_like(p["w"]), np.zeros_like(p["bw"])
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUP + 1))
         for k in range(GROUP):
-            own = order[cuts[k] : cuts[k + 1]]
-            if not len(own):
+            own = slice(cuts[k], cuts[k + 1])
+            if cuts[k] == cuts[k + 1]:
                 continue
-            logits = states[own] @ p["w"][k] + p["bw"][k]
-            logits -= logits.max(axis=1, keepdims=True)
-            weights = np.exp(logits)
-            total = weights.sum(axis=1)
-            here = np.arange(len(own))
-            out[own] += logits[here, member[own]] - np.log(total)
+            inner, d = softmax(own, p["w"][k], p["bw"][k], member[own])
+            found[own] += inner
             if back is not None:
-                d = weights / total[:, None]
-                d[here, member[own]] -= 1
-                back["w"][k], back["bw"][k] = states[own].T @ d, d.sum(axis=0)
-                back["states"][own] += d @ p["w"][k].T
+                back["w"][k], back["bw"][k] = rows[own].T @ d, d.sum(axis=0)
+                d_rows[own] += d @ np.ascontiguousarray(p["w"][k].T)
+        out = np.empty_like(found)
+        out[order] = found
+        if back is not None:
+            back["states"] = np.empty_like(d_rows)
+            back["states"][order] = d_rows
         return out
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, state: np.ndarray):
-        """(loss a token, gradient, last state) of a window."""
+        """(loss a token, gradient, last state) of a window; each weight's gradient is one product over the window."""
         steps, lanes = inputs.shape
-        states, kept = self.states(inputs, fresh, state)
+        states, (before, z, r, reset, new) = self.states(inputs, fresh, state)
         back: dict[str, np.ndarray] = {}
         loss = -self.log_probabilities(states.reshape(-1, HIDDEN), targets.ravel(), back).mean()
         from_out = back["states"].reshape(steps, lanes, HIDDEN)
         p, scale = self.p, np.float32(1.0 / targets.size)
         grad = np.zeros_like(self.flat)
         g = self._views(grad)
-        d_in = np.empty((steps, lanes, 3 * HIDDEN), dtype=np.float32)
-        d_state = np.zeros((lanes, HIDDEN), dtype=np.float32)
+        d_z, d_r, d_new = (np.empty_like(new) for _ in range(3))
+        begins = fresh.any(axis=1)
+        across_z, across_r, across_new = (np.ascontiguousarray(v.T) for v in (*np.split(p["u"], 2, axis=1), p["ug"]))
+        d_state = np.zeros((lanes, HIDDEN), dtype=new.dtype)
+        one, other, d_reset = (np.empty_like(d_state) for _ in range(3))  # room for products
         for t in range(steps - 1, -1, -1):
-            before, z, r, reset, new = kept[t]
-            d_state = d_state + from_out[t]
-            d_new = d_state * z * (1 - new * new)
-            d_reset = d_new @ p["ug"].T
-            d_z = d_state * (new - before) * z * (1 - z)
-            d_r = d_reset * before * r * (1 - r)
-            d_in[t, :, :HIDDEN], d_in[t, :, HIDDEN : 2 * HIDDEN], d_in[t, :, 2 * HIDDEN :] = d_z, d_r, d_new
-            g["ug"] += reset.T @ d_new
-            g["u"] += before.T @ d_in[t, :, : 2 * HIDDEN]
-            d_state = d_state * (1 - z) + d_reset * r + d_in[t, :, : 2 * HIDDEN] @ p["u"].T
-            d_state *= ~fresh[t][:, None]
+            d_state += from_out[t]
+            np.multiply(new[t], new[t], out=one)
+            np.subtract(1, one, out=one)
+            one *= z[t]
+            np.multiply(d_state, one, out=d_new[t])
+            np.subtract(1, z[t], out=other)
+            np.subtract(new[t], before[t], out=one)
+            one *= z[t]
+            one *= other
+            np.multiply(d_state, one, out=d_z[t])
+            np.matmul(d_new[t], across_new, out=d_reset)
+            np.subtract(1, r[t], out=one)
+            one *= reset[t]
+            np.multiply(d_reset, one, out=d_r[t])
+            d_state *= other
+            d_reset *= r[t]
+            d_state += d_reset
+            d_state += np.matmul(d_z[t], across_z, out=one)
+            d_state += np.matmul(d_r[t], across_r, out=one)
+            if begins[t]:
+                d_state *= ~fresh[t][:, None]
+        flat = lambda v: v.reshape(-1, v.shape[-1])
+        g["ug"][:] = flat(reset).T @ flat(d_new)
+        g["u"][:, :HIDDEN], g["u"][:, HIDDEN:] = flat(before).T @ flat(d_z), flat(before).T @ flat(d_r)
         symbol = inputs.ravel()
-        order = np.argsort(symbol, kind="stable")
+        order = np.argsort(symbol.astype(np.uint16), kind="stable")
         first = np.flatnonzero(np.diff(symbol[order], prepend=-1))
-        g["x"][symbol[order][first]] = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        seen = symbol[order][first]
+        g["x"][seen] = np.concatenate([np.add.reduceat(np.take(flat(d), order, axis=0), first, axis=0) for d in (d_z, d_r, d_new)], axis=1)
         for name in ("g", "bg", "w", "bw"):
             g[name][:] = back[name]
         grad *= scale
         return loss, grad, states[-1]
 
-    def fit(self, symbols: np.ndarray, lanes: int = LANES, window: int = WINDOW, rate: float = 0.004) -> float:
+    def fit(self, symbols: np.ndarray, lanes: int = LANES, window: int = WINDOW, rate: float = 0.02) -> float:
         """One pass over a stream of documents (each with its end), cut into lanes; returns the last losses' mean.
 
-        The state goes on from window to window; gradients stop at a window's start.
+        There are as many lanes as leave ``UPDATES`` updates of the weights, ``lanes`` at most.  The state goes on from window to window; gradients stop at a window's start.
         """
-        lanes = max(1, min(lanes, len(symbols) // (window * 8)))
+        lanes = max(1, min(lanes, len(symbols) // (window * UPDATES)))
         steps = (len(symbols) - 1) // lanes
         if steps < 1:
             return 0.0
@@ -334,7 +378,7 @@ class Network:
             load[lane] += sizes[j]
         steps = int(load.max())
         targets = np.full((steps, lanes), END, dtype=np.int32)
-        owner = np.full((steps, lanes), rows, dtype=np.int64)
+        owner = np.full((steps, lanes), rows, dtype=np.int32)
         row = np.repeat(np.arange(rows), sizes)
         step = np.arange(len(symbols)) - starts[row] + place[row]
         targets[step, lane_of[row]] = symbols
@@ -420,7 +464,7 @@ def train(docs: DataFrame, known: Counts) -> np.ndarray:
                 yield trained()
 
         dealt = rows.repartition(trainers, "trainer").sortWithinPartitions("trainer", "at").select("trainer", "text")
-        parts = dealt.mapInArrow(work, "trainer int, block int, weight double, vals array<double>")
+        parts = dealt.mapInArrow(lean(work), "trainer int, block int, weight double, vals array<double>")
         added = F.reduce(
             F.collect_list("vals"),
             F.array_repeat(F.lit(0.0), WEIGHT_BLOCK),
@@ -506,7 +550,7 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
         "row long, doc_id long, n_tokens long, known long, base double, model double, rare array<long>, times array<int>"
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = written(texts.mapInArrow(work, schema), "scored")
+    scored = written(texts.mapInArrow(lean(work), schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("p")).select("row", F.col("p.rare").alias("word"), "p.times")
     count = F.coalesce(F.col("n"), F.lit(0))
     joined = rare.join(counted.select("word", "n"), "word", "left").groupBy("row").agg(

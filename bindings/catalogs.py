@@ -186,6 +186,42 @@ def owned_table_fields(spark, sf_dir):
     return fields.select("field_rn", "name", "type", "logical_type", "is_key", "is_value")
 
 
+@query(
+    "catalog_field_stats",
+    _GLUE
+    + """
+, f AS (
+  SELECT s_suppkey, s_nationkey, rn || rel AS field_rn, name, type FROM (
+  SELECT *, '/columns/id' AS rel, 'id' AS name, 'INTEGER' AS type FROM s
+  UNION ALL SELECT *, '/columns/m', 'm', 'MAP' FROM s
+  UNION ALL SELECT *, '/columns/m/keys/string', 'string', 'STRING' FROM s
+  UNION ALL SELECT *, '/columns/m/values/varchar', 'varchar', 'STRING' FROM s)),
+r AS (SELECT *, name = 'id' AND s_suppkey % 4 <> 1 AS told FROM f)
+SELECT field_rn, name, type, CASE WHEN told THEN 'number' END AS kind,
+       CASE WHEN told THEN CAST(s_suppkey + CASE WHEN s_suppkey % 9 = 0 THEN 1000 ELSE 0 END AS VARCHAR) END AS low_value,
+       CASE WHEN told THEN CAST(s_suppkey + 5000 AS VARCHAR) END AS high_value,
+       CASE WHEN told THEN CAST(s_suppkey % 5 AS BIGINT) END AS nulls_count,
+       CASE WHEN told THEN CAST(s_nationkey AS BIGINT) END AS unique_count
+FROM r""",
+)
+def catalog_field_stats(spark, sf_dir):
+    """Fields of the tables with the statistics that their catalog reports; some tables have none, some two reports."""
+    supplier = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("bigint")
+
+    def reports(rows, low, at):
+        numbers = F.struct(low.alias("MinimumValue"), (key + 5000).alias("MaximumValue"), (key % 5).alias("NumberOfNulls"), F.col("s_nationkey").cast("bigint").alias("NumberOfDistinctValues"))
+        data = F.struct(F.lit("LONG").alias("Type"), numbers.alias("LongColumnStatisticsData"))
+        column = F.struct(F.lit("id").alias("ColumnName"), F.lit(at).alias("AnalyzedTime"), data.alias("StatisticsData"))
+        return doc_lines(rows, DatabaseName=text("db", F.col("s_nationkey")), TableName=F.col("s_name"), ColumnStatisticsList=F.array(column))
+
+    told = supplier.filter(key % 4 != 1)
+    landed = reports(told, key, "2021-01-01T00:00:00Z").union(reports(told.filter(key % 9 == 0), key + 1000, "2021-02-01T00:00:00Z"))
+    statistics, _ = en.glue_statistics(landed, SCOPE)
+    joined = en.glue_field_stats(_glue_docs(spark, sf_dir), statistics, SCOPE)
+    return joined.select("field_rn", "name", "type", "kind", "low_value", "high_value", "nulls_count", "unique_count")
+
+
 # --- key-value tables -------------------------------------------------------------------
 
 

@@ -219,3 +219,35 @@ def experiment_list(spark, sf_dir):
 )
 def iso_times(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", iso_text(F.col("ts")).alias("at"))
+
+
+@query(
+    "task_metadata",
+    """
+WITH t AS (SELECT s_suppkey, '//task/' || s_suppkey AS entity_rn FROM supplier)
+SELECT entity_rn, 'dms.json#/definitions/DMS' AS schema_url, key_path, value FROM (
+  SELECT entity_rn, 'MigrationType' AS key_path, CASE s_suppkey % 2 WHEN 0 THEN 'cdc' ELSE 'full-load' END AS value FROM t
+  UNION ALL SELECT entity_rn, 'TableMappings', '{"rules":[' || s_suppkey || ']}' FROM t
+  UNION ALL SELECT entity_rn, 'Status', 'stopped' FROM t
+  UNION ALL SELECT entity_rn, 'StopReason', 'Stop Reason ' || s_suppkey FROM t WHERE s_suppkey % 3 = 0
+  UNION ALL SELECT entity_rn, 'ReplicationTaskCreationDate', '2022-09-24T00:00:00' FROM t
+  UNION ALL SELECT entity_rn, 'ReplicationTaskStartDate', '2022-09-25T00:00:00' FROM t)""",
+)
+def task_metadata(spark, sf_dir):
+    """Documents of replication tasks: of their nine keys the six that are kept, as far as a task has them."""
+    key = F.col("s_suppkey")
+    docs = table(spark, sf_dir, "supplier").select(
+        text("//task/", key).alias("entity_rn"),
+        F.parse_json(F.to_json(F.struct(
+            F.when(key % 2 == 0, F.lit("cdc")).otherwise(F.lit("full-load")).alias("MigrationType"),
+            text('{"rules":[', key, "]}").alias("TableMappings"),
+            F.lit("stopped").alias("Status"),
+            F.when(key % 3 == 0, text("Stop Reason ", key)).alias("StopReason"),
+            F.lit("2022-09-24T00:00:00").alias("ReplicationTaskCreationDate"),
+            F.lit("2022-09-25T00:00:00").alias("ReplicationTaskStartDate"),
+            text("arn:task:", key).alias("ReplicationTaskArn"),
+            F.struct(F.lit(7).alias("TablesLoaded"), F.lit("nested").alias("Status")).alias("ReplicationTaskStats"),
+            F.lit("i-1").alias("ReplicationInstanceArn"),
+        ))).alias("doc"),
+    )
+    return kv.metadata_of(docs, "task")

@@ -71,11 +71,12 @@ def flatten_metadata(
     lists: bool = False,
     delimiter: str = ".",
     json_text_path: str | None = JSON_TEXT_PATH,
+    only: list[str] | None = None,
 ) -> DataFrame:
     """(other columns..., key_path, value) rows of a VARIANT column.
 
     ``excluded`` holds raw paths joined with ``::``; with ``prefixed=False`` a nested key
-    is tested by its own name.  Lists stay JSON text unless ``lists`` is set, which
+    is tested by its own name.  ``only`` keeps these top-level keys and what is below them.  Lists stay JSON text unless ``lists`` is set, which
     descends into them with the position in the path.
 
     Each level opens the containers of the level before and is written to the shared
@@ -96,6 +97,8 @@ def flatten_metadata(
         rows = opened.filter(F.col("pos").isNotNull()).select(
             *keys_of(keep), raw.alias("_raw"), path.alias("_path"), F.col("value").alias("_v")
         )
+        if only:
+            rows = rows.filter(F.substring_index("_raw", "::", 1).isin(only))
         if excluded:
             rows = rows.filter(~F.col("_raw").isin(excluded))
         if json_text_path:
@@ -132,6 +135,7 @@ def metadata_of(docs: DataFrame, kind: str, url_prefix: str = "") -> DataFrame:
         prefixed=kind != "stream",
         lists=kind == "kv_table",
         json_text_path=None if kind in ("kv_table", "feature_group") else JSON_TEXT_PATH,
+        only=TASK_KEYS if kind == "task" else None,
     )
     return rows.select("entity_rn", schema_url(kind, url_prefix).alias("schema_url"), "key_path", "value")
 

@@ -19,6 +19,9 @@ from ..functions.types import normalised_type
 from ..operators import experiments as ex
 from ..operators import lineage as ln
 from ..operators.inventory import folders
+from ..operators.latest import latest_per_key
+from ..operators.profile import REPORTED, join_stats, reported_stats
+from ..operators.type_tree import field_rows
 
 ENTITY = [
     ("entity_rn", "string"),
@@ -198,6 +201,35 @@ def glue_columns(docs: DataFrame, scope: Scope) -> DataFrame:
     return _typed_columns(docs, glue_rn(scope), "d.StorageDescriptor.Columns", "glue")
 
 
+STATISTICS = (
+    f"struct<DatabaseName:string,TableName:string,ColumnStatisticsList:array<struct<ColumnName:string,AnalyzedTime:timestamp,StatisticsData:{REPORTED}>>>"
+)
+
+
+def glue_statistics(lines: DataFrame, scope: Scope) -> tuple[DataFrame, DataFrame]:
+    """(statistics by ``entity_rn`` and ``column_name``, rejects) of landed column-statistics documents (``value``).
+
+    A table's columns may be spread over documents; of several reports on a column the one
+    analysed last counts (one without a time before all others).
+    """
+    read = lines.select("value", F.from_json("value", STATISTICS).alias("d"))
+    usable = F.col("d.DatabaseName").isNotNull() & F.col("d.TableName").isNotNull()
+    rejects = read.filter(~F.coalesce(usable, F.lit(False))).select(
+        F.lit("glue_statistics").alias("job"), F.md5(F.coalesce("value", F.lit(""))).alias("key"), F.lit("no table named").alias("reason")
+    )
+    rn = names.path_of(scope.source("glue"), databases=F.col("d.DatabaseName"), tables=F.col("d.TableName"))
+    columns = read.filter(usable).select(rn.alias("entity_rn"), F.explode("d.ColumnStatisticsList").alias("c"))
+    reports = columns.select("entity_rn", F.col("c.ColumnName").alias("column_name"), F.col("c.AnalyzedTime").alias("at"), F.col("c.StatisticsData").alias("report"))
+    newest = latest_per_key(reports.filter("column_name IS NOT NULL"), ["entity_rn", "column_name"], [F.col("at").isNotNull(), F.col("at")])
+    return reported_stats(newest.drop("at")), rejects
+
+
+def glue_field_stats(docs: DataFrame, statistics: DataFrame, scope: Scope) -> DataFrame:
+    """Fields of the tables with what their catalog reports of the columns; fields without a report keep nulls."""
+    fields, _ = field_rows(glue_columns(docs, scope))
+    return join_stats(fields, statistics)
+
+
 def job_rn(scope: Scope, name: Column) -> Column:
     return names.path_of(scope.source("glue"), jobs=name)
 

@@ -178,3 +178,20 @@ def test_refresh(spark, tmp_path, files):
     assert sorted(os.listdir(target)) == ["batch_id=0", "batch_id=1"]
     compact(spark, target, str(tmp_path / "compacted"), ["id"], order)
     assert rows(current_state(spark, str(tmp_path / "compacted"), ["id"], order).select("id", "v")) == [("a", 2), ("b", 6), ("c", 0)]
+
+
+def test_reported_statistics_of_glue_columns(spark):
+    """Newest report of a column, columns over several documents, documents that name no table."""
+    import json
+
+    from bindings.registry import SCOPE
+    from metaspark.plans import entities as en
+
+    def doc(column, low, at=None, **more):
+        data = {"Type": "LONG", "LongColumnStatisticsData": {"MinimumValue": low, "MaximumValue": 9, "NumberOfNulls": 1, "NumberOfDistinctValues": 2}}
+        return json.dumps({"DatabaseName": "d", "TableName": "t", "ColumnStatisticsList": [{"ColumnName": column, "AnalyzedTime": at, "StatisticsData": data}], **more})
+
+    lines = [doc("a", 1), doc("a", 2, "2021-01-01T00:00:00Z"), doc("a", 3, "2020-01-01T00:00:00Z"), doc("b", 4), doc("a", 5, TableName=None), "{", None]
+    stats, rejects = en.glue_statistics(spark.createDataFrame([(v,) for v in lines], "value string"), SCOPE)
+    assert sorted((r.column_name, r.low_value) for r in stats.collect()) == [("a", "2"), ("b", "4")]
+    assert [r.reason for r in rejects.collect()] == ["no table named"] * 3

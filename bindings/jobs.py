@@ -8,7 +8,7 @@ from metaspark.functions.status import task_status as task_status_of
 from metaspark.functions.text import job_name
 from metaspark.operators import lineage as ln
 from metaspark.operators import selection as sel
-from metaspark.operators.descent import descend
+from metaspark.operators.descent import descend, reach, update
 from metaspark.operators.runs import job_runs as join_runs
 from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
@@ -441,3 +441,18 @@ def group_descent(spark, sf_dir):
 def group_rejects(spark, sf_dir):
     _, rejects = descend(_members(spark, sf_dir), _roots(spark, sf_dir))
     return rejects
+
+
+@query(
+    "group_descent_update",
+    _MEMBERS.replace("FROM m WHERE starts_with(g, 'region/')", "FROM m")
+    + "SELECT root AS root_rn, c AS table_rn, CAST(min(depth) AS INTEGER) AS depth FROM d WHERE k = 'T' GROUP BY ALL",
+)
+def group_descent_update(spark, sf_dir):
+    """Tables below every group, kept current: the customers of three nations come after the first descent."""
+    after = _members(spark, sf_dir)
+    late = F.col("group_rn").isin("nation/3", "nation/8", "nation/21") & F.col("member_rn").startswith("customer/")
+    before = after.filter(~late)
+    tables, _, groups = reach(before)
+    tables, _, _ = update(tables, groups, before, after)
+    return tables

@@ -11,7 +11,15 @@ from ..session import cut_lineage
 def descend(
     members: DataFrame, roots: DataFrame | None = None, group_types: tuple[str, ...] = ("DATABASE_SERVICE",)
 ) -> tuple[DataFrame, DataFrame]:
-    """(tables, rejects) below each root.
+    """(tables, rejects) below each root; ``reach`` gives what an update needs as well."""
+    tables, rejects, _ = reach(members, roots, group_types)
+    return tables, rejects
+
+
+def reach(
+    members: DataFrame, roots: DataFrame | None = None, group_types: tuple[str, ...] = ("DATABASE_SERVICE",)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tables, rejects, groups) below each root, where groups are (root_rn, group_rn) with the root itself.
 
     ``members``: group_rn, member_rn, member_type.  ``roots``: group_rn (default: every
     group).  Tables are (root_rn, table_rn, depth) with the smallest depth; members that
@@ -59,4 +67,26 @@ def descend(
         )
         .distinct()
     )
-    return tables, rejects
+    return tables, rejects, visited
+
+
+def update(
+    tables: DataFrame, groups: DataFrame, before: DataFrame, after: DataFrame, group_types: tuple[str, ...] = ("DATABASE_SERVICE",)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(tables, groups, roots that were descended again) after members came, went or changed their type.
+
+    ``tables`` and ``groups`` are those of ``reach`` on ``before``, from every group.  What is below a root can
+    only differ if a group it reached has different members, so only such roots, and groups
+    that are new, are descended again; all else is kept.  Cycles make no difference.
+    """
+    members = ["group_rn", "member_rn", "member_type"]
+    old, new = before.select(*members).distinct(), after.select(*members).distinct()
+    changed = cut_lineage(old.exceptAll(new).unionByName(new.exceptAll(old)).select("group_rn").distinct())
+    starts = new.select("group_rn").distinct()
+    touched = groups.join(changed, "group_rn", "left_semi").select("root_rn").union(starts.join(changed, "group_rn", "left_semi")).distinct()
+    touched = cut_lineage(touched)
+    again = touched.withColumnRenamed("root_rn", "group_rn").join(starts, "group_rn", "left_semi")
+    fresh_tables, _, fresh_groups = reach(after, again, group_types)
+    kept_tables = tables.join(touched, "root_rn", "left_anti").unionByName(fresh_tables)
+    kept_groups = groups.join(touched, "root_rn", "left_anti").unionByName(fresh_groups)
+    return kept_tables, kept_groups, again.withColumnRenamed("group_rn", "root_rn")

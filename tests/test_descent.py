@@ -3,8 +3,10 @@
 import random
 from collections import deque
 
+import pytest
+
 from conftest import rows
-from metaspark.operators.descent import descend
+from metaspark.operators.descent import descend, reach, update
 
 EDGE = "group_rn string, member_rn string, member_type string"
 G = "DATABASE_SERVICE"
@@ -56,3 +58,26 @@ def test_deep_chain_keeps_a_short_plan(spark):
     chain = [(f"g{i}", f"g{i + 1}", G) for i in range(14)] + [("g14", "t", "TABLE"), ("g14", "g0", G)]
     tables, _ = descend(spark.createDataFrame(chain, EDGE), spark.createDataFrame([("g0",)], "group_rn string"))
     assert rows(tables) == [("g0", "t", 15)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_update_equals_a_full_descent(spark, seed):
+    """Random graphs with cycles; members come, go and turn from tables into groups."""
+    rnd = random.Random(seed)
+    kind = lambda n: "DATABASE_SERVICE" if n.startswith("g") else "TABLE"
+    rows = {(f"g{rnd.randrange(30)}", rnd.choice([f"g{rnd.randrange(30)}", f"t{rnd.randrange(60)}"])) for _ in range(55)}
+    changed = set(rows)
+    for row in rnd.sample(sorted(rows), 3):
+        changed.discard(row)
+    changed |= {(f"g{rnd.randrange(34)}", f"t{rnd.randrange(60)}") for _ in range(3)} | {("g1", "g2"), ("g2", "g1")}
+    frame = lambda some: spark.createDataFrame([(g, m, kind(m)) for g, m in sorted(some)], "group_rn string, member_rn string, member_type string")
+    before, after = frame(rows), frame(changed)
+    tables, _, groups = reach(before)
+    new_tables, new_groups, again = update(tables, groups, before, after)
+    want_tables, _, want_groups = reach(after)
+    everything = lambda df: sorted(map(tuple, df.collect()))
+    assert everything(new_tables) == everything(want_tables)
+    assert everything(new_groups) == everything(want_groups)
+    assert 0 < again.count() < want_groups.select("root_rn").distinct().count()
+    same_tables, _, none = update(tables, groups, before, before)
+    assert none.count() == 0 and everything(same_tables) == everything(tables)

@@ -5,14 +5,21 @@ back.  The transducer that guesses the next token and checks it against the last
 nondeterministic: a state holds, for each place where a token may have begun, the token
 before it and the vocabulary's trie node reached since.  Determinised, states are sets of
 such guesses; they and their moves are made when a text first needs them.  Only one guess
-per prefix ends in a valid token, so a token is emitted as soon as all guesses agree on it,
-at most one longest token later.
+per prefix ends in a valid token, so every open guess has one path of tokens behind it, and
+the tokens that all paths share are settled.  A piece longer than ``LOOK`` bytes emits them as
+it is read; what is held back are the bytes in which open guesses still differ.
+
+Decoding takes the bytes of ids some thousand tokens at a time through a table-driven
+UTF-8 machine, which carries an incomplete character to the next chunk.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +27,16 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .frames import extended
+from .frames import extended, lean, small_batches
 
-STATES = 1 << 15
-PIECES = 1 << 16
+STATES = 1 << 16
+PIECES = 1 << 17
 PAIRS = 1 << 17
+LOOK = 64
 ROWS = 128  # rows encoded at once
 JOIN_TOKENS = 1 << 16
+NODE_BITS, TOKEN_BITS = 24, 24
+NODE, TOKEN = (1 << NODE_BITS) - 1, (1 << TOKEN_BITS) - 1
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -35,38 +45,41 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encoder of pieces for one table of ranks."""
+    """Encoder of pieces for one table of ranks.
+
+    The trie is one table of steps (node and byte to node) beside arrays; a guess is one
+    number, the last token (plus one) above the trie node, and so is an arc, the next state
+    above the token (plus one) that ends with the byte.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.moves: list[dict[int, int]] = [{}]  # trie: node -> byte -> node
-        self.token_at: list[int] = [-1]
+        self.steps: dict[int, int] = {}
+        self.token_at, self.depth, self.inner = array("i", [-1]), array("i", [0]), bytearray(1)
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                step = self.moves[node].get(byte)
+                step = self.steps.get(node << 8 | byte)
                 if step is None:
-                    step = self.moves[node][byte] = len(self.moves)
-                    self.moves.append({})
+                    self.inner[node] = 1
+                    step = self.steps[node << 8 | byte] = len(self.token_at)
                     self.token_at.append(-1)
+                    self.depth.append(self.depth[node] + 1)
+                    self.inner.append(0)
                 node = step
             self.token_at[node] = rank
-        self.size_of = [len(b) for b in self.bytes_of]
+        self.size_of = array("i", map(len, self.bytes_of))
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.pairs: dict[int, bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
-        self._fresh()
-
-    def _fresh(self) -> None:
-        # A state: guesses as (last token, trie node reached since), the earliest begun first.
-        self.guesses: list[tuple[tuple[int, int], ...]] = [((-1, 0),)]
-        self.names: dict[tuple, int] = {self.guesses[0]: 0}
-        self.arcs: list[dict[int, tuple[int, int]]] = [{}]
-        self.settled: list[bool] = [True]  # one guess, at a border
+        self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # A state: its guesses, the earliest begun first.
+        self.guesses: list[tuple[int, ...]] = [(0,)]
+        self.names: dict[tuple[int, ...], int] = {(0,): 0}
+        self.arcs: dict[int, int] = {}
 
     def last_merge(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for one that no merge makes."""
@@ -113,121 +126,246 @@ class Transducer:
         self.pairs[name] = ok
         return ok
 
-    def _next(self, guesses: tuple[tuple[int, int], ...] | list[tuple[int, int]], byte: int) -> tuple[list[tuple[int, int]], int]:
+    def _next(self, guesses: tuple[int, ...] | list[int], byte: int) -> tuple[list[int], int]:
         """(guesses after the byte, token that ends with it or -1).
 
         At most one guess ends in a token that may follow its last one.  Guesses that no
         further byte can extend are not kept.
         """
         after, ended = [], -1
-        moves, token_at, pairs = self.moves, self.token_at, self.pairs
-        for last, node in guesses:
-            step = moves[node].get(byte)
+        steps, token_at, pairs, inner = self.steps, self.token_at, self.pairs, self.inner
+        for guess in guesses:
+            step = steps.get((guess & NODE) << 8 | byte)
             if step is None:
                 continue
             if ended < 0:
                 token = token_at[step]
                 if token >= 0:
+                    last = (guess >> NODE_BITS) - 1
                     known = pairs.get(last << 32 | token)
                     if self.may_follow(last, token) if known is None else known:
                         ended = token
-            if moves[step]:
-                after.append((last, step))
+            if inner[step]:
+                after.append(guess >> NODE_BITS << NODE_BITS | step)
         if ended >= 0:
-            after.append((ended, 0))
+            after.append(ended + 1 << NODE_BITS)
         return after, ended
 
-    def _move(self, state: int, byte: int) -> tuple[int, int] | None:
-        """(next state, token that ends with the byte or -1), made now; None if the table is full."""
+    def _move(self, state: int, byte: int) -> int:
+        """The arc of a state for a byte, made now; -1 if the table is full."""
         if len(self.guesses) >= STATES:
-            return None
+            return -1
         guesses, ended = self._next(self.guesses[state], byte)
         key = tuple(guesses)
         to = self.names.get(key)
         if to is None:
             to = self.names[key] = len(self.guesses)
             self.guesses.append(key)
-            self.arcs.append({})
-            self.settled.append(len(key) == 1 and key[0][1] == 0)
-        arc = self.arcs[state][byte] = (to, ended)
+        arc = self.arcs[state << 8 | byte] = to << TOKEN_BITS | ended + 1
         return arc
 
     def run(self, piece: bytes) -> Iterator[int]:
-        """Token ids of ``piece``, each as soon as no open guess begins before its end.
+        """Token ids of ``piece``, in order as they are settled.
 
         States are made while the table has room, so those that texts need first and most
         are deterministic; from a state without an arc in a full table the guesses
         themselves are followed to the piece's end.
         """
-        ends: list[int] = []  # the token that ends each prefix
-        state = emitted = 0
-        arcs, settled = self.arcs, self.settled
+        ends: list[int] = []  # the token that ends each prefix, after what is emitted
+        state, guesses = 0, None
+        arcs = self.arcs
+        for byte in piece:
+            if guesses is None:
+                arc = arcs.get(state << 8 | byte)
+                if arc is None:
+                    arc = self._move(state, byte)
+                if arc >= 0:
+                    state, ended = arc >> TOKEN_BITS, (arc & TOKEN) - 1
+                else:
+                    guesses, ended = self._next(self.guesses[state], byte)
+            else:
+                guesses, ended = self._next(guesses, byte)
+            ends.append(ended)
+            if len(ends) > LOOK:
+                border = self._border(ends, guesses or self.guesses[state])
+                if border:
+                    yield from self._path(ends, border)
+                    del ends[:border]
+        yield from self._path(ends, len(ends))
+
+    def short(self, piece: bytes) -> list[int]:
+        """Token ids of a piece of at most ``LOOK`` bytes, as ``run`` gives them."""
+        ends: list[int] = []
+        state, known = 0, self.arcs.get
         for at, byte in enumerate(piece):
-            arc = arcs[state].get(byte) or self._move(state, byte)
-            if arc is None:
-                guesses = self.guesses[state]
+            arc = known(state << 8 | byte)
+            if arc is None and (arc := self._move(state, byte)) < 0:
+                guesses: tuple[int, ...] | list[int] = self.guesses[state]
                 for byte in piece[at:]:
                     guesses, ended = self._next(guesses, byte)
                     ends.append(ended)
                 break
-            state = arc[0]
-            ends.append(arc[1])
-            if settled[state]:
-                yield from self._path(ends, emitted)
-                emitted = len(ends)
-        yield from self._path(ends, emitted)
-
-    def _path(self, ends: list[int], start: int) -> list[int]:
-        """The tokens between two borders, followed from the right."""
-        out, end = [], len(ends)
-        while end > start:
-            out.append(ends[end - 1])
-            end -= self.size_of[ends[end - 1]]
+            state = arc >> TOKEN_BITS
+            ends.append((arc & TOKEN) - 1)
+        return self._path(ends, len(ends))
+
+    def _border(self, ends: list[int], guesses: tuple[int, ...] | list[int]) -> int:
+        """The last place up to which the paths of all open guesses have the same tokens."""
+        depth, size_of = self.depth, self.size_of
+        places = {len(ends) - depth[g & NODE] for g in guesses}
+        while len(places) > 1:
+            last = max(places)
+            places.remove(last)
+            places.add(last - size_of[ends[last - 1]])
+        return places.pop()
+
+    def _path(self, ends: list[int], end: int) -> list[int]:
+        """The tokens up to a place, followed from the right."""
+        out = []
+        while end > 0:
+            token = ends[end - 1]
+            out.append(token)
+            end -= self.size_of[token]
         out.reverse()
         return out
 
     def encode(self, text: str, pattern) -> np.ndarray:
-        """Ids of a text, its pattern matches encoded separately; pieces seen lately are remembered, up to a bound."""
-        known, out = self.pieces, []
-        for piece in pattern.findall(text):
-            ids = known.get(piece)
-            if ids is None:
-                ids = self.older.get(piece)
+        """Ids of a text."""
+        return np.frombuffer(self.encoded(text, pattern), dtype="<u4")
+
+    def encoded(self, text: str, pattern) -> bytes:
+        """Ids of a text (little-endian 32-bit), its pattern matches encoded separately; pieces
+        seen lately are remembered, up to a bound."""
+        pieces = pattern.findall(text)
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            for j, ids in enumerate(found):
                 if ids is None:
-                    raw = piece.encode()
-                    whole = self.ranks.get(raw)  # a piece that is a token stays one, made by merges or not
-                    ids = tuple(self.run(raw)) if whole is None else (whole,)
-                if len(known) >= PIECES:
-                    self.older, self.pieces = known, {}
-                    known = self.pieces
-                known[piece] = ids
-            out += ids
-        return np.array(out, dtype="<u4")
+                    found[j] = self._piece(pieces[j])
+        return b"".join(found)
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece) or self.older.get(piece)
+        if ids is None:
+            raw = piece.encode()
+            whole = self.ranks.get(raw)  # a piece that is a token stays one, made by merges or not
+            ids = array("I", (whole,) if whole is not None else self.short(raw) if len(raw) <= LOOK else self.run(raw))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
+        if len(self.pieces) >= PIECES:
+            self.older, self.pieces = self.pieces, {}
+        self.pieces[piece] = ids
+        return ids
+
+
+def utf8_table() -> list[bytes]:
+    """The next state by state and byte.
+
+    States: 0 between characters, 1 to 3 that many continuation bytes to come, 4 to 7 after
+    E0, ED, F0, F4, whose next byte has a narrower range; 8: malformed.
+    """
+    table = [bytearray([8] * 256) for _ in range(8)]
+    for byte in range(256):
+        start = 0 if byte < 0x80 else 8
+        if 0xC2 <= byte <= 0xDF:
+            start = 1
+        elif 0xE0 <= byte <= 0xEF:
+            start = {0xE0: 4, 0xED: 5}.get(byte, 2)
+        elif 0xF0 <= byte <= 0xF4:
+            start = {0xF0: 6, 0xF4: 7}.get(byte, 3)
+        table[0][byte] = start
+    for state, low, high, to in ((1, 0x80, 0xBF, 0), (2, 0x80, 0xBF, 1), (3, 0x80, 0xBF, 2), (4, 0xA0, 0xBF, 1), (5, 0x80, 0x9F, 1), (6, 0x90, 0xBF, 2), (7, 0x80, 0x8F, 2)):
+        for byte in range(low, high + 1):
+            table[state][byte] = to
+    return [bytes(row) for row in table]
+
+
+UTF8 = utf8_table()
+STEPS = np.frombuffer(b"".join(UTF8) + bytes([8] * 256), dtype=np.uint8).reshape(9, 256)
+#: Bits of the character that a first byte holds, by the state after it.
+FIRST_BITS = {1: 0x1F, 2: 0x0F, 3: 0x07, 4: 0x0F, 5: 0x0F, 6: 0x07, 7: 0x07}
+HIGH = re.compile(rb"[\x80-\xff]+")
+
+
+LEADS = [bytes((b,)) for b in range(0xC0, 0x100)]
+
+
+def well_formed(chunk: bytes) -> bool:
+    """Whether the table's states go from 0 to 0 over the chunk without an error: every first byte of a
+    character beyond ASCII starts a walk of its own, all walks step together, three steps at most."""
+    if chunk.isascii():
+        return True
+    data = np.frombuffer(chunk + b"   ", dtype=np.uint8)
+    high = np.flatnonzero(data >= 0x80)
+    at = high[data[high] >= 0xC0]
+    state, length = STEPS[0, data[at]], len(at)
+    for _ in range(3):
+        at, state = at[state > 0] + 1, state[state > 0]
+        if not len(at):
+            break
+        state = STEPS[state, data[at]]
+        length += len(at)
+    return not state.any() and length == len(high)
 
 
 class Utf8Stream:
-    """UTF-8 decoding of byte chunks cut anywhere; malformed bytes become U+FFFD.
+    """UTF-8 decoding of byte chunks cut anywhere, by a table of states.
 
-    The state is the bytes of a character not complete yet, three at most.
+    The memory is the state and the bits of the character so far.  Each longest malformed
+    beginning of a character becomes U+FFFD.  A well-formed beginning of a chunk passes as one.
     """
 
     def __init__(self):
-        self.pending = b""
+        self.state = self.bits = 0
 
     def feed(self, chunk: bytes, final: bool = False) -> str:
-        data = self.pending + chunk
-        keep = 0
-        if not final:
-            for back in range(1, min(3, len(data)) + 1):
-                byte = data[-back]
-                if byte & 0xC0 == 0x80:
-                    continue
-                need = 2 if byte & 0xE0 == 0xC0 else 3 if byte & 0xF0 == 0xE0 else 4 if byte & 0xF8 == 0xF0 else 1
-                keep = back if need > back else 0
-                break
-        cut = len(data) - keep
-        self.pending = data[cut:]
-        return data[:cut].decode("utf-8", "replace")
+        out: list[str] = []
+        at = 0
+        if not self.state and chunk:
+            last = max(chunk.rfind(lead, len(chunk) - 3) for lead in LEADS) if chunk[-1] >= 0x80 else -1
+            cut = len(chunk) if last < 0 else last
+            if well_formed(chunk[:cut]):
+                out.append(chunk[:cut].decode())
+                at = cut
+        self._walk(chunk[at:] if at else chunk, out)
+        if final and self.state:
+            out.append("\ufffd")
+            self.state = 0
+        return "".join(out)
+
+    def _walk(self, chunk: bytes, out: list[str]) -> None:
+        """The table's states byte by byte, as far as bytes are not ASCII."""
+        at = 0
+        for run in HIGH.finditer(chunk):
+            if run.start() > at:
+                self._plain(chunk[at : run.start()], out)
+            state, bits = self.state, self.bits
+            for byte in run[0]:
+                to = UTF8[state][byte]
+                if to == 8 and state:
+                    out.append("\ufffd")
+                    state, to = 0, UTF8[0][byte]
+                if to == 8:
+                    out.append("\ufffd")
+                    to = 0
+                elif not state:
+                    bits = byte & FIRST_BITS[to]
+                else:
+                    bits = bits << 6 | byte & 0x3F
+                    if not to:
+                        out.append(chr(bits))
+                state = to
+            self.state, self.bits = state, bits
+            at = run.end()
+        if at < len(chunk):
+            self._plain(chunk[at:], out)
+
+    def _plain(self, ascii_bytes: bytes, out: list[str]) -> None:
+        if self.state:
+            out.append("\ufffd")
+            self.state = 0
+        out.append(ascii_bytes.decode("ascii"))
 
 
 def decode_chunks(ids: np.ndarray, bytes_of: list[bytes], step: int = JOIN_TOKENS) -> Iterator[bytes]:
@@ -251,6 +389,7 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = True
     empty: no tokens, the digests of nothing.  Each row is encoded by its own text alone;
     columns of these names are replaced, others stay.
     """
+    small_batches(docs.sparkSession)
     with open(ranks_file, "rb") as file:
         lines = file.read()
     known = docs.sparkSession.sparkContext.broadcast(lines)
@@ -265,12 +404,11 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = True
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             counts, blobs, ids_hash, text_hash = [], [], [], []
             for value in batch.column(place):
-                ids = machine.encode(value.as_py() or "", matches)
-                raw = ids.tobytes()
+                raw = machine.encoded(value.as_py() or "", matches)
                 decoded = hashlib.sha256()
-                for chunk in decode_chunks(ids, machine.bytes_of):
-                    decoded.update(chunk)
-                counts.append(len(ids))
+                for text in decode_text(np.frombuffer(raw, dtype="<u4"), machine.bytes_of):
+                    decoded.update(text.encode())
+                counts.append(len(raw) // 4)
                 ids_hash.append(hashlib.sha256(raw).hexdigest())
                 text_hash.append(decoded.hexdigest())
                 if with_ids:
@@ -279,4 +417,4 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = True
             made += [pa.array(ids_hash, type=pa.string()), pa.array(text_hash, type=pa.string())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
 
-    return kept.mapInArrow(work, extended(kept, columns))
+    return kept.mapInArrow(lean(work), extended(kept, columns))

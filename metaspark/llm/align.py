@@ -18,25 +18,37 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
+import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import Tokenizer
 
 from metaspark.session import scratch_path
 
+from .frames import lean
+
 RADIXES = 32
 SPREAD = 8
 ROWS = 64  # texts tokenized at once
 RUN_LINKS = 1 << 19
+RUN_ROWS = 1 << 16
+ROW_BITS = 20  # of a run's rows
 PAGE_POSTINGS = 1 << 16
 MERGED_AT_ONCE = 64
-LEVEL = 3
+LEVEL = 1
+LONG_RUN = 5000
 FACTS = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
@@ -48,17 +60,42 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + j): b for j, b in enumerate(hidden)}
 
 
+def merge_ranks(file: str) -> tuple[dict[bytes, int], list[int]] | None:
+    """(bytes of each token to its place in the merges, id by place) of a plain byte-level BPE file, else None.
+
+    Plain: pieces are cut by the pattern alone, all merges apply, and no token has two merges.
+    """
+    read = json.loads(file)
+    model, cut = read["model"], read.get("pre_tokenizer") or {}
+    plain = read.get("normalizer") is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if not plain or model.get("type") != "BPE" or any(model.get(k) for k in odd):
+        return None
+    alphabet = byte_alphabet()
+    if not all(c in model["vocab"] for c in alphabet):
+        return None
+    names = sorted(alphabet, key=model["vocab"].__getitem__)
+    names += ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if len(set(names)) < len(names):
+        return None
+    ranks = {bytes(alphabet[c] for c in name): place for place, name in enumerate(names)}
+    return ranks, [model["vocab"][name] for name in names]
+
+
 class Pair:
     """The two tokenizers, with the bytes of each token."""
 
-    def __init__(self, byte_level_file: str, piece_model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import sentencepiece
-        from tokenizers import Tokenizer
-
+    def __init__(self, byte_level_file: str, piece_model: bytes, pattern: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = Tokenizer.from_str(byte_level_file)
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
+        self.ranked, self.id_of = None, None
+        if (known := merge_ranks(byte_level_file)) is not None:
+            ranks, ids = known
+            self.ranked = tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self.id_of = None if ids == list(range(len(ids))) else ids
+        self.spaces = re.compile(rf"\s{{{LONG_RUN}}}")
         alphabet = byte_alphabet()
         size = self.a.get_vocab_size()
         self.bytes_a = [bytes(alphabet[c] for c in self.a.id_to_token(j) or "") for j in range(size)]
@@ -68,12 +105,24 @@ class Pair:
             self.bytes_b.append(bytes((int(piece[3:5], 16),)) if self.b.is_byte(j) else piece.replace("▁", " ").encode())
         self.size_a, self.size_b = (np.array([len(x) for x in v], dtype=np.int64) for v in (self.bytes_a, self.bytes_b))
 
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """Ids by the first tokenizer.  A plain file's merges are applied by their ranks, which gives the
+        same ids several times faster; texts with very long runs of white space go to the file's own library."""
+        if self.ranked is None:
+            return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for text in texts:
+            if len(text) > LONG_RUN and self.spaces.search(text):
+                out.append(self.a.encode(text, add_special_tokens=False).ids)
+            else:
+                ids = self.ranked.encode_ordinary(text)
+                out.append(ids if self.id_of is None else [self.id_of[i] for i in ids])
+        return out
+
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of each text by both; none for an empty text or where their bytes aren't those of space and text."""
         out = []
-        many = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for text, own, other in zip(texts, many, self.b.encode(texts, num_threads=1)):
-            ids = own.ids
+        for text, ids, other in zip(texts, self.encode_a([" " + t for t in texts]), self.b.encode(texts, num_threads=1)):
             raw = b" " + text.encode()
             same = text and b"".join(map(self.bytes_a.__getitem__, ids)) == raw == b"".join(map(self.bytes_b.__getitem__, other))
             out.append((ids, other) if same else ([], []))
@@ -100,7 +149,7 @@ class Grouped:
     def __init__(self, pair: Pair, coded: list[tuple[list[int], list[int]]]):
         rows = len(coded)
         self.count_a, self.count_b = (np.array([len(c[k]) for c in coded], dtype=np.int64) for k in (0, 1))
-        self.a, self.b = (np.concatenate([np.array(c[k], dtype=np.int64) for c in coded] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        self.a, self.b = (np.fromiter(chain.from_iterable(c[k] for c in coded), np.int64, int(n.sum())) for k, n in enumerate((self.count_a, self.count_b)))
         ends_a, ends_b = np.cumsum(pair.size_a[self.a]), np.cumsum(pair.size_b[self.b])
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         self.last_a, self.last_b = np.searchsorted(ends_a, common), np.searchsorted(ends_b, common)
@@ -108,9 +157,9 @@ class Grouped:
         self.row = np.searchsorted(until, self.last_a, side="right")
         self.groups = np.bincount(self.row, minlength=rows)
 
-    def links(self) -> np.ndarray:
-        """Second and first id of every link in one number, in order of the groups."""
-        return self.b[self.last_b] << 32 | self.a[self.last_a]
+    def links(self, size_a: int) -> np.ndarray:
+        """Second and first id of every link in one number (the second times ``size_a``, and the first)."""
+        return self.b[self.last_b] * size_a + self.a[self.last_a]
 
     def digests(self, digits: tuple[np.ndarray, np.ndarray]) -> list[str]:
         """SHA-256 of the written groups of each text; '' for one without tokens."""
@@ -138,38 +187,45 @@ class Grouped:
 
 
 def packed(*columns: np.ndarray) -> bytes:
-    """Arrays of whole numbers (the first ascending, kept as steps) as one zstd frame."""
-    import zstandard
-
-    first = np.diff(columns[0], prepend=0)
-    parts = [np.ascontiguousarray(c, dtype="<u8") for c in (first, *columns[1:])]
-    planes = b"".join(p.view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts)
-    return zstandard.ZstdCompressor(level=LEVEL).compress(len(parts).to_bytes(8, "little") + planes)
+    """Arrays of whole numbers (the first ascending, kept as steps) as one zstd frame, in planes of bytes."""
+    parts, widths = [], []
+    for values in (np.diff(columns[0], prepend=0), *columns[1:]):
+        width = 8
+        while width > 1 and (not len(values) or int(values.max()) < 1 << 4 * width):
+            width //= 2
+        widths.append(width)
+        parts.append(np.ascontiguousarray(values, dtype=f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
+    return zstandard.ZstdCompressor(level=LEVEL).compress(bytes((len(parts), *widths)) + b"".join(parts))
 
 
 def unpacked(frame: bytes) -> list[np.ndarray]:
-    import zstandard
-
     raw = zstandard.ZstdDecompressor().decompress(frame)
-    count = int.from_bytes(raw[:8], "little")
-    planes = np.frombuffer(raw, dtype=np.uint8, offset=8).reshape(count, 8, -1)
-    out = [np.ascontiguousarray(p.T).view("<u8").reshape(-1).astype(np.int64) for p in planes]
+    widths = raw[1 : 1 + raw[0]]
+    at = 1 + raw[0]
+    size = (len(raw) - at) // sum(widths)
+    out = []
+    for width in widths:
+        planes = np.frombuffer(raw, dtype=np.uint8, count=width * size, offset=at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype(np.int64))
+        at += width * size
     return [np.cumsum(out[0]), *out[1:]]
 
 
-def _runs(pairs: np.ndarray, rows: np.ndarray, radixes: int) -> Iterator[tuple[int, bytes | None, bytes | None]]:
+def _runs(pairs: np.ndarray, rows: np.ndarray, radixes: int, size_a: int) -> Iterator[tuple[int, bytes | None, bytes | None]]:
     """(radix, index, None) and (radix, None, page) of some links: an index has each distinct pair
     and its count; a page has postings in order: pair, row, links of the pair in the row."""
-    order = np.lexsort((rows, pairs))
-    pairs, rows = pairs[order], rows[order]
-    new = np.ones(len(pairs), dtype=bool)
-    new[1:] = (pairs[1:] != pairs[:-1]) | (rows[1:] != rows[:-1])
-    head = np.flatnonzero(new)
-    pairs, rows, times = pairs[head], rows[head], np.diff(np.append(head, len(new)))
-    radix = (pairs >> 32) % radixes
-    for r in np.unique(radix).tolist():
-        own = radix == r
-        p, w, n = pairs[own], rows[own], times[own]
+    if not len(pairs):
+        return
+    keys = np.sort(pairs << ROW_BITS | rows)
+    head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    times, keys = np.diff(np.append(head, len(keys))), keys[head]
+    pairs, rows = keys >> ROW_BITS, keys & (1 << ROW_BITS) - 1
+    radix = (pairs // size_a % radixes).astype(np.uint16)
+    order = np.argsort(radix, kind="stable")
+    pairs, rows, times, radix = pairs[order], rows[order], times[order], radix[order]
+    cuts = np.append(np.flatnonzero(np.diff(radix, prepend=-1)), len(radix))
+    for begin, end in zip(cuts, cuts[1:]):
+        r, p, w, n = int(radix[begin]), pairs[begin:end], rows[begin:end], times[begin:end]
         first = np.flatnonzero(np.diff(p, prepend=-1))
         yield r, packed(p[first], np.add.reduceat(n, first)), None
         for at in range(0, len(p), PAGE_POSTINGS):
@@ -177,24 +233,24 @@ def _runs(pairs: np.ndarray, rows: np.ndarray, radixes: int) -> Iterator[tuple[i
             yield r, None, packed(p[cut], w[cut], n[cut])
 
 
-def _spilled(a_file, b_model, radixes: int, doc_type: pa.DataType):
+def _spilled(a_file, b_model, pattern: str, radixes: int, doc_type: pa.DataType):
     """A row of facts for each text, and rows of runs, as (kind, …)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(a_file.value.decode(), b_model.value)
+        pair = Pair(a_file.value.decode(), b_model.value, pattern)
         digits = decimals(max(len(pair.bytes_a), len(pair.bytes_b)))
+        size_a = len(pair.bytes_a)
         task = TaskContext.get().partitionId() << 36
         links: list[np.ndarray] = []
         owners: list[np.ndarray] = []
-        held = done = 0
-        run = 0
+        held = done = since = run = 0  # since: the first row of the links held
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal links, owners, held, run
-            for radix, index, page in _runs(np.concatenate(links), np.concatenate(owners), radixes):
+            nonlocal links, owners, held, run, since
+            for radix, index, page in _runs(np.concatenate(links), np.concatenate(owners), radixes, size_a):
                 run += 1
-                yield _row(radix=radix, salt=run % SPREAD, first=task, index=index, page=page)
-            links, owners, held = [], [], 0
+                yield _row(radix=radix, salt=run % SPREAD, first=task + since, index=index, page=page)
+            links, owners, held, since = [], [], 0, done
 
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -214,13 +270,13 @@ def _spilled(a_file, b_model, radixes: int, doc_type: pa.DataType):
                     ],
                     NAMES,
                 )
-                links.append(found.links())
-                owners.append(found.row + done)
+                links.append(found.links(size_a))
+                owners.append(found.row + (done - since))
                 held += len(links[-1])
                 done += n
-                if held > RUN_LINKS:
+                if held > RUN_LINKS or done - since > RUN_ROWS:
                     yield from flush()
-        if held:
+        if links:
             yield from flush()
 
     def _row(radix: int, salt: int, first: int, index: bytes | None, page: bytes | None) -> pa.RecordBatch:
@@ -259,33 +315,36 @@ def merged(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(pairs, dtype=np.int64), np.array(counts, dtype=np.int64)
 
 
-def with_best(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def with_best(pairs: np.ndarray, counts: np.ndarray, size_a: int) -> np.ndarray:
     """Whether each count is the highest of its second id; pairs come in that id's order."""
-    head = np.flatnonzero(np.diff(pairs >> 32, prepend=-1))
+    head = np.flatnonzero(np.diff(pairs // size_a, prepend=-1))
     most = np.maximum.reduceat(counts, head) if len(head) else counts
     return counts == np.repeat(most, np.diff(np.append(head, len(pairs))))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counted(size_a: int):
     """One row (radix, counts) per radix, from its indexes, which come together."""
-    at, runs = None, []
 
-    def row() -> pa.RecordBatch:
+    def row(radix: int, runs: list[bytes]) -> pa.RecordBatch:
         pairs, counts = merged(runs)
-        frame = packed(pairs, counts, with_best(pairs, counts).astype(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array([at], type=pa.int32()), pa.array([frame], type=pa.binary())], ["radix", "counts"])
+        frame = packed(pairs, counts, with_best(pairs, counts, size_a).astype(np.int64))
+        return pa.RecordBatch.from_arrays([pa.array([radix], type=pa.int32()), pa.array([frame], type=pa.binary())], ["radix", "counts"])
 
-    for batch in batches:
-        for radix, index in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if radix != at and runs:
-                yield row()
-                runs = []
-            at = radix
-            runs.append(index.as_py())
-            if len(runs) >= MERGED_AT_ONCE:
-                runs = [packed(*merged(runs))]
-    if runs:
-        yield row()
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, runs = None, []
+        for batch in batches:
+            for radix, index in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if radix != at and runs:
+                    yield row(at, runs)
+                    runs = []
+                at = radix
+                runs.append(index.as_py())
+                if len(runs) >= MERGED_AT_ONCE:
+                    runs = [packed(*merged(runs))]
+        if runs:
+            yield row(at, runs)
+
+    return work
 
 
 def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,12 +364,13 @@ def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(distinct + first), pa.array(total), pa.array(best)], ["row", "count_sum", "n_best"])
 
 
-def align(docs: DataFrame, byte_level_file: str, piece_file: str, radixes: int = RADIXES) -> DataFrame:
+def align(docs: DataFrame, byte_level_file: str, piece_file: str, pattern: str, radixes: int = RADIXES) -> DataFrame:
     """Facts of the alignment of every row's text: ``doc_id``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``,
     ``n_best``, ``count_sum``, ``groups_sha256``.
 
     ``byte_level_file``: vocabulary of the first tokenizer, which gets a space before the
-    text; ``piece_file``: model of the second, which adds one.  Both are read on the driver
+    text, and ``pattern`` the expression that cuts text into its pieces; ``piece_file``: model of
+    the second, which adds a space itself.  Both are read on the driver
     and broadcast (vocabularies, of fixed size); every token has at least one byte, so a
     group has one link.  A null or empty text, or one whose tokens do not give back its
     bytes, has no tokens and zeros.  Repeated rows count as often as they are there; ids may
@@ -320,15 +380,16 @@ def align(docs: DataFrame, byte_level_file: str, piece_file: str, radixes: int =
     spark = docs.sparkSession
     with open(byte_level_file, "rb") as a, open(piece_file, "rb") as b:
         files = [spark.sparkContext.broadcast(f.read()) for f in (a, b)]
+    size_a = Tokenizer.from_file(byte_level_file).get_vocab_size()
     path = scratch_path(spark, "alignment")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = texts.schema["doc_id"].dataType
     schema = f"row long, doc_id {id_type.simpleString()}, {FACTS}, radix int, salt int, index binary, page binary"
-    texts.mapInArrow(_spilled(*files, radixes, to_arrow_type(id_type)), schema).write.parquet(path)
+    texts.mapInArrow(lean(_spilled(*files, pattern, radixes, to_arrow_type(id_type))), schema).write.parquet(path)
     spilled = spark.read.parquet(path)
 
     indexes = spilled.filter("index IS NOT NULL").select("radix", "index")
-    counts = indexes.repartition(radixes, "radix").sortWithinPartitions("radix").mapInArrow(_counted, "radix int, counts binary")
+    counts = indexes.repartition(radixes, "radix").sortWithinPartitions("radix").mapInArrow(_counted(size_a), "radix int, counts binary")
     kept = scratch_path(spark, "pair-counts")
     counts.write.parquet(kept)
     salted = spark.read.parquet(kept).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))

@@ -217,7 +217,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers' tokens in each document, counted over all documents."""
     docs = table(spark, sf_dir, "documents")
-    return align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return align.align(docs, *files, public_tokenizers.PATTERN)
 
 
 @query("op13_grammar_repair")

@@ -16,6 +16,7 @@ from metaspark.llm.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 A, B = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+PATTERN = public_tokenizers.PATTERN
 COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 
 
@@ -79,10 +80,10 @@ def strange_rows():
 def test_strange_rows_and_clashing_columns(spark):
     frame = spark.createDataFrame(strange_rows(), "doc_id long, text string")
     frame = frame.withColumns({c: F.lit("own") for c in (*COLUMNS[1:], "row", "radix", "salt", "index", "page", "first")})
-    out = align.align(frame, A, B)
+    out = align.align(frame, A, B, PATTERN)
     assert out.columns == COLUMNS
     compare(out.collect(), brute(strange_rows()))
-    assert align.align(frame.limit(0), A, B).collect() == []
+    assert align.align(frame.limit(0), A, B, PATTERN).collect() == []
 
 
 def test_small_runs_and_pages(spark, monkeypatch):
@@ -92,23 +93,23 @@ def test_small_runs_and_pages(spark, monkeypatch):
     rnd = random.Random(4)
     rows = [(j, " ".join(rnd.choice(["the", "cat", "sat", "Ünder", "a", "mat"]) for _ in range(30)) + " the the the") for j in range(60)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    compare(align.align(frame, A, B, radixes=3).collect(), brute(rows))
+    compare(align.align(frame, A, B, PATTERN, radixes=3).collect(), brute(rows))
 
 
 def test_merges_of_indexes():
     rnd = random.Random(7)
     total, runs = collections.Counter(), []
     for _ in range(9):
-        own = collections.Counter(rnd.randrange(5) << 32 | rnd.randrange(6) for _ in range(40))
+        own = collections.Counter(rnd.randrange(5) * 6 + rnd.randrange(6) for _ in range(40))
         total += own
         pairs = np.array(sorted(own))
         runs.append(align.packed(pairs, np.array([own[p] for p in pairs.tolist()])))
     pairs, counts = align.merged(runs)
     assert dict(zip(pairs.tolist(), counts.tolist())) == dict(total) and (np.diff(pairs) > 0).all()
-    best = align.with_best(pairs, counts)
+    best = align.with_best(pairs, counts, 6)
     for b in range(5):
-        top = max(n for p, n in total.items() if p >> 32 == b)
-        assert {p for p, k in zip(pairs.tolist(), best) if k and p >> 32 == b} == {p for p, n in total.items() if p >> 32 == b and n == top}
+        top = max(n for p, n in total.items() if p // 6 == b)
+        assert {p for p, k in zip(pairs.tolist(), best) if k and p // 6 == b} == {p for p, n in total.items() if p // 6 == b and n == top}
 
 
 def test_numbers():
@@ -121,3 +122,14 @@ def test_numbers():
 def test_query_equals_brute_force(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     compare(QUERIES["op11_token_alignment"](spark, sf).collect(), brute([tuple(r) for r in docs]))
+
+
+def test_ranked_merges_equal_the_file_s_own_library():
+    with open(A) as a, open(B, "rb") as b:
+        pair = align.Pair(a.read(), b.read(), PATTERN)
+    assert pair.ranked is not None
+    rnd = random.Random(3)
+    odd = [" ", "  ", "\n", "\t", "'s", "'LL", "１", "\u0085", "\u200b", "\u3000", "é", "ß", "x1", "!", "？", "日本", "😀", "\u0300", "Ⅷ", "²", "\x1c", "<|endoftext|>", "▁"]
+    texts = ["".join(rnd.choice([*odd, chr(rnd.randrange(0xD800)), chr(rnd.randrange(0xE000, 0x110000))]) for _ in range(rnd.randint(0, 30))) for _ in range(4000)]
+    texts += [" " * 300_000 + "x", "a" * 60_000, "\n" * 4000 + "b", "ab " * 50_000]
+    assert pair.encode_a(texts) == [e.ids for e in pair.a.encode_batch(texts, add_special_tokens=False)]

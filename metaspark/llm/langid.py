@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import extended
+from .frames import extended, lean, small_batches
 from .words import mixed, text_slices
 
 BITS = 15
@@ -80,6 +80,7 @@ def train(texts: DataFrame, smoothing: float = SMOOTHING, bits: int = BITS, most
     of ``2**bits`` counts per language.  Learning fails on more than ``most_languages``
     values of ``lang``, which bounds the matrix.
     """
+    small_batches(texts.sparkSession)
     rows = texts.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     size = 1 << bits
 
@@ -112,7 +113,7 @@ def train(texts: DataFrame, smoothing: float = SMOOTHING, bits: int = BITS, most
                 ["lang", "bucket", "n"],
             )
 
-    sums = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    sums = rows.mapInArrow(lean(count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     per_language = sums.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
     learned = sorted(per_language.limit(most_languages + 1).collect(), key=lambda r: r["lang"])
     if len(learned) > most_languages:
@@ -176,4 +177,4 @@ def identify(docs: DataFrame, model: Model, bits: int = BITS) -> DataFrame:
                 [*batch.schema.names, "lang_pred", "lang_score"],
             )
 
-    return kept.mapInArrow(predict, schema)
+    return kept.mapInArrow(lean(predict), schema)

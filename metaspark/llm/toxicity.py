@@ -20,7 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import extended
+from metaspark.session import cut_lineage
+
+from .frames import extended, lean, small_batches
 
 TOKEN = re.compile(r"[^\W\d_]+")
 STEMS = (5, 4)
@@ -29,7 +31,6 @@ BACKGROUND = 500.0
 LEAST_Z = 3.0
 LEAST_LOG_ODDS = 2.0
 GAP = 0.2
-LEXICON = 1 << 16
 TRAINING_ROWS = 1 << 16
 SIGNIFICANT = 0.05
 MEMO = 1 << 17
@@ -123,26 +124,28 @@ def evidence(tokens: int, segments: list[tuple[int, int, float]], rate: float) -
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> DataFrame:
-    """``doc_id``, ``label`` to learn from: one row per distinct labelled text.
+    """``doc_id``, ``same`` (hash of the text), ``label`` to learn from: one row per distinct labelled text.
 
     ``labels`` has ``doc_id`` and ``label`` (0 or 1; others are left out, 1 wins over 0).
-    Beyond about ``most`` labelled rows, a hash of the id chooses that many, which bounds
-    what is broadcast.
+    Beyond about ``most`` labelled ids, a hash of the id chooses that many, and beyond as many
+    texts a hash of the text, which bounds what is broadcast.
     """
     marked = labels.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
-    count = marked.count()
-    if count > most:
-        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(most / count * (1 << 40)))
+    share = lambda rows, key, count: rows.filter(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(most / count * (1 << 40)))
+    if (count := marked.count()) > most:
+        marked = share(marked, "doc_id", count)
     texts = docs.filter("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("same"))
-    found = texts.join(F.broadcast(marked), "doc_id")
-    return found.groupBy("same", "label").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "label")
+    found = texts.join(F.broadcast(marked), "doc_id").groupBy("same", "label").agg(F.min("doc_id").alias("doc_id"))
+    found = cut_lineage(found.select("doc_id", "same", "label"))
+    return share(found, "same", count) if (count := found.count()) > most else found
 
 
-def lexicon(texts: DataFrame, most: int = LEXICON) -> tuple[dict[str, float], dict[str, float]]:
+def lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     """Log-odds of significantly toxic words, and of word beginnings, from ``text``, ``label``.
 
     The prior of a word is ``PRIOR`` plus its share of ``BACKGROUND`` words of the whole
-    training text.  At most ``most`` entries, the surest ones, go to the driver.
+    training text.  The significant words of the training rows, of which there is a bounded
+    number, go to the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +167,7 @@ def lexicon(texts: DataFrame, most: int = LEXICON) -> tuple[dict[str, float], di
         yield rows()
 
     words = (
-        texts.select("text", "label").mapInArrow(count, "word string, clean long, toxic long")
+        texts.select("text", "label").mapInArrow(lean(count), "word string, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     )
     features = words.select(F.explode(F.array(
@@ -180,15 +183,17 @@ def lexicon(texts: DataFrame, most: int = LEXICON) -> tuple[dict[str, float], di
     delta = odds(F.col("y1"), n1) - odds(F.col("y0"), n0)
     z = delta / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior))
     best = counted.filter("y1 > 1").select("stem", "key", delta.alias("delta"), z.alias("z"))
-    best = best.filter((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_LOG_ODDS)).orderBy(F.desc("z"), "key").limit(most)
+    best = best.filter((F.col("z") >= LEAST_Z) & (F.col("delta") >= LEAST_LOG_ODDS))
     found = best.collect()
     return {r.key: r.delta for r in found if r.stem == 0}, {r.key: r.delta for r in found if r.stem}
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Model:
     """Learn from the labelled documents (``training_rows``).  Without both labels no word is toxic."""
+    small_batches(docs.sparkSession)
     chosen = training_rows(docs, labels, most)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    own = docs.select("doc_id", F.xxhash64("text").alias("same"), "text")
+    texts = own.join(F.broadcast(chosen), ["doc_id", "same"]).dropDuplicates(["same", "label"]).select("text", "label")
     words, stems = lexicon(texts)
     known = docs.sparkSession.sparkContext.broadcast((words, stems))
 
@@ -205,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAINING_ROWS) -> Mode
                 ["label", "n", "scores"],
             )
 
-    rows = texts.mapInArrow(best, "label int, n int, scores array<double>").collect()  # at most the training rows
+    rows = texts.mapInArrow(lean(best), "label int, n int, scores array<double>").collect()  # at most the training rows
     clean = [r for r in rows if r.label == 0]
     chance = sum(max(r.n, 1) * math.exp(-max(r.scores, default=0.0)) for r in clean)
     rate = len(clean) / chance if clean else 1.0
@@ -261,4 +266,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 [*batch.schema.names, "tox_score", "tox_passages"],
             )
 
-    return kept.mapInArrow(work, schema)
+    return kept.mapInArrow(lean(work), schema)

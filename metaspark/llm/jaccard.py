@@ -3,11 +3,14 @@
 Texts with equal shingle sets are one set.  A size band and the next one hold all sets a
 set can be similar to; for both, the shingle domain is cut into more parts than similar
 sets can differ in, so two of them agree in a whole part and share that part's signature.
-Sets that share a signature are candidates: first each with one of its bucket, then, for
-buckets that do not lie in one component yet, all pairs across components which a parity
-sketch does not rule out.  Candidates are verified on their texts, and components follow
-from the links.  Nothing is lost: signatures, sketches and skipped pairs only leave out
-pairs that are too unlike or already connected.
+Sets that share a signature are candidates: first each with one of its bucket, then, in
+buckets that do not lie in one component yet, pairs across components which a parity sketch
+does not rule out, as many as connect what such pairs connect.  Candidates are verified on
+their texts.  Where one of them fails, another pair may still link its components: the sets of
+its bucket that have such a partner left are brought together with their texts and verified
+there.  A bucket gives fewer pairs than it has sets in either step.  Nothing is lost:
+signatures, sketches and skipped pairs only leave out pairs that are too unlike or already
+connected.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from metaspark.session import cut_lineage, scratch_path
 
 from .components import components
+from .frames import lean, small_batches
 from .words import mixed, shingle_sets, text_slices
 
 WORDS = 5
@@ -37,6 +41,7 @@ PART_SIGNATURES = 1 << 18
 PARTS_IN_TASK = 8
 REMEMBERED = 1 << 17
 BUCKET_BLOCK = 1024
+BLOCK_SHINGLES = 2048
 FOUND_PAIRS = 1 << 16
 BROADCAST_PAIRS = 400_000
 U64 = np.uint64
@@ -165,7 +170,7 @@ def heavy_shingles(docs: DataFrame, rows: int) -> np.ndarray:
                 value, count = np.unique(flat >> U64(64 - HEAVY_BITS), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int32)), pa.array(count)], ["prefix", "n"])
 
-    counted = chosen.select("text").mapInArrow(work, "prefix int, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
+    counted = chosen.select("text").mapInArrow(lean(work), "prefix int, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
     least = max(20.0, HEAVY_SHARE * min(rows, HEAVY_SAMPLE))
     table = np.zeros(1 << HEAVY_BITS, dtype=bool)
     table[[r.prefix for r in counted.filter(F.col("n") > least).orderBy(F.desc("n")).limit(HEAVY_MOST).collect()]] = True
@@ -309,66 +314,124 @@ def _likely(percent: int):
     return work
 
 
-def _across(percent: int):
-    """Likely pairs across labels in each group of rows with one (bucket, i, j), which come together.
-
-    ``side`` 0 and 1 are the two blocks of a pair of blocks; a block with itself has side 0 only.
-    """
-
-    def pairs(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ids, labels, sizes, sides = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
-        words = min(len(r[4]) for r in rows) // 8
-        x = np.stack([folded(r[4], words) for r in rows])
-        left = np.flatnonzero(sides == 0)
-        right = np.flatnonzero(sides == 1) if sides.any() else left
-        out_a, out_b = [], []
-        if not len(left) or not len(right) or len({*labels.tolist()}) == 1:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        step = max(1, (1 << 19) // (len(right) * words))
-        for at in range(0, len(left), step):
-            i = left[at : at + step]
-            near = labels[i][:, None] != labels[right][None, :]
-            total = sizes[i][:, None] + sizes[right][None, :]
-            near &= np.minimum(sizes[i][:, None], sizes[right][None, :]) * 100 >= percent * np.maximum(sizes[i][:, None], sizes[right][None, :])
-            if right is left:
-                near &= i[:, None] < right[None, :]
-            if not near.any():
-                continue
-            near &= differing(x[i][:, None, :], x[right][None, :, :]) * (100 + percent) <= total * (100 - percent)
-            p, q = np.nonzero(near)
-            out_a.append(np.minimum(ids[i[p]], ids[right[q]]))
-            out_b.append(np.maximum(ids[i[p]], ids[right[q]]))
-        if not out_a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(out_a), np.concatenate(out_b)
+def _grouped(handle, columns: list[str]):
+    """``handle`` for each group of rows with one (bucket, i, j), which come together; it gives rows of ``columns``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, rows = None, []
-        found: set[tuple[int, int]] = set()
+        found: set[tuple[int, ...]] = set()
 
         def flushed() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([p[k] for p in found], type=pa.int64()) for k in (0, 1)], ["a", "b"]
-            )
+            made = list(zip(*found)) or [()] * len(columns)
             found.clear()
-            return batch
+            return pa.RecordBatch.from_arrays([pa.array(c, type=pa.int64()) for c in made], columns)
 
         for batch in batches:
             for bucket, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, i, j) != at:
                     if len(rows) > 1:
-                        found.update(zip(*(v.tolist() for v in pairs(rows))))
+                        found.update(handle(at, rows))
                     at, rows = (bucket, i, j), []
                     if len(found) > FOUND_PAIRS:
                         yield flushed()
                 rows.append(tuple(row))
         if len(rows) > 1:
-            found.update(zip(*(v.tolist() for v in pairs(rows))))
+            found.update(handle(at, rows))
         yield flushed()
 
     return work
 
 
+class Block:
+    """The sets of one (bucket, i, j): rows of set id, label, size, side and sketch.
+
+    ``side`` 0 and 1 are the two blocks of a pair of blocks; a block with itself has side 0 only.
+    """
+
+    def __init__(self, rows: list[tuple], percent: int):
+        self.ids, self.labels, self.sizes, sides = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(4))
+        self.left = np.flatnonzero(sides == 0)
+        self.right = np.flatnonzero(sides == 1) if sides.any() else self.left
+        self.percent = percent
+        words = min(len(r[4]) for r in rows) // 8
+        self.sketches = np.stack([folded(r[4], words) for r in rows])
+        self.open = len(self.left) > 0 and len(self.right) > 0 and len({*self.labels.tolist()}) > 1
+
+    def near(self, own: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that sizes and sketches let be linked with ``own``."""
+        n, sizes = self.sizes[own], self.sizes[others]
+        others = others[np.minimum(n, sizes) * 100 >= self.percent * np.maximum(n, sizes)]
+        d = differing(self.sketches[others], self.sketches[own])
+        return others[d * (100 + self.percent) <= (self.sizes[others] + n) * (100 - self.percent)]
+
+
+def _spanning(percent: int):
+    """Likely pairs that connect the labels of a block as all its likely pairs do."""
+
+    def handle(at_block: tuple, rows: list[tuple]) -> Iterator[tuple[int, int, int]]:
+        block = Block(rows, percent)
+        if not block.open:
+            return
+        part = block.labels.copy()
+        for own in block.left:
+            near = block.near(own, block.right[part[block.right] != part[own]])
+            for label, at in zip(*np.unique(part[near], return_index=True)):
+                a, b = int(block.ids[own]), int(block.ids[near[at]])
+                yield min(a, b), max(a, b), at_block[0]
+                part[part == label] = part[own]
+
+    return _grouped(handle, ["a", "b", "bucket"])
+
+
+def _undecided(percent: int):
+    """The sets of a block that have a likely partner of another label."""
+
+    def handle(at: tuple, rows: list[tuple]) -> Iterator[tuple[int, ...]]:
+        block = Block(rows, percent)
+        if not block.open:
+            return
+        keep = np.zeros(len(rows), dtype=bool)
+        for own in block.left:
+            near = block.near(own, block.right[block.labels[block.right] != block.labels[own]])
+            if len(near):
+                keep[near] = keep[own] = True
+        for j in np.flatnonzero(keep):
+            yield *at, *rows[j][:4]
+
+    return _grouped(handle, ["bucket", "i", "j", "set_id", "label", "n", "side"])
+
+
+def _exact(percent: int):
+    """Links that connect the labels of a block as all its links do; ``rows``: set id, label, size, side, text."""
+
+    def handle(_: tuple, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        sets, keys = [], []
+        for _, _, data, offsets in text_slices(pa.array([r[4] for r in rows], type=pa.large_string())):
+            flat, ends = shingle_sets(data, offsets, WORDS)
+            sets += [own.copy() for own in np.split(flat, ends[:-1])]
+            keys += set_keys(flat, ends).view(np.int64).tolist()
+        part = {r[1]: r[1] for r in rows}
+
+        def top(label: int) -> int:
+            while part[label] != label:
+                label = part[label]
+            return label
+
+        sides = [[j for j, r in enumerate(rows) if r[3] == side and keys[j] == r[0]] for side in (0, 1)]
+        for i in sides[0]:
+            for j in sides[1] or sides[0]:
+                a, b = top(rows[i][1]), top(rows[j][1])
+                n, m = len(sets[i]), len(sets[j])
+                if a == b or min(n, m) * 100 < percent * max(n, m):
+                    continue
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both * 100 >= percent * (n + m - both):
+                    part[b] = a
+                    yield min(rows[i][0], rows[j][0]), max(rows[i][0], rows[j][0])
+
+    return _grouped(handle, ["a", "b"])
+
+
 def _verified(percent: int):
     """Links among the pairs (a, b, text of a, text of b); the shingles of one a are kept for its next pair."""
 
@@ -411,7 +474,7 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     right = texts.join(small(pairs.select("a", F.col("b").alias("set_id"))), "set_id")
     left = left.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
     right = right.select("a", F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    return right.join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified(percent), "a long, b long")
+    return right.join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(lean(_verified(percent)), "a long, b long")
 
 
 def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -420,9 +483,10 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     The links connect exactly the sets that are connected by pairs with
     100 * intersection >= percent * union; pairs inside a component need not all be there.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("row_key"), "text")
-    sets = keyed.mapInArrow(_sets(2), "doc_id long, row_key binary, n_shingles long, set_id long, sketch binary")
+    sets = keyed.mapInArrow(lean(_sets(2)), "doc_id long, row_key binary, n_shingles long, set_id long, sketch binary")
     sets = _written(sets, "sets")
     rows, shingles = sets.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     full = sets.filter("n_shingles > 0")
@@ -434,10 +498,10 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     known = docs.sparkSession.sparkContext.broadcast(heavy)
     parts = max(1, int(0.65 * shingles) // PART_SIGNATURES)
     blocks = texts.select("text").mapInArrow(
-        _signature_blocks(known, percent, parts), "part long, sigs binary, keys binary, places binary"
+        lean(_signature_blocks(known, percent, parts)), "part long, sigs binary, keys binary, places binary"
     )
     shared = blocks.repartition(-(-parts // PARTS_IN_TASK), "part").sortWithinPartitions("part")
-    shared = shared.mapInArrow(_shared, "bucket long, set_id long, leader long").distinct()
+    shared = shared.mapInArrow(lean(_shared), "bucket long, set_id long, leader long").distinct()
     members = _written(shared, "members")
 
     chosen = _written(one, "chosen")
@@ -445,20 +509,44 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
     side = lambda k: facts.select(F.col("set_id").alias(k), F.col("n").alias("n" + k), F.col("sketch").alias("s" + k))
     star = members.filter("set_id <> leader").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct()
     star = star.join(side("b"), "b").join(side("a"), "a").select("a", "b", "na", "nb", "sa", "sb")
-    star = cut_lineage(star.mapInArrow(_likely(percent), "a long, b long"))
+    star = cut_lineage(star.mapInArrow(lean(_likely(percent)), "a long, b long"))
     where = chosen.select("set_id", "_key")
     first = cut_lineage(_links(star, _texts_of(keyed, where, star, copies), percent))
 
-    labels = components(first)
-    labelled = members.select("bucket", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    labelled = labelled.withColumn("label", F.coalesce("label", "set_id"))
+    spanning = _open_rows(members, chosen, first).mapInArrow(lean(_spanning(percent)), "a long, b long, bucket long")
+    spanning = cut_lineage(spanning.distinct())
+    rest = spanning.select("a", "b").distinct()
+    found = cut_lineage(_links(rest, _texts_of(keyed, where, rest, copies), percent))
+    second = cut_lineage(first.union(found))
+    # Where all pairs of a bucket are links, they connect what any likely pair of it does.
+    failed = spanning.join(found, ["a", "b"], "left_anti").select("bucket").distinct()
+    again = members.join(failed, "bucket", "left_semi")
+    left = _open_rows(again, chosen, second).mapInArrow(
+        lean(_undecided(percent)), "bucket long, i long, j long, set_id long, label long, n long, side long"
+    )
+    left = _written(left, "undecided")
+    if not left.isEmpty():
+        own = F.col("set_id")
+        met = left.join(_texts_of(keyed, where, left.select(own.alias("a"), own.alias("b")), copies), "set_id")
+        met = met.select("bucket", "i", "j", "set_id", "label", "n", "side", "text")
+        met = met.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        second = cut_lineage(second.union(met.mapInArrow(lean(_exact(percent)), "a long, b long")))
+    return sets.select("doc_id", "row_key", "n_shingles", "set_id"), second
+
+
+def _open_rows(members: DataFrame, chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """The sets of buckets that the links leave in more than one component, in pairs of blocks
+    (bucket, i, j) that come together.  A block has ``BUCKET_BLOCK`` sets, fewer if they are long."""
+    labels = components(links).withColumnRenamed("node", "set_id")
+    known = chosen.select("set_id", "n").join(labels, "set_id", "left").select("set_id", "n", F.coalesce("label", "set_id").alias("label"))
+    labelled = members.select("bucket", "set_id").join(known, "set_id")
+    room = F.greatest(F.lit(1.0), F.max("n") / BLOCK_SHINGLES)
     open_buckets = labelled.groupBy("bucket").agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")
-    ).filter("lo <> hi").select("bucket", F.ceil(F.col("m") / BUCKET_BLOCK).cast("int").alias("blocks"))
-    rows_in = labelled.join(open_buckets, "bucket").join(facts, "set_id")
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.ceil(F.count("*") * room / BUCKET_BLOCK).cast("int").alias("blocks")
+    ).filter("lo <> hi").select("bucket", "blocks")
+    rows_in = labelled.join(open_buckets, "bucket").join(chosen.select("set_id", "sketch"), "set_id")
     own = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    meets = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows_in = rows_in.withColumn("_own", own).withColumn("_with", meets)
+    rows_in = rows_in.withColumn("_own", own).withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     grouped = rows_in.select(
         "bucket",
         F.least("_own", "_with").alias("i"),
@@ -469,10 +557,7 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Da
         F.when(F.col("_own") > F.col("_with"), 1).otherwise(0).alias("side"),
         "sketch",
     )
-    grouped = grouped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    rest = cut_lineage(grouped.mapInArrow(_across(percent), "a long, b long").distinct())
-    second = cut_lineage(_links(rest, _texts_of(keyed, where, rest, copies), percent))
-    return sets.select("doc_id", "row_key", "n_shingles", "set_id"), first.union(second)
+    return grouped.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 
 def _texts_of(keyed: DataFrame, where: DataFrame, pairs: DataFrame, copies: bool) -> DataFrame:

@@ -219,6 +219,16 @@ def near_copies(seed, groups=12, copies=12):
     return rows
 
 
+def test_texts_of_one_labelled_id_are_learned_once(spark):
+    rows = [(7, f"text number {n}") for n in range(1000)] + [(7, "text number 3"), (8, "other"), (None, "none"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (8, 0), (8, 0), (9, 1), (None, 1)], "doc_id long, label int")
+    assert toxicity.training_rows(docs, labels).count() == 1001
+    assert 50 < toxicity.training_rows(docs, labels, most=100).count() < 160
+    model = toxicity.train(docs, labels)
+    assert model.words.get("other") is None
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
     if seed == 2:  # many small blocks, heavy shingles and no broadcast
@@ -261,6 +271,26 @@ def test_near_copies_without_id_bridge(spark, copies):
     assert len({r.label for r in alone.collect()}) == 2
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_links_that_only_a_second_pair_shows(spark, monkeypatch, block):
+    """Sketches that rule nothing out: most pairs of a bucket fail, others of the same components are links."""
+    monkeypatch.setattr(jaccard, "sketch", lambda shingles: bytes(8))
+    monkeypatch.setattr(jaccard, "BUCKET_BLOCK", block)
+    rnd = random.Random(block)
+    rows, n = [], 0
+    for g in range(4):
+        base = [f"g{g}w{k}" for k in range(60)]
+        for _ in range(14):
+            w = list(base)
+            for _ in range(rnd.randint(0, 2)):
+                w[rnd.randrange(len(w))] = f"edit{rnd.randint(0, 99)}"
+            n += 1
+            rows.append((n, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
+    assert got == brute_components(rows)
+
+
 def test_similar_sets_share_a_signature():
     rnd = np.random.default_rng(0)
     starts, heavy = jaccard.bands(75), np.zeros(1 << jaccard.HEAVY_BITS, dtype=bool)

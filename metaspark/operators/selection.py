@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import with_once
+from .joins import by_key
 
 RULES = (
     "struct<rules:array<struct<`rule-type`:string,`rule-id`:string,`rule-name`:string,"
@@ -94,8 +95,8 @@ def select_tables(tasks: DataFrame, tables: DataFrame) -> DataFrame:
     )
     # which include rules match at least one table: a semi-join on the small pattern set
     patterns = keyed.select("database_rn", *PATTERN).distinct()
-    effective = included.join(patterns, ["database_rn", *PATTERN], "left_semi")
-    unresolved = tasks.select(*owner).join(effective.select(*owner).distinct(), owner, "left_anti")
+    effective = included.join(by_key(patterns), ["database_rn", *PATTERN], "left_semi")
+    unresolved = tasks.select(*owner).join(by_key(effective.select(*owner).distinct()), owner, "left_anti")
     everything = unresolved.select(*owner, *_pattern(anything, anything))
     wanted = effective.select(*owner, *PATTERN).unionByName(everything)
 
@@ -105,8 +106,8 @@ def select_tables(tasks: DataFrame, tables: DataFrame) -> DataFrame:
         & (r["table_name"].isNull() | (r["table_name"] == table)),
     )
     return (
-        wanted.join(tasks.select(*owner, excludes), owner)
-        .join(keyed, ["database_rn", *PATTERN])
+        wanted.join(by_key(tasks.select(*owner, excludes)), owner)
+        .join(by_key(keyed), ["database_rn", *PATTERN])
         .filter(~excluded)
         .select(*owner, "schema_name", "table_name")
         .distinct()

@@ -10,6 +10,7 @@ from metaspark.operators import lineage as ln
 from metaspark.operators import metadata_kv as kv
 from metaspark.operators import selection as sel
 from metaspark.operators.descent import descend
+from metaspark.operators.joins import by_key
 from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
@@ -144,7 +145,7 @@ def task_lineage(spark, sf_dir):
         text("arn:db:", F.floor(F.col("p_partkey") / 20)).alias("source_endpoint_arn"),
         F.col("p_brand").alias("schema_name"), F.col("p_name").alias("table_name"),
     ).distinct()
-    placed = parts.join(joined.select("source_endpoint_arn", "source_database_rn").distinct(), "source_endpoint_arn")
+    placed = parts.join(by_key(joined.select("source_endpoint_arn", "source_database_rn").distinct()), "source_endpoint_arn")
     schema_rn = F.concat_ws("/", "source_database_rn", F.lit("schemas"), "schema_name")
     placed = placed.withColumn("schema_rn", schema_rn).withColumn("table_rn", F.concat_ws("/", "schema_rn", F.lit("tables"), "table_name"))
     members = union_all(
@@ -153,11 +154,11 @@ def task_lineage(spark, sf_dir):
         placed.select(F.col("schema_rn").alias("group_rn"), F.col("table_rn").alias("member_rn"), F.lit("TABLE").alias("member_type")),
     )
     below, _ = descend(members, tasks.select(F.col("database_rn").alias("group_rn")))
-    found = below.join(placed.select("table_rn", "schema_name", "table_name"), "table_rn")
+    found = below.join(by_key(placed.select("table_rn", "schema_name", "table_name")), "table_rn")
     tables = found.select(F.col("root_rn").alias("database_rn"), "schema_name", "table_name")
     chosen = sel.select_tables(tasks.select("task_id", "database_rn", "rules"), tables)
     ends = ["source_engine_name", "target_engine_name", "target_database_rn"]
-    chosen = chosen.join(joined.select("task_id", *ends), "task_id")
+    chosen = chosen.join(by_key(joined.select("task_id", *ends)), "task_id")
     task = F.concat_ws("/", SCOPE.source("dms"), F.lit("tasks"), "task_id")
     names = F.col("schema_name"), F.col("table_name")
     source = ln.endpoint_table_name(F.col("database_rn"), F.col("source_engine_name"), *names)

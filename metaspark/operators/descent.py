@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .joins import by_key
 
 
 def descend(
@@ -37,7 +38,7 @@ def reach(
     while True:
         depth += 1
         level = cut_lineage(
-            frontier.join(members, "group_rn")
+            frontier.join(by_key(members), "group_rn")
             .select("root_rn", "member_rn", "member_type", F.lit(depth).alias("depth"))
             .distinct()
         )
@@ -46,7 +47,7 @@ def reach(
             "root_rn", F.col("member_rn").alias("group_rn")
         )
         # cut as well: otherwise the plan of ``visited`` would double with every level
-        frontier = cut_lineage(groups.join(visited, ["root_rn", "group_rn"], "left_anti"))
+        frontier = cut_lineage(groups.join(by_key(visited), ["root_rn", "group_rn"], "left_anti"))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..functions.paths import arn_tail
 from ..functions.status import lookup
+from .joins import by_key
 
 EDGE = ["via_rn", "other_rn", "role"]
 
@@ -68,8 +69,8 @@ def tasks_with_endpoints(tasks: DataFrame, endpoints: DataFrame) -> DataFrame:
             F.col("endpoint_arn").alias(f"{name}_endpoint_arn"), *[F.col(c).alias(f"{name}_{c}") for c in cols]
         )
 
-    return tasks.join(side("source"), "source_endpoint_arn", "left").join(
-        side("target"), "target_endpoint_arn", "left"
+    return tasks.join(by_key(side("source")), "source_endpoint_arn", "left").join(
+        by_key(side("target")), "target_endpoint_arn", "left"
     )
 
 
@@ -123,7 +124,7 @@ def dataset_upstreams(
     all tables; the join is N:1, so Spark splits the hot partition (or broadcasts a small
     source table).
     """
-    joined = physical_tables(datasets).join(sources, "source_id")
+    joined = physical_tables(datasets).join(by_key(sources), "source_id")
     name = data_source_name(F.col("source_type"), F.col("params"), F.col("table"), account, region)
     return joined.select("dataset_id", "source_id", name.alias("upstream_rn"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.txlog import record_count
+from .joins import by_key
 
 
 def vector_id(vector: Column) -> Column:
@@ -103,4 +104,4 @@ def log_columns(metadata: DataFrame) -> DataFrame:
 
 def log_tables(actions: DataFrame) -> DataFrame:
     """One row per table: metadata joined with totals (totals null for an empty table)."""
-    return log_metadata(actions).join(log_totals(live_files(actions)), "root", "left")
+    return log_metadata(actions).join(by_key(log_totals(live_files(actions))), "root", "left")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.status import job_run_status, status_reason
+from .joins import by_key
 
 
 def job_runs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -15,7 +16,7 @@ def job_runs(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     completed_at (null while unfinished), message.  N:1 on the job name; a job with most
     of the runs is split by Spark's skew join.
     """
-    joined = runs.join(jobs.select("job_name", "job_rn", "owner_rn"), "job_name")
+    joined = runs.join(by_key(jobs.select("job_name", "job_rn", "owner_rn")), "job_name")
     status = job_run_status(F.col("state"))
     return joined.select(
         F.concat_ws("/", "job_rn", F.lit("runs"), "run_id").alias("run_rn"),

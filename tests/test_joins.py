@@ -16,3 +16,13 @@ def test_tables_and_rules_meet_by_key(spark, name):
     plan = plan_of(entry_module.queries()[name](spark, SF))
     assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "SortMergeJoin" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["experiment_tree", "artifact_entities", "artifact_dedup", "component_edges", "experiment_list", "job_entities",
+     "log_table_entities", "task_endpoints", "datasource_dispatch"],
+)
+def test_entities_and_their_parts_meet_by_key(spark, name):
+    plan = plan_of(entry_module.queries()[name](spark, SF))
+    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -26,3 +26,29 @@ def test_tables_and_rules_meet_by_key(spark, name):
 def test_entities_and_their_parts_meet_by_key(spark, name):
     plan = plan_of(entry_module.queries()[name](spark, SF))
     assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_links_are_one_row_for_each_artifact_before_artifacts_are_joined(spark):
+    plan = plan_of(entry_module.queries()["artifact_dedup"](spark, SF))
+    join, least = plan.index("SortMergeJoin"), [i for i in range(len(plan)) if plan.startswith("partial_min(component_arn", i)]
+    assert any(i > join for i in least)
+
+
+def test_first_links_and_then_artifacts_give_the_same_artifacts(spark):
+    from pyspark.sql import functions as F
+
+    from metaspark.operators import experiments as ex
+
+    arn = "arn:aws:sm:eu:1:artifact/"
+    links = spark.createDataFrame(
+        [("c2", "input", "Image", arn + "a"), ("c1", "input", "Image", arn + "b"), ("c3", "output", "Model", arn + "m"),
+         ("c0", "input", "Model", arn + "m"), ("c9", "input", "Image", arn + "unknown")],
+        "component_arn string, direction string, artifact_type string, artifact_arn string",
+    )
+    artifacts = spark.createDataFrame(
+        [(arn + "a", "r/i:1"), (arn + "b", "r/i:1"), (arn + "m", "s3://b/m")], "artifact_arn string, uri string"
+    )
+    joined = ex.unique_artifacts(ex.with_artifacts(links, artifacts, F.lit("//s")))
+    first = ex.unique_artifacts(ex.with_artifacts(ex.first_links(links), artifacts, F.lit("//s")))
+    assert sorted(joined.collect()) == sorted(first.collect())
+    assert {r.component_arn for r in first.collect()} == {"c0", "c1"}

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from ..functions.text import allowed, with_once
+from ..operators.joins import by_key
+from ..session import cut_lineage
 from .pyfs import open_filesystem
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,6 +29,7 @@ CHECKPOINT_FILE = r"^(.*)/_delta_log/(\d{20})\.checkpoint(?:\.(\d+)\.(\d+)|\.([0
 LOG_FILE = r"^(.*)/_delta_log/\d{20}\.(?:json|checkpoint(?:\.\d+\.\d+|\.[0-9a-f-]{36})?\.(?:parquet|json))$"
 SIDE_FOLDER = "_sidecars"
 LINES = 10_000  # lines of a commit in one batch
+SPREAD = 16  # parts in which a folder meets the roots below it
 
 VECTOR = "struct<storageType:string,pathOrInlineDv:string,offset:int,cardinality:bigint>"
 ADD = f"struct<path:string,size:bigint,modificationTime:bigint,stats:string,deletionVector:{VECTOR}>"
@@ -53,32 +56,26 @@ def discover_tables(
     A root below another root is part of that table, not a table.  The folder filter is
     applied to every sub-folder path on the way down, never to ``start`` itself.
 
-    Each root offers one row per folder on its way; the rows are tested, matched with the
-    roots (a folder all roots share is one hot key, which Spark's skew join splits) and
-    reduced back per root with map-side aggregation.
+    A folder that many roots share is a hot key, so it meets them in ``SPREAD`` parts: the
+    folders above roots are made unique first, the few that are tables themselves are
+    repeated for every part, and a root asks only in its own.
     """
     roots = log_roots(objects)
+    root = F.col("root")
+    above, is_allowed = paths.prefixes(root), lambda f: allowed(f, include, exclude)
     if start is not None:
         top = start.rstrip("/")
-        roots = roots.filter((F.col("root") == top) | F.startswith(F.col("root"), F.lit(top + "/")))
-    folder, root = F.col("folder"), F.col("root")
-    walk = roots.select("root", F.explode(F.array_append(paths.prefixes(root), root)).alias("folder"))
-    is_allowed = allowed(folder, include, exclude)
-    if start is not None:
-        walk = walk.filter(F.length(folder) >= len(top))
-        is_allowed = is_allowed | (F.length(folder) == len(top))
-    tables = roots.select(F.col("root").alias("folder"), F.lit(True).alias("is_table"))
-    return (
-        walk.withColumn("is_allowed", is_allowed)
-        .join(tables, "folder", "left")
-        .groupBy("root")
-        .agg(
-            F.bool_and("is_allowed").alias("is_allowed"),
-            F.bool_or(F.col("is_table") & (folder != root)).alias("is_nested"),
-        )
-        .filter(F.col("is_allowed") & ~F.coalesce("is_nested", F.lit(False)))
-        .select("root")
-    )
+        roots = roots.filter((root == top) | F.startswith(root, F.lit(top + "/")))
+        above = F.filter(above, lambda f: F.length(f) >= len(top))
+        is_allowed = lambda f: allowed(f, include, exclude) | (F.length(f) == len(top))
+    # listed and tested once: three joins read it
+    found = cut_lineage(roots.filter(F.forall(F.array_append(above, root), is_allowed)))
+    way = found.select("root", F.explode(above).alias("folder"))
+    tables = way.select("folder").distinct().join(by_key(found.select(root.alias("folder"))), "folder", "left_semi")
+    parts = tables.select("folder", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"))
+    asked = way.withColumn("part", F.pmod(F.hash("root"), F.lit(SPREAD)))
+    nested = asked.join(by_key(parts), ["folder", "part"], "left_semi").select("root").distinct()
+    return found.join(by_key(nested), "root", "left_anti")
 
 
 def commit_versions(objects: DataFrame) -> DataFrame:

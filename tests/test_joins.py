@@ -52,3 +52,18 @@ def test_first_links_and_then_artifacts_give_the_same_artifacts(spark):
     first = ex.unique_artifacts(ex.with_artifacts(ex.first_links(links), artifacts, F.lit("//s")))
     assert sorted(joined.collect()) == sorted(first.collect())
     assert {r.component_arn for r in first.collect()} == {"c0", "c1"}
+
+
+def test_a_folder_all_roots_share_is_met_in_parts(spark):
+    """Without any limit on skew the rows of the folder ``lake`` are in many partitions, and a table above all still counts."""
+    from pyspark.sql import functions as F
+
+    from metaspark.sources import txlog
+
+    paths = spark.range(3000).select(F.format_string("lake/t%05d/_delta_log/00000000000000000000.json", "id").alias("path"))
+    alone = txlog.discover_tables(paths, start="lake")
+    assert alone.count() == 3000
+    joins = [line for line in plan_of(alone).splitlines() if "SortMergeJoin" in line or "HashJoin" in line]
+    assert any("folder" in j and "part" in j for j in joins) and not any("BroadcastHashJoin" in j for j in joins)
+    top = spark.createDataFrame([("lake/_delta_log/00000000000000000000.json",)], "path string")
+    assert [r.root for r in txlog.discover_tables(paths.union(top), start="lake").collect()] == ["lake"]

@@ -200,6 +200,32 @@ def brute_components(texts):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def test_steps_of_few_links_take_one_partition(spark, monkeypatch):
+    import metaspark.llm.components as module
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 7] + [(100, i) for i in range(101, 130)], "a long, b long")
+    parts = []
+    cut = module.cut_lineage
+
+    def counted(df):
+        out = cut(df)
+        parts.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(module, "cut_lineage", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        few = sorted(map(tuple, components(links).collect()))
+        assert len(parts) > 2 and set(parts[1:]) == {1}
+        parts.clear()
+        monkeypatch.setattr(module, "FEW_LINKS", 0)
+        assert sorted(map(tuple, components(links).collect())) == few
+        assert max(parts[1:]) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert dict(few) == {i: (i + 6) // 7 * 7 - 6 if i % 7 else i - 6 for i in range(1, 41)} | {i: 100 for i in range(100, 130)}
+
+
 def near_copies(seed, groups=12, copies=12):
     """Groups of texts that share a passage, with edits about the threshold, some very short."""
     rnd = random.Random(seed)

@@ -13,10 +13,11 @@ from metaspark.operators.descent import descend
 from metaspark.operators.joins import by_key
 from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
+from metaspark.session import cut_lineage
 from metaspark.sources import dumps
 
 from . import consumers, jobs
-from .registry import SCOPE, aws, doc_lines, query, table, text
+from .registry import SCOPE, aws, doc_lines, landed_docs, query, table, text
 
 _GLUE, _BI, _ML = aws("glue"), aws("quicksight"), aws("sagemaker")
 
@@ -95,15 +96,14 @@ def _replication(spark, sf_dir):
     """Tasks with both endpoints: sources are servers of two engines, targets buckets."""
     key = F.col("s_suppkey")
     server = F.struct(text("h", key).alias("ServerName"), text("d", key).alias("DatabaseName"))
-    suppliers = table(spark, sf_dir, "supplier")
-    sources = doc_lines(
-        suppliers,
+    docs = landed_docs(
+        table(spark, sf_dir, "supplier").select("s_suppkey"),
+        "endpoint",
         EndpointArn=text("arn:db:", key),
         EngineName=F.when(key % 2 == 0, F.lit("postgres")).otherwise(F.lit("mysql")),
         PostgreSQLSettings=F.when(key % 2 == 0, server),
         MySQLSettings=F.when(key % 2 == 1, server),
     )
-    docs, _ = dumps.parse_docs(sources, "endpoint")
     known = F.coalesce("d.PostgreSQLSettings", "d.MySQLSettings")
     servers = ln.endpoint_sources(docs.select(
         F.col("d.EndpointArn").alias("endpoint_arn"), F.col("d.EngineName").alias("engine_name"),
@@ -139,7 +139,7 @@ FROM chosen JOIN supplier USING (s_suppkey)""",
 )
 def task_lineage(spark, sf_dir):
     """Task -> endpoint -> tables below its database -> selection rules -> inputs and outputs."""
-    joined = _replication(spark, sf_dir)
+    joined = cut_lineage(_replication(spark, sf_dir))  # read five times below
     tasks, _ = sel.parse_rules(joined.withColumn("database_rn", F.col("source_database_rn")))
     parts = table(spark, sf_dir, "part").select(
         text("arn:db:", F.floor(F.col("p_partkey") / 20)).alias("source_endpoint_arn"),

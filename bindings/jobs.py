@@ -14,15 +14,16 @@ from metaspark.plans import entities as en
 from metaspark.plans.catalog import union_all
 from metaspark.sources import dumps
 
-from .registry import SCOPE, aws, doc_lines, entity_sql, query, table, text, landed_docs, wall_clock
+from .registry import SCOPE, aws, dealt_out, doc_lines, entity_sql, query, table, text, landed_docs, wall_clock
 
 # --- jobs and runs ----------------------------------------------------------------------
 
 
 def _job_docs(spark, sf_dir):
     key = F.col("c_custkey")
-    lines = doc_lines(
-        table(spark, sf_dir, "customer"),
+    return landed_docs(
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+        "glue_job",
         Name=F.col("c_name"),
         Owner=F.when(key % 4 != 0, text("team-", F.col("c_nationkey"))),
         Description=F.col("c_mktsegment"),
@@ -30,8 +31,6 @@ def _job_docs(spark, sf_dir):
         LastModifiedOn=F.lit("2020-06-06T00:00:00"),
         Command=F.struct(text("s3://code/", key, ".py").alias("ScriptLocation")),
     )
-    docs, _ = dumps.parse_docs(lines, "glue_job")
-    return docs
 
 
 def _run_docs(spark, sf_dir):
@@ -184,12 +183,12 @@ def _endpoints(spark, sf_dir):
         F.struct(text("h", F.col("p_size")).alias("ServerName"), F.col("p_brand").alias("DatabaseName")),
     )
     names_of = F.create_map(*[F.lit(x) for kv in _ENGINE_OF_TYPE.items() for x in kv])
-    servers = table(spark, sf_dir, "part").withColumn("engine", F.element_at(names_of, engine))
+    servers = dealt_out(table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_brand")).withColumn("engine", F.element_at(names_of, engine))
     server_lines = doc_lines(
         servers, EndpointArn=text("arn:src:", F.col("p_partkey")), EngineName=F.col("engine"), **settings
     )
     bucket_lines = doc_lines(
-        table(spark, sf_dir, "supplier"),
+        dealt_out(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")),
         EndpointArn=text("arn:dst:", F.col("s_suppkey")),
         EngineName=F.lit("s3"),
         S3Settings=F.struct(
@@ -280,8 +279,9 @@ def _replication_tasks(spark, sf_dir):
     for i, members in enumerate(sets):
         document = F.to_json(F.struct(F.array(*[_rule(*m) for m in members]).alias("rules")))
         rules = (F if rules is None else rules).when(key % 8 == i, document)
-    lines = doc_lines(
-        table(spark, sf_dir, "supplier"),
+    return landed_docs(
+        table(spark, sf_dir, "supplier").select("s_suppkey"),
+        "task",
         ReplicationTaskIdentifier=text("task-", key),
         SourceEndpointArn=text("arn:db:", key),
         TableMappings=rules,
@@ -289,8 +289,6 @@ def _replication_tasks(spark, sf_dir):
         MigrationType=F.lit("full-load"),
         ReplicationTaskCreationDate=F.lit("2022-09-24T00:00:00"),
     )
-    docs, _ = dumps.parse_docs(lines, "task")
-    return docs
 
 
 _SELECTION = """

@@ -80,3 +80,27 @@ def test_a_job_with_a_third_of_all_runs_is_split(spark, small_skew_limits):
     assert max(r.n for r in got) > 10000
     joined.collect()
     assert "skew=true" in plan_of(joined)
+
+
+def test_documents_of_all_tables_are_parsed_by_many_tasks(spark):
+    from bindings import consumers, jobs
+
+    made = [
+        jobs._job_docs, jobs._replication_tasks, consumers._dataset_docs, consumers._source_docs, consumers._dashboard_docs,
+        consumers._analysis_docs, consumers._experiment_docs, jobs._endpoints,
+    ]
+    for docs in made:
+        assert "RepartitionByExpression" in docs(spark, "/root/testdata/sf0.001")._jdf.queryExecution().logical().toString(), docs
+
+
+def test_joined_tasks_are_made_once(spark):
+    from bindings import details
+
+    plan = details.task_lineage(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "ServerName" not in plan and "supplier" not in plan
+
+
+def test_distinct_counts_copy_no_rows(spark):
+    from bindings import stats
+
+    assert "Expand" not in stats.merged_profiles(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()

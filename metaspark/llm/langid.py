@@ -24,7 +24,7 @@ BITS = 15
 ORDERS = (2, 3)
 LANGUAGES = 1024
 SMOOTHING = 0.5
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 17
 UNKNOWN = "und"
 
 

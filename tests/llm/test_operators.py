@@ -395,6 +395,18 @@ def test_bpe_without_room_for_states(tables, monkeypatch):
     assert machine.encode(text, pattern).tolist() == library.encode_ordinary(text)
 
 
+def test_language_scores_need_little_beside_the_texts():
+    import tracemalloc
+
+    model = langid.Model(["a", "b"], np.zeros(2), np.zeros((1 << langid.BITS, 2), dtype=np.float32))
+    column = pa.array(["some words of a text " * 50] * 2000)
+    tracemalloc.start()
+    langid.scores(model, column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+
+
 def test_utf8_stream_of_broken_bytes():
     raw = "aé中😀".encode() + b"\xff\xc3(" + "😀".encode()[:3]
     for step in range(1, 9):

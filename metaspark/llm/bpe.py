@@ -16,6 +16,7 @@ UTF-8 machine, which carries an incomplete character to the next chunk.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import sys
@@ -30,13 +31,15 @@ from pyspark.sql import DataFrame
 from .frames import extended, lean, small_batches
 
 STATES = 1 << 16
+ARCS = 1 << 18
 PIECES = 1 << 17
 PAIRS = 1 << 17
 LOOK = 64
 ROWS = 128  # rows encoded at once
 JOIN_TOKENS = 1 << 16
-NODE_BITS, TOKEN_BITS = 24, 24
-NODE, TOKEN = (1 << NODE_BITS) - 1, (1 << TOKEN_BITS) - 1
+NODE_BITS = 24
+NODE = (1 << NODE_BITS) - 1
+GUESSES = -1
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -48,8 +51,9 @@ class Transducer:
     """Encoder of pieces for one table of ranks.
 
     The trie is one table of steps (node and byte to node) beside arrays; a guess is one
-    number, the last token (plus one) above the trie node, and so is an arc, the next state
-    above the token (plus one) that ends with the byte.
+    number, the last token (plus one) above the trie node.  A state is a table of its own from
+    a byte to its arc, the next state and the token that ends with the byte (or -1); at
+    ``GUESSES`` are its guesses, the earliest begun first.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -76,10 +80,9 @@ class Transducer:
         self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        # A state: its guesses, the earliest begun first.
-        self.guesses: list[tuple[int, ...]] = [(0,)]
-        self.names: dict[tuple[int, ...], int] = {(0,): 0}
-        self.arcs: dict[int, int] = {}
+        self.start: dict = {GUESSES: (0,)}
+        self.names: dict[tuple[int, ...], dict] = {(0,): self.start}
+        self.arcs = 0
 
     def last_merge(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for one that no merge makes."""
@@ -151,43 +154,38 @@ class Transducer:
             after.append(ended + 1 << NODE_BITS)
         return after, ended
 
-    def _move(self, state: int, byte: int) -> int:
-        """The arc of a state for a byte, made now; -1 if the table is full."""
-        if len(self.guesses) >= STATES:
-            return -1
-        guesses, ended = self._next(self.guesses[state], byte)
+    def _move(self, state: dict, byte: int) -> tuple[dict, int]:
+        """The arc of a state for a byte, made now.
+
+        It is kept, up to a bound, if it leads to a state of the table.  In a full table new guesses
+        get a state that is forgotten, and the way goes on until it comes to one of the table.
+        """
+        guesses, ended = self._next(state[GUESSES], byte)
         key = tuple(guesses)
         to = self.names.get(key)
         if to is None:
-            to = self.names[key] = len(self.guesses)
-            self.guesses.append(key)
-        arc = self.arcs[state << 8 | byte] = to << TOKEN_BITS | ended + 1
-        return arc
+            to = {GUESSES: key}
+            if len(self.names) >= STATES:
+                return to, ended
+            self.names[key] = to
+        if self.arcs < ARCS:
+            self.arcs += 1
+            state[byte] = to, ended
+        return to, ended
 
     def run(self, piece: bytes) -> Iterator[int]:
         """Token ids of ``piece``, in order as they are settled.
 
         States are made while the table has room, so those that texts need first and most
-        are deterministic; from a state without an arc in a full table the guesses
-        themselves are followed to the piece's end.
+        are deterministic.
         """
         ends: list[int] = []  # the token that ends each prefix, after what is emitted
-        state, guesses = 0, None
-        arcs = self.arcs
+        state = self.start
         for byte in piece:
-            if guesses is None:
-                arc = arcs.get(state << 8 | byte)
-                if arc is None:
-                    arc = self._move(state, byte)
-                if arc >= 0:
-                    state, ended = arc >> TOKEN_BITS, (arc & TOKEN) - 1
-                else:
-                    guesses, ended = self._next(self.guesses[state], byte)
-            else:
-                guesses, ended = self._next(guesses, byte)
+            state, ended = state.get(byte) or self._move(state, byte)
             ends.append(ended)
             if len(ends) > LOOK:
-                border = self._border(ends, guesses or self.guesses[state])
+                border = self._border(ends, state[GUESSES])
                 if border:
                     yield from self._path(ends, border)
                     del ends[:border]
@@ -196,17 +194,10 @@ class Transducer:
     def short(self, piece: bytes) -> list[int]:
         """Token ids of a piece of at most ``LOOK`` bytes, as ``run`` gives them."""
         ends: list[int] = []
-        state, known = 0, self.arcs.get
-        for at, byte in enumerate(piece):
-            arc = known(state << 8 | byte)
-            if arc is None and (arc := self._move(state, byte)) < 0:
-                guesses: tuple[int, ...] | list[int] = self.guesses[state]
-                for byte in piece[at:]:
-                    guesses, ended = self._next(guesses, byte)
-                    ends.append(ended)
-                break
-            state = arc >> TOKEN_BITS
-            ends.append((arc & TOKEN) - 1)
+        state = self.start
+        for byte in piece:
+            state, ended = state.get(byte) or self._move(state, byte)
+            ends.append(ended)
         return self._path(ends, len(ends))
 
     def _border(self, ends: list[int], guesses: tuple[int, ...] | list[int]) -> int:
@@ -401,20 +392,24 @@ def encode(docs: DataFrame, ranks_file: str, pattern: str, with_ids: bool = True
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = Transducer(read_ranks(known.value))
         matches = regex.compile(pattern)
-        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
-            counts, blobs, ids_hash, text_hash = [], [], [], []
-            for value in batch.column(place):
-                raw = machine.encoded(value.as_py() or "", matches)
-                decoded = hashlib.sha256()
-                for text in decode_text(np.frombuffer(raw, dtype="<u4"), machine.bytes_of):
-                    decoded.update(text.encode())
-                counts.append(len(raw) // 4)
-                ids_hash.append(hashlib.sha256(raw).hexdigest())
-                text_hash.append(decoded.hexdigest())
-                if with_ids:
-                    blobs.append(raw)
-            made = [pa.array(counts, type=pa.int64()), *([pa.array(blobs, type=pa.binary())] if with_ids else [])]
-            made += [pa.array(ids_hash, type=pa.string()), pa.array(text_hash, type=pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
+        gc.disable()  # the collector would walk the growing tables again and again; what goes is freed without it
+        try:
+            for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
+                counts, blobs, ids_hash, text_hash = [], [], [], []
+                for value in batch.column(place):
+                    raw = machine.encoded(value.as_py() or "", matches)
+                    decoded = hashlib.sha256()
+                    for text in decode_text(np.frombuffer(raw, dtype="<u4"), machine.bytes_of):
+                        decoded.update(text.encode())
+                    counts.append(len(raw) // 4)
+                    ids_hash.append(hashlib.sha256(raw).hexdigest())
+                    text_hash.append(decoded.hexdigest())
+                    if with_ids:
+                        blobs.append(raw)
+                made = [pa.array(counts, type=pa.int64()), *([pa.array(blobs, type=pa.binary())] if with_ids else [])]
+                made += [pa.array(ids_hash, type=pa.string()), pa.array(text_hash, type=pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, *names])
+        finally:
+            gc.enable()
 
     return kept.mapInArrow(lean(work), extended(kept, columns))

@@ -407,6 +407,20 @@ def test_language_scores_need_little_beside_the_texts():
     assert peak < 20e6
 
 
+def test_bpe_comes_back_to_its_states(tables, monkeypatch):
+    ranks, library = tables
+    machine = bpe.Transducer(ranks)
+    words = ["tokenization", "unbelievable", "antidisestablishment", "mentarianism"]
+    for word in words:
+        machine.short(word.encode())
+    monkeypatch.setattr(bpe, "STATES", len(machine.names))
+    steps, step = [], machine._next
+    monkeypatch.setattr(machine, "_next", lambda *guess: steps.append(guess) or step(*guess))
+    piece = "tok\x00" + "mentarianism" * 3
+    assert machine.short(piece.encode()) == machine.short(piece.encode()) == library.encode_ordinary(piece)
+    assert len(steps) < len(piece)
+
+
 def test_utf8_stream_of_broken_bytes():
     raw = "aé中😀".encode() + b"\xff\xc3(" + "😀".encode()[:3]
     for step in range(1, 9):

@@ -34,6 +34,7 @@ END = SYMBOLS - 1
 FIRST_CLASS = END - CLASSES  # symbols below are words
 HIDDEN = 32
 LOOKUP = 1 << 16
+LOOKUP_BITS = 18  # leading bits of a hash that say where in the lookup it would be
 ADD = 0.1
 TRAINER_TOKENS = 1 << 22
 UPDATES = 192
@@ -44,6 +45,7 @@ SCORE_WINDOW = 64
 SLICE_BYTES = 8 << 20
 COUNT_WORDS = 1 << 21
 WEIGHT_BLOCK = 1024
+BLOCK = 2048  # rows whose work arrays stay in the processor's cache
 FAINT = 1e-30
 SEED = 5
 
@@ -59,6 +61,7 @@ class Counts(NamedTuple):
     ends: int
     class_log: np.ndarray  # log10 of each class's total
     frequency: np.ndarray  # of the symbols
+    first: np.ndarray  # number of hashes whose leading bits are less
 
 
 def word_classes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -131,21 +134,37 @@ def summary(counted: DataFrame, documents: int) -> Counts:
     frequency[END] += documents
     hashes = np.array([r.word for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.searchsorted(hashes >> np.uint64(64 - LOOKUP_BITS), np.arange((1 << LOOKUP_BITS) + 1, dtype=np.uint64))
     symbols = np.where(np.arange(len(top)) < words, np.arange(len(top)), -1)
     counts = np.array([r.n for r in top], dtype=np.float64)
+    class_log = np.log10(mass + ADD * kinds + ADD)
     return Counts(
-        hashes[order], counts[order], symbols[order], tokens, distinct, documents, np.log10(mass + ADD * kinds + ADD), frequency
+        hashes, counts[order], symbols[order], tokens, distinct, documents, class_log, frequency, first.astype(np.int32)
     )
 
 
-def looked_up(known: Counts, words: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place in the lookup (-1: not in it) and symbol of every word."""
+def looked_up(known: Counts, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place in the lookup (-1: not in it) and own symbol (-1: none) of every word.
+
+    The leading bits of a hash leave a few places to compare, one on average.
+    """
     if not len(known.hashes):
-        return np.full(len(words), -1), FIRST_CLASS + classes
-    place = np.minimum(np.searchsorted(known.hashes, words), len(known.hashes) - 1)
-    place = np.where(known.hashes[place] == words, place, -1)
-    symbol = np.where(place >= 0, known.symbols[place], -1)
-    return place, np.where(symbol >= 0, symbol, FIRST_CLASS + classes)
+        return np.full(len(words), -1), np.full(len(words), -1)
+    leading = (words >> np.uint64(64 - LOOKUP_BITS)).astype(np.int64)
+    at, stop = known.first[leading], known.first[leading + 1]
+    np.minimum(at, len(known.hashes) - 1, out=at)
+    same = known.hashes[at] == words
+    place = np.where(same, at, -1)
+    left = np.flatnonzero(~same & (at + 1 < stop))
+    at, stop, words = at[left], stop[left], words[left]
+    while len(left):
+        at += 1
+        same = known.hashes[at] == words
+        place[left[same]] = at[same]
+        more = ~same & (at + 1 < stop)
+        left, at, stop, words = left[more], at[more], stop[more], words[more]
+    return place, np.where(place >= 0, known.symbols[place], -1)
 
 
 def with_ends(symbols: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,6 +176,12 @@ def with_ends(symbols: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarr
     return out, ends
 
 
+def beginnings(fresh: np.ndarray) -> list[np.ndarray]:
+    """The lanes that begin a document, step by step."""
+    step, lane = np.nonzero(fresh)
+    return np.split(lane, np.searchsorted(step, np.arange(1, len(fresh))))
+
+
 SHAPES = (
     ("x", (SYMBOLS, 3 * HIDDEN)),  # what the last symbol gives the gates
     ("u", (HIDDEN, 2 * HIDDEN)),
@@ -169,11 +194,23 @@ SHAPES = (
 
 
 class Network:
-    """The gated recurrent network, its two-level softmax, and one training step."""
+    """The gated recurrent network, its two-level softmax, and one training step.
+
+    Work arrays are kept from window to window: the system clears the pages of new ones.
+    """
 
     def __init__(self, weights: np.ndarray):
         self.flat = np.array(weights, dtype=np.float32)
         self.p = self._views(self.flat)
+        self.kept: dict[str, np.ndarray] = {}
+
+    def room(self, name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        """The work array of that name, with what was in it."""
+        size = math.prod(shape)
+        held = self.kept.get(name)
+        if held is None or len(held) < size or held.dtype != dtype:
+            held = self.kept[name] = np.empty(size, dtype=dtype)
+        return held[:size].reshape(shape)
 
     @staticmethod
     def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -198,87 +235,110 @@ class Network:
         out.p["x"][:, :HIDDEN] -= 1.0  # keep the state at first
         return out
 
-    def states(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list]:
-        """States after each step of a window (steps x lanes) and what the way back needs.
+    def states(self, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list]:
+        """States after each step of a window (steps x lanes) and, with ``keep``, what the way back needs.
 
-        ``fresh`` marks steps that begin a document: their state starts at zero.  What the
-        symbols give the gates is looked up for the whole window at once.
+        ``fresh`` marks steps that begin a document: their state starts at zero.  The gates'
+        weights are negated once, not the gates at every step.
         """
         p = self.p
-        z, r, new = (np.take(v, inputs, axis=0) for v in np.split(p["x"], 3, axis=1))
-        to_z, to_r = (np.ascontiguousarray(v) for v in np.split(p["u"], 2, axis=1))
-        before, reset, out = (np.empty((*inputs.shape, HIDDEN), dtype=new.dtype) for _ in range(3))
-        begins = fresh.any(axis=1)
-        for t in range(len(inputs)):
-            np.multiply(state, ~fresh[t][:, None], out=before[t]) if begins[t] else np.copyto(before[t], state)
-            state = before[t]
-            for gate, weights in ((z[t], to_z), (r[t], to_r)):
-                gate += state @ weights
-                np.negative(gate, out=gate)
-                np.exp(gate, out=gate)
-                gate += 1
-                np.reciprocal(gate, out=gate)
-            np.multiply(r[t], state, out=reset[t])
-            new[t] += reset[t] @ p["ug"]
-            np.tanh(new[t], out=new[t])
-            np.subtract(new[t], state, out=out[t])
-            out[t] *= z[t]
+        kind, (steps, lanes) = p["u"].dtype, inputs.shape
+        gates = self.room("gates", (steps if keep else 1, 2, lanes, HIDDEN), kind)
+        new, before, reset = (self.room(name, (len(gates), lanes, HIDDEN), kind) for name in ("new", "before", "reset"))
+        out = self.room("out", (steps, lanes, HIDDEN), kind)
+        moved = self.room("moved", (2, lanes, HIDDEN), kind)
+        to_z, to_r, to_new = (np.ascontiguousarray(v) for v in np.split(p["x"], 3, axis=1))
+        np.negative(to_z, out=to_z)
+        np.negative(to_r, out=to_r)
+        across = -np.stack(np.split(p["u"], 2, axis=1))
+        symbols = np.ascontiguousarray(inputs)
+        for t, begins in enumerate(beginnings(fresh)):
+            at = t if keep else 0
+            both, z, r, own = gates[at], gates[at, 0], gates[at, 1], new[at]
+            np.copyto(before[at], state)
+            state = before[at]
+            if len(begins):
+                state[begins] = 0
+            for gate, weights in ((z, to_z), (r, to_r), (own, to_new)):
+                np.take(weights, symbols[t], axis=0, out=gate, mode="clip")
+            both += np.matmul(state, across, out=moved)
+            np.exp(both, out=both)
+            both += 1
+            np.reciprocal(both, out=both)
+            np.multiply(r, state, out=reset[at])
+            own += np.matmul(reset[at], p["ug"], out=moved[0])
+            np.tanh(own, out=own)
+            np.subtract(own, state, out=out[t])
+            out[t] *= z
             out[t] += state
             state = out[t]
-        return out, [before, z, r, reset, new]
+        return out, [before, gates[:, 0], gates[:, 1], reset, new]
 
     def log_probabilities(self, states: np.ndarray, targets: np.ndarray, back: dict | None = None) -> np.ndarray:
         """Natural log probabilities of the targets; with ``back``, gradients of their negative sum too.
 
-        Steps are taken in order of their targets' groups, so that a group's members are one product.
+        Steps are taken in order of their targets' groups, so that a group's members are one
+        product, or one for each ``BLOCK`` of them.
         """
-        p = self.p
+        p, kind = self.p, states.dtype
         group, member = targets // GROUP, targets % GROUP
         order = np.argsort(group.astype(np.uint8), kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(GROUP + 1))
-        rows, member = np.take(states, order, axis=0), member[order]
-        ones = np.ones(GROUP, dtype=rows.dtype)
+        group, member = group[order], member[order]
+        cuts = np.searchsorted(group, np.arange(GROUP + 1)).tolist()
+        rows = np.take(states, order, axis=0, out=self.room("rows", states.shape, kind), mode="clip")
+        room, steps, ones = self.room("logits", (BLOCK, GROUP), kind), np.arange(BLOCK), np.ones(BLOCK, dtype=kind)
+        found = np.empty(len(rows), dtype=kind)
 
         def softmax(own: slice, weights: np.ndarray, bias: np.ndarray, wanted: np.ndarray):
             """(log probabilities of the wanted, d logits)."""
-            logits = rows[own] @ weights
+            at = steps[: len(wanted)]
+            logits = np.matmul(rows[own], weights, out=room[: len(wanted)])
             logits += bias
             logits -= logits.max()
-            at = np.arange(len(wanted))
             picked = logits[at, wanted]
             np.exp(logits, out=logits)
-            total = logits @ ones
+            total = logits @ ones[:GROUP]
             if total.min() < FAINT:  # rows far below the highest: each by its own maximum
                 logits = rows[own] @ weights + bias
                 logits -= logits.max(axis=1, keepdims=True)
                 picked = logits[at, wanted]
                 np.exp(logits, out=logits)
-                total = logits @ ones
+                total = logits @ ones[:GROUP]
             picked -= np.log(total)
             if back is not None:
                 logits /= total[:, None]
                 logits[at, wanted] -= 1
             return picked, logits
 
-        found, d = softmax(slice(None), p["g"], p["bg"], group[order])
         if back is not None:
-            back["g"], back["bg"] = rows.T @ d, d.sum(axis=0)
-            d_rows = d @ np.ascontiguousarray(p["g"].T)
-            back["w"], back["bw"] = np.zeros_like(p["w"]), np.zeros_like(p["bw"])
-        for k in range(GROUP):
-            own = slice(cuts[k], cuts[k + 1])
-            if cuts[k] == cuts[k + 1]:
-                continue
-            inner, d = softmax(own, p["w"][k], p["bw"][k], member[own])
-            found[own] += inner
+            for name in ("g", "bg", "w", "bw"):
+                back[name] = np.zeros_like(p[name])
+            d_rows, added = self.room("d_rows", states.shape, kind), self.room("added", states.shape, kind)
+            to_rows = np.ascontiguousarray(p["g"].T)
+        for at in range(0, len(rows), BLOCK):
+            own = slice(at, min(at + BLOCK, len(rows)))
+            found[own], d = softmax(own, p["g"], p["bg"], group[own])
+            if back is not None:
+                back["g"] += rows[own].T @ d
+                back["bg"] += ones[: len(d)] @ d
+                np.matmul(d, to_rows, out=d_rows[own])
+        for k, (first, last) in enumerate(zip(cuts, cuts[1:])):
             if back is not None:
-                back["w"][k], back["bw"][k] = rows[own].T @ d, d.sum(axis=0)
-                d_rows[own] += d @ np.ascontiguousarray(p["w"][k].T)
+                to_rows = np.ascontiguousarray(p["w"][k].T)
+            for at in range(first, last, BLOCK):
+                own = slice(at, min(at + BLOCK, last))
+                inner, d = softmax(own, p["w"][k], p["bw"][k], member[own])
+                found[own] += inner
+                if back is not None:
+                    back["w"][k] += rows[own].T @ d
+                    back["bw"][k] += ones[: len(d)] @ d
+                    d_rows[own] += np.matmul(d, to_rows, out=added[own])
         out = np.empty_like(found)
         out[order] = found
         if back is not None:
-            back["states"] = np.empty_like(d_rows)
-            back["states"][order] = d_rows
+            place = np.empty_like(order)
+            place[order] = np.arange(len(order))
+            back["states"] = np.take(d_rows, place, axis=0, out=added, mode="clip")
         return out
 
     def gradient(self, inputs: np.ndarray, targets: np.ndarray, fresh: np.ndarray, state: np.ndarray):
@@ -291,8 +351,9 @@ class Network:
         p, scale = self.p, np.float32(1.0 / targets.size)
         grad = np.zeros_like(self.flat)
         g = self._views(grad)
-        d_z, d_r, d_new = (np.empty_like(new) for _ in range(3))
-        begins = fresh.any(axis=1)
+        d_gates = self.room("d_gates", (3, *new.shape), new.dtype)
+        d_z, d_r, d_new = d_gates
+        begins = beginnings(fresh)
         across_z, across_r, across_new = (np.ascontiguousarray(v.T) for v in (*np.split(p["u"], 2, axis=1), p["ug"]))
         d_state = np.zeros((lanes, HIDDEN), dtype=new.dtype)
         one, other, d_reset = (np.empty_like(d_state) for _ in range(3))  # room for products
@@ -316,20 +377,43 @@ class Network:
             d_state += d_reset
             d_state += np.matmul(d_z[t], across_z, out=one)
             d_state += np.matmul(d_r[t], across_r, out=one)
-            if begins[t]:
-                d_state *= ~fresh[t][:, None]
+            if len(begins[t]):
+                d_state[begins[t]] = 0
         flat = lambda v: v.reshape(-1, v.shape[-1])
         g["ug"][:] = flat(reset).T @ flat(d_new)
         g["u"][:, :HIDDEN], g["u"][:, HIDDEN:] = flat(before).T @ flat(d_z), flat(before).T @ flat(d_r)
-        symbol = inputs.ravel()
-        order = np.argsort(symbol.astype(np.uint16), kind="stable")
-        first = np.flatnonzero(np.diff(symbol[order], prepend=-1))
-        seen = symbol[order][first]
-        g["x"][seen] = np.concatenate([np.add.reduceat(np.take(flat(d), order, axis=0), first, axis=0) for d in (d_z, d_r, d_new)], axis=1)
+        g["x"][:] = self.by_symbol(d_gates.reshape(3, -1, HIDDEN), inputs.ravel())
         for name in ("g", "bg", "w", "bw"):
             g[name][:] = back[name]
         grad *= scale
-        return loss, grad, states[-1]
+        return loss, grad, states[-1].copy()
+
+    def by_symbol(self, values: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Sums of the rows of each of ``values`` by symbol, side by side.
+
+        Rows are taken in order of how often their symbol occurs: symbols that occur equally
+        often are added up at once.
+        """
+        parts, _, width = values.shape
+        count = np.bincount(symbol, minlength=SYMBOLS)
+        by_count = np.argsort(count, kind="stable")
+        rank = np.empty(SYMBOLS, dtype=np.uint16)
+        rank[by_count] = np.arange(SYMBOLS)
+        order = np.argsort(rank[symbol], kind="stable")
+        rows = np.take(values, order, axis=1, out=self.room("by_symbol", values.shape, values.dtype), mode="clip")
+        ones = np.ones(len(symbol), dtype=values.dtype)
+        sums = np.zeros((parts, SYMBOLS, width), dtype=values.dtype)
+        at, times = 0, np.bincount(count)
+        first = np.cumsum(times) - times
+        for n in np.flatnonzero(times).tolist():
+            own, kinds = slice(int(first[n]), int(first[n] + times[n])), int(times[n])
+            if n:
+                block = rows[:, at : at + n * kinds].reshape(parts, kinds, n, width)
+                sums[:, own] = block.sum(axis=2) if n < 8 else ones[:n] @ block
+                at += n * kinds
+        out = np.empty((SYMBOLS, parts, width), dtype=values.dtype)
+        out[by_count] = sums.transpose(1, 0, 2)
+        return out.reshape(SYMBOLS, parts * width)
 
     def fit(self, symbols: np.ndarray, lanes: int = LANES, window: int = WINDOW, rate: float = 0.02) -> float:
         """One pass over a stream of documents (each with its end), cut into lanes; returns the last losses' mean.
@@ -391,19 +475,23 @@ class Network:
         for at in range(0, steps, window):
             own = owner[at : at + window]
             alive = np.flatnonzero((own < rows).any(axis=0))
-            states, _ = self.states(inputs[at : at + window, alive], begins[at : at + window, alive], state[alive])
+            states, _ = self.states(inputs[at : at + window, alive], begins[at : at + window, alive], state[alive], keep=False)
             state[alive] = states[-1]
             who = own[:, alive].ravel()
+            wanted, states = targets[at : at + window, alive].ravel(), states.reshape(-1, HIDDEN)
             real = who < rows
-            logp = self.log_probabilities(states.reshape(-1, HIDDEN)[real], targets[at : at + window, alive].ravel()[real])
-            out += np.bincount(who[real], weights=logp, minlength=rows + 1)
+            if not real.all():
+                who, wanted, states = who[real], wanted[real], states[real]
+            out += np.bincount(who, weights=self.log_probabilities(states, wanted), minlength=rows + 1)
         return out[:rows]
 
 
 def _symbols(known: Counts, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for _, _, data, offsets in text_slices(column, SLICE_BYTES):
+    for _, _, data, offsets in text_slices(column):
         starts, ends, row = word_spans(data, offsets)
-        _, symbol = looked_up(known, word_hashes(data, starts, ends), word_classes(data, starts, ends))
+        _, symbol = looked_up(known, word_hashes(data, starts, ends))
+        of_class = np.flatnonzero(symbol < 0)
+        symbol[of_class] = FIRST_CLASS + word_classes(data, starts[of_class], ends[of_class])
         yield with_ends(symbol, row, len(offsets) - 1)
 
 
@@ -514,15 +602,18 @@ def score(docs: DataFrame, training: DataFrame) -> DataFrame:
             for first, last, data, offsets in text_slices(batch.column(1), SLICE_BYTES):
                 rows = last - first
                 starts, ends, row = word_spans(data, offsets)
-                words, classes = word_hashes(data, starts, ends), word_classes(data, starts, ends)
-                place, symbol = looked_up(known, words, classes)
+                words = word_hashes(data, starts, ends)
+                place, symbol = looked_up(known, words)
+                in_class = symbol < 0
+                classes = word_classes(data, starts[in_class], ends[in_class])
+                symbol[in_class] = FIRST_CLASS + classes
                 stream, stream_ends = with_ends(symbol, row, rows)
                 model_log = model.score(stream, stream_ends) / math.log(10)
                 total = lambda which, values: np.bincount(row[which], weights=values, minlength=rows)
-                found, in_class = place >= 0, symbol >= FIRST_CLASS
+                found = place >= 0
                 base = total(found, log_count[place[found]]) + end_log
                 both = found & in_class
-                model_log += total(both, log_count[place[both]]) - total(in_class, known.class_log[classes[in_class]])
+                model_log += total(both, log_count[place[both]]) - total(in_class, known.class_log[classes])
                 rare_word, rare_row = words[~found], row[~found]
                 order = np.lexsort((rare_word, rare_row))
                 rare_word, rare_row = rare_word[order], rare_row[order]

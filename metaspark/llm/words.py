@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 19
-SPAN_BYTES = 1 << 19
+SPAN_BYTES = 1 << 17
 U64 = np.uint64
 BASE = int(0x9E3779B97F4A7C15)
 
@@ -22,6 +22,7 @@ SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+CODE = LOWER.astype(U64) + U64(1)
 
 
 def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -46,19 +47,18 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word; a word never crosses rows."""
     inside = ~SEPARATOR[data]
-    before = np.empty_like(inside)
-    before[:1] = False
-    before[1:] = inside[:-1]
+    begins, stops = inside.copy(), inside.copy()
+    np.greater(inside[1:], inside[:-1], out=begins[1:])
+    np.greater(inside[:-1], inside[1:], out=stops[:-1])
     first = offsets[:-1]
-    before[first[first < len(data)]] = False
-    after = np.empty_like(inside)
-    after[-1:] = False
-    after[:-1] = inside[1:]
+    first = first[first < len(data)]
+    begins[first] = inside[first]
     last = offsets[1:]
-    after[last[last > 0] - 1] = False
-    starts = np.flatnonzero(inside & ~before)
-    ends = np.flatnonzero(inside & ~after) + 1
-    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+    last = last[last > 0] - 1
+    stops[last] = inside[last]
+    starts = np.flatnonzero(begins)
+    per_row = np.diff(np.searchsorted(starts, offsets))
+    return starts, np.flatnonzero(stops) + 1, np.repeat(np.arange(len(per_row)), per_row)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -89,8 +89,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         stop = max(at + 1, int(np.searchsorted(ends, base + SPAN_BYTES, side="right")))
         span = int(ends[stop - 1]) - base
         up, down = _powers(max(span + 1, SPAN_BYTES + 1))
+        codes = CODE[data[base : base + span]]
+        codes *= up[:span]
         sums = np.zeros(span + 1, dtype=U64)
-        np.cumsum((LOWER[data[base : base + span]].astype(U64) + U64(1)) * up[:span], out=sums[1:])
+        np.cumsum(codes, out=sums[1:])
         s, e = starts[at:stop] - base, ends[at:stop] - base
         out[at:stop] = mixed((sums[e] - sums[s]) * down[s] + (e - s).astype(U64))
         at = stop

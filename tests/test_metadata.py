@@ -107,3 +107,40 @@ def test_documents_only_one_reader_accepts_are_rejected(spark):
     lines = spark.createDataFrame([('{"Name":"a","Name":"b"}',), ("{'Name':'a'}",), ('{"Name":"c"}',)], "value string")
     ok, rejects = dumps.parse_docs(lines, "glue_table")
     assert rows(ok.select("d.Name", F.col("doc").cast("string"))) == [("c", '{"Name":"c"}')] and rejects.count() == 2
+
+
+PLAIN = [
+    ('{"SourceArn":"a","SourceType":"b","DestinationArn":"c","DestinationType":"d"}', ("a", "b", "c", "d")),
+    (' { "DestinationType" : "d" , "SourceArn" : "a" } ', ("a", None, None, "d")),
+    ('{"SourceArn":"SourceType","SourceType":"x"}', ("SourceType", "x", None, None)),
+    ('{"SourceType":"SourceArn"}', (None, "SourceArn", None, None)),
+    ('{"SourceType":"SourceArn","SourceArn":"x"}', ("x", "SourceArn", None, None)),
+    ('{"Other":"x","SourceArn":"a"}', ("a", None, None, None)),
+    ('{"SourceArn":"","SourceType":"\u00e9\U0001f600, }:{"}', ("", "\u00e9\U0001f600, }:{", None, None)),
+    ('{"SourceArn":"a\\"b\\u0041"}', ('a"bA', None, None, None)),
+    ('{"SourceArn":1.5,"SourceType":null}', ("1.5", None, None, None)),
+    ("{}", (None, None, None, None)),
+    ('{"SourceArn":"' + "x" * 40000 + '"}', ("x" * 40000, None, None, None)),
+]
+BROKEN = [
+    '{"SourceArn":"a","SourceArn":"b"}', '{"SourceArn":"a","Other":"b","Other":"c"}', '{"SourceArn":"a\tb"}', '{"SourceArn":"a"',
+    '{"SourceArn":"a",}', '{"SourceArn":"a" "SourceType":"b"}', '{"SourceArn","a":"SourceType","b"}', '{"SourceArn":"a",,"SourceType":"b"}',
+    "{'SourceArn':'a'}", '{"SourceArn"::"a"}', '"SourceArn":"a"}', "", None,
+]
+
+
+def test_plain_documents_read_as_the_parser_reads_them(spark):
+    """A line of texts only is cut at its quotes: what it holds, and which lines are rejected, is the same."""
+    lines = spark.createDataFrame([(line,) for line, _ in PLAIN] + [(line,) for line in BROKEN], "value string")
+    ok, rejects = dumps.parse_docs(lines, "association")
+    got = ok.select("d.SourceArn", "d.SourceType", "d.DestinationArn", "d.DestinationType")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr(fields) for _, fields in PLAIN)
+    assert sorted(str(r.key) for r in rejects.collect()) == sorted(map(str, BROKEN))
+
+
+def test_times_of_plain_documents(spark):
+    times = {"2020-05-05T01:02:03+02:00": "2020-05-04 23:02:03", "2020-05-05": "2020-05-05 00:00:00"}
+    lines = [f'{{"ExperimentName":"{t}","CreationTime":"{t}"}}' for t in [*times, "soon", ""]] + ['{"ExperimentName":"none"}']
+    ok, rejects = dumps.parse_docs(spark.createDataFrame([(x,) for x in lines], "value string"), "experiment")
+    read = {tuple(r) for r in ok.select("d.ExperimentName", F.col("d.CreationTime").cast("string")).collect()}
+    assert read == {*times.items(), ("none", None)} and rejects.count() == 2

@@ -67,3 +67,29 @@ def test_a_folder_all_roots_share_is_met_in_parts(spark):
     assert any("folder" in j and "part" in j for j in joins) and not any("BroadcastHashJoin" in j for j in joins)
     top = spark.createDataFrame([("lake/_delta_log/00000000000000000000.json",)], "path string")
     assert [r.root for r in txlog.discover_tables(paths.union(top), start="lake").collect()] == ["lake"]
+
+
+@pytest.mark.parametrize("name", ["component_edges", "artifact_entities"])
+def test_arns_are_sorted_by_their_hash_first(spark, name):
+    plan = plan_of(entry_module.queries()[name](spark, SF))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line and "_arn" in line]
+    assert len(joins) == 2 and all("SortMergeJoin [_hash" in j for j in joins)
+
+
+def test_rows_met_by_key_are_those_of_a_plain_join(spark):
+    from metaspark.operators.joins import met_by_key
+
+    left = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 3), ("", 4)], "k string, x int")
+    right = spark.createDataFrame([("a", 5), ("a", 6), (None, 7), ("", 8), ("c", 9)], "k string, y int")
+    for how in ("inner", "left_semi", "left_anti", "left"):
+        met, plain = met_by_key(left, right, "k", how), left.join(right, "k", how)
+        assert met.columns == plain.columns
+        assert sorted(map(repr, met.collect())) == sorted(map(repr, plain.collect()))
+
+
+@pytest.mark.parametrize("name", ["entity_union", "component_edges", "artifact_entities"])
+def test_documents_are_made_once_and_tested_after_they_are_dealt_out(spark, name):
+    """No test of a document reaches the scan, where the document would be made a second time by few tasks."""
+    plan = plan_of(entry_module.queries()[name](spark, SF))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and not any("arseJson" in line or "StructsToJson" in line for line in scans)
